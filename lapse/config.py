@@ -49,6 +49,9 @@ class Params:
     sensitivity_pct: int = 10
     n_reliability_bins: int = 10
     n_hist_bins: int = 50
+    top_channels: int = 8
+    # Plausible registration years; bound to the driver tables (registrations span 1990-2000).
+    reg_year_range: tuple[int, int] = (1990, 2000)
 
 
 DEFAULT = Params()

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lapse.operators import explore as ex
 from lapse.operators import features as feat
 from lapse.plans.context import Context
 from lapse.sources.tables import dataset_inventory
@@ -70,6 +71,63 @@ def q_derived_features(c: Context) -> DataFrame:
     )
 
 
+# ---- step 3: explore ------------------------------------------------------------------
+@query("label_balance")
+def q_label_balance(c: Context) -> DataFrame:
+    return ex.label_balance(c.label)
+
+
+@query("churn_by_gender")
+def q_churn_by_gender(c: Context) -> DataFrame:
+    return ex.churn_by_gender(c.label, c.members)
+
+
+@query("churn_by_channel_topk")
+def q_churn_by_channel_topk(c: Context) -> DataFrame:
+    return ex.churn_by_channel_topk(c.label, c.members, c.p.top_channels)
+
+
+@query("churn_by_age_band")
+def q_churn_by_age_band(c: Context) -> DataFrame:
+    return ex.churn_by_age_band(c.label, c.members)
+
+
+@query("renew_cancel_signals")
+def q_renew_cancel_signals(c: Context) -> DataFrame:
+    return ex.renew_cancel_signals(c.label, c.txns)
+
+
+@query("engagement_by_label")
+def q_engagement_by_label(c: Context) -> DataFrame:
+    return ex.engagement_by_label(c.label, c.logs)
+
+
+@query("inactive_share")
+def q_inactive_share(c: Context) -> DataFrame:
+    return ex.inactive_share(c.label, c.logs)
+
+
+@query("demographics_validity")
+def q_demographics_validity(c: Context) -> DataFrame:
+    return ex.demographics_validity(c.members)
+
+
+@query("gender_counts")
+def q_gender_counts(c: Context) -> DataFrame:
+    return ex.gender_counts(c.members)
+
+
+@query("registrations_by_year")
+def q_registrations_by_year(c: Context) -> DataFrame:
+    lo, hi = c.p.reg_year_range
+    return ex.registrations_by_year(c.members, lo, hi)
+
+
+@query("age_histogram")
+def q_age_histogram(c: Context) -> DataFrame:
+    return ex.age_histogram(c.members, c.p.n_hist_bins)
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name]
 
