@@ -27,8 +27,12 @@ def _c(x) -> Column:
 
 
 def r6(x) -> Column:
-    """Round a double to 6 decimals: the comparison grain of derived doubles."""
-    return F.round(_c(x).cast("double"), 6)
+    """Round a double to 6 decimals, half up, as ``floor(x * 1e6 + 0.5) / 1e6``.
+
+    Spelled with IEEE operations only, so any engine evaluating the same formula gets
+    the same bits (``round`` breaks decimal ties differently across engines).
+    """
+    return F.floor(_c(x).cast("double") * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)
 
 
 def ymd_to_date(x) -> Column:
