@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
 QUANTILE_ACCURACY = 10_000
+COARSE_QUANTILES = 64
 
 
 @dataclass(frozen=True)
@@ -110,15 +111,30 @@ def ordered_running(
     ascending.  The order must be total within a group for ``pos`` to be unique.
     """
     group = list(group)
-    ov = -F.col(v) if descending else F.col(v)
     kc = F.col(k) if k is not None else None
-    qs = [(i + 0.5) / plan.max_buckets for i in range(plan.max_buckets)]
-    stat_cols = [F.count(F.lit(1)).alias("n"), F.percentile_approx(ov, qs, QUANTILE_ACCURACY).alias("vq")]
-    if kc is not None:
-        stat_cols.append(F.percentile_approx(kc, qs, QUANTILE_ACCURACY).alias("kq"))
-    st = df.agg(*stat_cols).first()  # one row: count + two bounded quantile arrays
+    if isinstance(df.schema[v].dataType, T.StringType):
+        # Byte-order proxy: first 7 UTF-8 bytes as a number.  It is monotone but not
+        # injective, so the secondary split by k is disabled for string keys.
+        proxy = F.conv(F.rpad(F.substring(F.hex(F.col(v)), 1, 14), 14, "0"), 16, 10).cast("long")
+        ov = -proxy if descending else proxy
+        kc = None
+    else:
+        ov = -F.col(v) if descending else F.col(v)
+    def quantile_cols(nq: int) -> list:
+        qs = [(i + 0.5) / nq for i in range(nq)]
+        cols = [F.percentile_approx(ov, qs, QUANTILE_ACCURACY).alias("vq")]
+        if kc is not None:
+            cols.append(F.percentile_approx(kc, qs, QUANTILE_ACCURACY).alias("kq"))
+        return cols
+
+    # One aggregate: count + coarse quantiles (cheap to evaluate).  Only when the count
+    # asks for more buckets than the coarse grid has is a finer quantile pass run.
+    coarse = min(plan.max_buckets, COARSE_QUANTILES)
+    st = df.agg(F.count(F.lit(1)).alias("n"), *quantile_cols(coarse)).first()
     n = st["n"]
     n_buckets = max(1, min(plan.max_buckets, math.ceil(n / max(1, plan.rows_per_bucket))))
+    if n_buckets > coarse:
+        st = df.agg(*quantile_cols(n_buckets)).first()
     bounds = _composite_bounds(list(st["vq"] or []), list(st["kq"] or []) if kc is not None else None, n_buckets)
     bucket = _bucket_expr(bounds, ov, kc) if bounds else F.lit(0)
 

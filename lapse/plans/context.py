@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lapse.config import DEFAULT, Params
 from lapse.operators import features as feat
+from lapse.operators import modeltable as mt
+from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
 from lapse.sources import roles
+from lapse.sources.store import materialize
 
 
 class Context:
-    def __init__(self, spark: SparkSession, root: str, params: Params = DEFAULT):
+    def __init__(self, spark: SparkSession, root: str, params: Params = DEFAULT, plan: RankPlan = DEFAULT_PLAN):
         self.spark = spark
         self.root = root
         self.p = params
+        self.plan = plan
 
     @property
     def w(self):
@@ -44,3 +48,25 @@ class Context:
     @cached_property
     def features(self) -> DataFrame:
         return feat.derived_features(self.base, self.w)
+
+    @cached_property
+    def split(self) -> DataFrame:
+        """user_key, is_churn, split — computed on the narrow label view."""
+        return mt.stratified_split(
+            self.label, seed=self.p.seed, holdout_pct=self.p.holdout_pct,
+            test_pct_of_holdout=self.p.test_pct_of_holdout, plan=self.plan,
+        )
+
+    @cached_property
+    def split_features(self) -> DataFrame:
+        """Features with their split, written once to the checkpoint folder: every fit
+        (medians, codes, scaler) and every split reads it back, partition-pruned."""
+        return materialize(mt.attach_split(self.features, self.split), "split_features", "split")
+
+    @cached_property
+    def builder(self) -> mt.ModelTableBuilder:
+        return mt.ModelTableBuilder(self.split_features, plan=self.plan)
+
+    @cached_property
+    def model_table(self) -> DataFrame:
+        return self.builder.model_table()

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lapse.operators import explore as ex
 from lapse.operators import features as feat
+from lapse.operators import modeltable as mt
+from lapse.operators import ranking as rk
+from lapse.functions.scalar import r6
+from pyspark.sql import functions as F
 from lapse.plans.context import Context
 from lapse.sources.tables import dataset_inventory
 
@@ -128,6 +132,57 @@ def q_age_histogram(c: Context) -> DataFrame:
     return ex.age_histogram(c.members, c.p.n_hist_bins)
 
 
+# ---- step 5/6: split, imputation, encoding, scaling -----------------------------------
+@query("stratified_split")
+def q_stratified_split(c: Context) -> DataFrame:
+    return c.split
+
+
+@query("split_profile")
+def q_split_profile(c: Context) -> DataFrame:
+    return mt.split_profile(c.model_table, plan=c.plan)
+
+
+@query("hash_sample")
+def q_hash_sample(c: Context) -> DataFrame:
+    return rk.hash_sample(c.features.select("user_key", "is_churn", "ltv"), 100, c.p.seed, "user_key")
+
+
+@query("median_imputation")
+def q_median_imputation(c: Context) -> DataFrame:
+    return c.builder.medians().select("feature", r6("median").alias("median"))
+
+
+@query("category_map")
+def q_category_map(c: Context) -> DataFrame:
+    return c.builder.category_map()
+
+
+@query("encoded_features")
+def q_encoded_features(c: Context) -> DataFrame:
+    return c.builder.encoded().select("user_key", "split", *mt.ENC_COLS)
+
+
+@query("scaled_features")
+def q_scaled_features(c: Context) -> DataFrame:
+    return c.model_table.select("user_key", "split", *mt.SCALED_COLS)
+
+
+@query("model_table")
+def q_model_table(c: Context) -> DataFrame:
+    return c.model_table
+
+
+@query("feature_manifest")
+def q_feature_manifest(c: Context) -> DataFrame:
+    return mt.feature_manifest(c.builder.category_map())
+
+
+@query("class_weight")
+def q_class_weight(c: Context) -> DataFrame:
+    return mt.class_weight(c.split.filter(F.col("split") == "train"))
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name]
 
