@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lapse.config import DEFAULT, Params
 from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
+from lapse.operators.scoring import closed_form_predictions
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
 from lapse.sources import roles
 from lapse.sources.store import materialize
@@ -70,3 +71,8 @@ class Context:
     @cached_property
     def model_table(self) -> DataFrame:
         return self.builder.model_table()
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """Closed-form scores for every (model, user) over the materialised feature table."""
+        return closed_form_predictions(self.split_features)

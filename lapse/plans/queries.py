@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from lapse.operators import explore as ex
 from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
+from lapse.operators import metrics as me
 from lapse.operators import ranking as rk
+from lapse.operators import scoring as sc
 from lapse.functions.scalar import r6
 from pyspark.sql import functions as F
 from lapse.plans.context import Context
@@ -183,6 +185,65 @@ def q_class_weight(c: Context) -> DataFrame:
     return mt.class_weight(c.split.filter(F.col("split") == "train"))
 
 
+# ---- step 7: metrics on the closed-form scores ----------------------------------------
+@query("predictions")
+def q_predictions(c: Context) -> DataFrame:
+    return c.predictions
+
+
+@query("auc_by_model")
+def q_auc_by_model(c: Context) -> DataFrame:
+    return me.ranking_metrics(me.score_curve(c.predictions, plan=c.plan)).select("model_id", "split", "auc_roc")
+
+
+@query("average_precision")
+def q_average_precision(c: Context) -> DataFrame:
+    return me.ranking_metrics(me.score_curve(c.predictions, plan=c.plan)).select(
+        "model_id", "split", "average_precision")
+
+
+@query("value_errors")
+def q_value_errors(c: Context) -> DataFrame:
+    return me.value_errors(c.predictions)
+
+
+@query("roc_points")
+def q_roc_points(c: Context) -> DataFrame:
+    return me.roc_points(me.score_curve(c.predictions, plan=c.plan))
+
+
+@query("pr_points")
+def q_pr_points(c: Context) -> DataFrame:
+    return me.pr_points(me.score_curve(c.predictions, plan=c.plan))
+
+
+@query("reliability_bins")
+def q_reliability_bins(c: Context) -> DataFrame:
+    test = c.predictions.filter((F.col("model_id") == "joint") & (F.col("split") == "test"))
+    return me.reliability_bins(test, c.p.n_reliability_bins)
+
+
+@query("ece")
+def q_ece(c: Context) -> DataFrame:
+    return me.expected_calibration_error(c.predictions, c.p.n_reliability_bins)
+
+
+@query("model_metrics")
+def q_model_metrics(c: Context) -> DataFrame:
+    return me.model_metrics(c.predictions, plan=c.plan)
+
+
+@query("model_comparison")
+def q_model_comparison(c: Context) -> DataFrame:
+    return me.model_comparison(me.model_metrics(c.predictions, plan=c.plan), sc.CHURN_CEILING_MODEL,
+                               sc.VALUE_CEILING_MODEL)
+
+
+@query("tradeoff_frontier")
+def q_tradeoff_frontier(c: Context) -> DataFrame:
+    return me.tradeoff_frontier(me.model_metrics(c.predictions, plan=c.plan))
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name]
 
