@@ -43,7 +43,7 @@ def ranking_metrics(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame
     """M1 + M2 per group: auc_roc, average_precision (null when a class is absent)."""
     auc_num = F.sum(F.col("tp").cast("double") * (F.col("n_neg") - F.col("fp_cum") + F.col("fp") / 2.0))
     ap_terms = F.sum(
-        F.col("tp").cast("double") / F.col("n_pos") * F.col("tp_cum") / (F.col("tp_cum") + F.col("fp_cum"))
+        F.try_divide(F.col("tp").cast("double"), F.col("n_pos")) * F.col("tp_cum") / (F.col("tp_cum") + F.col("fp_cum"))
     )
     a = curve.groupBy(*group).agg(
         auc_num.alias("_auc_num"), ap_terms.alias("_ap"), F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg")
@@ -51,7 +51,7 @@ def ranking_metrics(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame
     valid = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
     return a.select(
         *group,
-        r6(F.when(valid, F.col("_auc_num") / (F.col("n_pos").cast("double") * F.col("n_neg")))).alias("auc_roc"),
+        r6(F.when(valid, F.try_divide(F.col("_auc_num"), F.col("n_pos").cast("double") * F.col("n_neg")))).alias("auc_roc"),
         r6(F.when(F.col("n_pos") > 0, F.col("_ap"))).alias("average_precision"),
     )
 
