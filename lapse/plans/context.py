@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from lapse.config import DEFAULT, Params
 from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
+from lapse.operators import calibrate as cb
+from lapse.operators import decide as dc
 from lapse.operators.scoring import closed_form_predictions
+from pyspark.sql import functions as F
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
 from lapse.sources import roles
 from lapse.sources.store import materialize
@@ -76,3 +79,24 @@ class Context:
     def predictions(self) -> DataFrame:
         """Closed-form scores for every (model, user) over the materialised feature table."""
         return closed_form_predictions(self.split_features)
+
+    def model_split(self, model_id: str, split: str) -> DataFrame:
+        return self.predictions.filter((F.col("model_id") == model_id) & (F.col("split") == split))
+
+    @cached_property
+    def isotonic(self):
+        """Isotonic calibrator of the joint model, fitted on validation."""
+        return cb.isotonic_fit(self.model_split("joint", "val"))
+
+    @cached_property
+    def calibrated_test(self) -> DataFrame:
+        return cb.isotonic_apply(self.isotonic, self.model_split("joint", "test"))
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        """Retention priority table of the test users, written once (it is also a deliverable)."""
+        return materialize(dc.priority_scores(self.calibrated_test, plan=self.plan), "priority_scores")
+
+    @cached_property
+    def rank_changes(self) -> DataFrame:
+        return dc.rank_changes(self.ranked, self.p.budget.n_interventions, self.p.sensitivity_pct, plan=self.plan)

@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lapse.operators import calibrate as cb
+from lapse.operators import decide as dc
 from lapse.operators import explore as ex
 from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
@@ -244,6 +246,62 @@ def q_tradeoff_frontier(c: Context) -> DataFrame:
     return me.tradeoff_frontier(me.model_metrics(c.predictions, plan=c.plan))
 
 
+# ---- step 8: calibration --------------------------------------------------------------
+@query("isotonic_calibrated")
+def q_isotonic_calibrated(c: Context) -> DataFrame:
+    return c.calibrated_test.select("user_key", "score", "p_iso")
+
+
+@query("temperature_scaled")
+def q_temperature_scaled(c: Context) -> DataFrame:
+    t = cb.temperature_fit(c.model_split("joint", "val"))
+    return cb.temperature_apply(c.model_split("joint", "test"), t).select(
+        "user_key", "score", "p_temp", F.lit(t).alias("temperature"))
+
+
+@query("calibration_ece")
+def q_calibration_ece(c: Context) -> DataFrame:
+    t = cb.temperature_fit(c.model_split("joint", "val"))
+    test = cb.temperature_apply(c.calibrated_test, t)
+    parts = [
+        me.expected_calibration_error(test.withColumn("method", F.lit(m)), c.p.n_reliability_bins, prob=col,
+                                      group=["method"])
+        for m, col in (("uncalibrated", "score"), ("temperature", "p_temp"), ("isotonic", "p_iso"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---- step 9: decisions ------------------------------------------------------------------
+@query("priority_scores")
+def q_priority_scores(c: Context) -> DataFrame:
+    return c.ranked
+
+
+@query("segment_representatives")
+def q_segment_representatives(c: Context) -> DataFrame:
+    return dc.segment_representatives(c.ranked, plan=c.plan)
+
+
+@query("budget_policies")
+def q_budget_policies(c: Context) -> DataFrame:
+    return dc.budget_policies(c.ranked, c.p.budget, c.p.seed)
+
+
+@query("rank_sensitivity")
+def q_rank_sensitivity(c: Context) -> DataFrame:
+    return dc.rank_sensitivity(c.rank_changes, c.p.budget.n_interventions, plan=c.plan)
+
+
+@query("rank_change_histogram")
+def q_rank_change_histogram(c: Context) -> DataFrame:
+    return dc.rank_change_histogram(c.rank_changes, c.p.n_hist_bins)
+
+
+@query("value_scatter_sample")
+def q_value_scatter_sample(c: Context) -> DataFrame:
+    return dc.value_scatter_sample(c.model_split("joint", "test"), seed=c.p.seed)
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name]
 
