@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lapse.operators import calibrate as cb
 from lapse.operators import decide as dc
 from lapse.operators import explore as ex
+from lapse.operators import learn as lr
+from lapse.sources import ingest as ing
 from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
 from lapse.operators import metrics as me
@@ -21,6 +23,7 @@ from lapse.operators import scoring as sc
 from lapse.functions.scalar import r6
 from pyspark.sql import functions as F
 from lapse.plans.context import Context
+from lapse.session import ensure_checkpoint_dir
 from lapse.sources.tables import dataset_inventory
 
 REGISTRY: dict[str, Callable[[Context], DataFrame]] = {}
@@ -302,10 +305,40 @@ def q_value_scatter_sample(c: Context) -> DataFrame:
     return dc.value_scatter_sample(c.model_split("joint", "test"), seed=c.p.seed)
 
 
+# ---- step 10: learners and ingest ------------------------------------------------------
+@query("churn_scorer")
+def q_churn_scorer(c: Context) -> DataFrame:
+    return lr.fit_churn_scorer(c.model_table)
+
+
+@query("value_regressor")
+def q_value_regressor(c: Context) -> DataFrame:
+    return lr.fit_value_regressor(c.model_table)
+
+
+@query("interaction_scorer")
+def q_interaction_scorer(c: Context) -> DataFrame:
+    return lr.fit_interaction_scorer(c.model_table, seed=c.p.seed)
+
+
+@query("typed_ingest")
+def q_typed_ingest(c: Context) -> DataFrame:
+    """Orders -> raw transactions CSV -> declared-schema, FAILFAST, no-null-checked Parquet."""
+    import uuid
+
+    from lapse.session import ensure_checkpoint_dir
+
+    base = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/lapse-ingest-{uuid.uuid4().hex[:12]}"
+    ing.transactions_csv_from_orders(c.spark, c.root, f"{base}/csv")
+    ing.convert(c.spark, "transactions", f"{base}/csv", f"{base}/parquet")
+    return c.spark.read.parquet(f"{base}/parquet")
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
         return fn(Context(spark, sf_dir))
 
     run.__name__ = f"q_{name}"
