@@ -116,6 +116,23 @@ def reliability_bins(pred: DataFrame, n_bins: int = 10, prob: str = "score", lab
     )
 
 
+def reliability_points(bins: DataFrame) -> DataFrame:
+    """The diagram's points — bins that hold at least one row (null averages dropped)."""
+    return bins.dropna(subset=["avg_conf", "avg_acc"])
+
+
+def calibration_summary(cal: DataFrame, raw: str = "score", calibrated: str = "p_iso",
+                        label: str = "is_churn") -> DataFrame:
+    """Distinct calibrated values and mean prediction (raw and calibrated) vs truth."""
+    return cal.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct(calibrated).alias("n_distinct_calibrated"),
+        r6(F.avg(raw)).alias("mean_raw"),
+        r6(F.avg(calibrated)).alias("mean_calibrated"),
+        r6(F.avg(F.col(label).cast("double"))).alias("churn_rate"),
+    )
+
+
 def expected_calibration_error(pred: DataFrame, n_bins: int = 10, prob: str = "score", label: str = "is_churn",
                                group: Sequence[str] = GROUP) -> DataFrame:
     """ECE per group: sum over bins of n_b / N * |avg_conf - avg_acc|; N counts every row,

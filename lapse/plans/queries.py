@@ -228,6 +228,12 @@ def q_reliability_bins(c: Context) -> DataFrame:
     return me.reliability_bins(test, c.p.n_reliability_bins)
 
 
+@query("reliability_points")
+def q_reliability_points(c: Context) -> DataFrame:
+    test = c.predictions.filter((F.col("model_id") == "joint") & (F.col("split") == "test"))
+    return me.reliability_points(me.reliability_bins(test, c.p.n_reliability_bins))
+
+
 @query("ece")
 def q_ece(c: Context) -> DataFrame:
     return me.expected_calibration_error(c.predictions, c.p.n_reliability_bins)
@@ -255,6 +261,11 @@ def q_isotonic_calibrated(c: Context) -> DataFrame:
     return c.calibrated_test.select("user_key", "score", "p_iso")
 
 
+@query("calibration_summary")
+def q_calibration_summary(c: Context) -> DataFrame:
+    return me.calibration_summary(c.calibrated_test)
+
+
 @query("temperature_scaled")
 def q_temperature_scaled(c: Context) -> DataFrame:
     t = cb.temperature_fit(c.model_split("joint", "val"))
@@ -280,6 +291,11 @@ def q_priority_scores(c: Context) -> DataFrame:
     return c.ranked
 
 
+@query("priority_head")
+def q_priority_head(c: Context) -> DataFrame:
+    return rk.top_n(c.ranked, 5, [F.asc("rank")])
+
+
 @query("segment_representatives")
 def q_segment_representatives(c: Context) -> DataFrame:
     return dc.segment_representatives(c.ranked, plan=c.plan)
