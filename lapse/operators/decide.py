@@ -16,7 +16,7 @@ from lapse.config import Budget
 from lapse.functions.scalar import clip, exp_m1, r6
 from lapse.operators.explore import equal_width_histogram
 from lapse.operators.ranking import (
-    DEFAULT_PLAN, RankPlan, average_rank_by_value, exact_quantiles, hash_order_key, ordered_running, top_n,
+    DEFAULT_PLAN, RankPlan, average_rank_by_value, exact_quantiles, hash_sample, ordered_running, top_n,
 )
 
 # ---- fixed values: risk x value segments listed in the report, with their action ------------
@@ -98,8 +98,7 @@ def budget_policies(ranked: DataFrame, budget: Budget, seed: int = 42) -> DataFr
     gain over each policy in percent (``model_uplift_pct``)."""
     n = budget.n_interventions
     model = top_n(ranked, n, [F.asc("rank")]).withColumn("policy", F.lit("model_priority"))
-    rand = top_n(ranked.withColumn("_h", hash_order_key(seed, "user_key")), n, [F.asc("_h"), F.asc("user_key")]) \
-        .drop("_h").withColumn("policy", F.lit("random"))
+    rand = hash_sample(ranked, n, seed, "user_key").withColumn("policy", F.lit("random"))
     churn = top_n(ranked, n, [F.desc("p_churn"), F.asc("user_key")]).withColumn("policy", F.lit("churn_only"))
     picked = model.unionByName(rand).unionByName(churn)
     rev = picked.groupBy("policy").agg(
@@ -146,5 +145,5 @@ def rank_change_histogram(changes: DataFrame, n_bins: int = 50) -> DataFrame:
 def value_scatter_sample(pred: DataFrame, k: int = 20_000, seed: int = 42, zoom: float = 500.0) -> DataFrame:
     """B5 + P10: reproducible k-row sample of (actual, predicted) value with the zoom flag."""
     s = pred.select("user_key", F.col("value_true").alias("actual"), r6(exp_m1(F.col("value_pred_log"))).alias("predicted"))
-    s = top_n(s.withColumn("_h", hash_order_key(seed, "user_key")), k, [F.asc("_h"), F.asc("user_key")]).drop("_h")
+    s = hash_sample(s, k, seed, "user_key")
     return s.withColumn("in_zoom", (F.col("actual") <= zoom) & (F.col("predicted") <= zoom))

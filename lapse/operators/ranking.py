@@ -268,7 +268,31 @@ def hash_order_key(seed: int, key: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
 
 
-def hash_sample(df: DataFrame, k: int, seed: int, key: str) -> DataFrame:
-    """T4: k rows without replacement, reproducible: smallest md5(seed|key), ties on key."""
-    h = hash_order_key(seed, key)
-    return df.withColumn("_h", h).orderBy(F.asc("_h"), F.asc(key)).limit(k).drop("_h")
+HASH_BITS = 60
+
+
+def hash_prefix(h: Column) -> Column:
+    """First 15 hex digits of an md5 hex string as a BIGINT (monotone in the string)."""
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+
+
+def hash_sample(df: DataFrame, k: int, seed: int, key: str, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
+    """T4: k rows without replacement, reproducible: smallest md5(seed|key), ties on key.
+
+    ``orderBy().limit(k)`` merges k rows per partition in one task; for large inputs
+    the rows are first cut to those whose 60-bit hash prefix lies below a threshold
+    sized for ~1.5k survivors (doubled until at least k survive).  Every row beyond the
+    threshold orders after every row below it, so the top-k is unchanged and exact.
+    """
+    d = df.withColumn("_h", hash_order_key(seed, key))
+    est = estimated_rows(df)
+    if est is None or est * ESTIMATE_SAFETY > plan.rows_per_bucket:
+        n = d.count()
+        if n > 4 * k:
+            d = d.withColumn("_h60", hash_prefix(F.col("_h")))
+            full = 1 << HASH_BITS
+            t = min(full, int(full * (1.5 * k + 64) / n))
+            while t < full and d.filter(F.col("_h60") < F.lit(t)).count() < k:
+                t = min(full, t * 2)
+            d = d.filter(F.col("_h60") < F.lit(t)).drop("_h60")
+    return d.orderBy(F.asc("_h"), F.asc(key)).limit(k).drop("_h")

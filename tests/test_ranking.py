@@ -70,3 +70,14 @@ def test_exact_quantiles_numpy_linear(spark, rows_per_bucket):
     assert got[0.5] == pytest.approx(3.0)
     assert got[0.33] == pytest.approx(1.99)
     assert got[0.67] == pytest.approx(4.05)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 10])
+def test_hash_sample_prefilter_is_exact(spark, rows_per_bucket):
+    from lapse.operators.ranking import hash_order_key, hash_sample
+
+    df = spark.range(5000).withColumnRenamed("id", "user_key")
+    got = [r.user_key for r in hash_sample(df, 37, 42, "user_key", RankPlan(rows_per_bucket=rows_per_bucket)).collect()]
+    ref = [r.user_key for r in df.withColumn("_h", hash_order_key(42, "user_key"))
+           .orderBy("_h", "user_key").limit(37).collect()]
+    assert got == ref
