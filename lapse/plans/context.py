@@ -11,7 +11,7 @@ from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
 from lapse.operators import calibrate as cb
 from lapse.operators import decide as dc
-from lapse.operators.scoring import closed_form_predictions
+from lapse.operators.scoring import SCORERS, closed_form_predictions
 from pyspark.sql import functions as F
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
 from lapse.sources import roles
@@ -81,7 +81,10 @@ class Context:
         return closed_form_predictions(self.split_features)
 
     def model_split(self, model_id: str, split: str) -> DataFrame:
-        return self.predictions.filter((F.col("model_id") == model_id) & (F.col("split") == split))
+        """Predictions of one model on one split: scores only that model, reads only that
+        split's partition of the materialised feature table."""
+        part = self.split_features.filter(F.col("split") == split)
+        return closed_form_predictions(part, {model_id: SCORERS[model_id]})
 
     @cached_property
     def isotonic(self):
