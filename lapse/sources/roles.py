@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from lapse.sources.tables import read_table
 
 # ---- fixed values of the role binding (must match the oracle SQL) -------------------
+# Role rule, not sampling: every customer is labelled and scanned; 1 in 50 simply has no
+# member row, so the label-members left join meets real misses (null attributes).
 MEMBER_GAP_MODULUS = 50            # customers with c_custkey % 50 = 7 have no member row
 MEMBER_GAP_REMAINDER = 7
 GENDER_BY_SEGMENT = {              # c_mktsegment -> gender; FURNITURE (any other) -> null
