@@ -15,10 +15,18 @@ from lapse.functions.scalar import age_band, hours, r6, segment_label, valid_age
 PCT = 100.0
 
 
-def _churn_rate_by(df: DataFrame, key: F.Column, name: str) -> DataFrame:
+def rate(x: F.Column, decimals: int = 6) -> F.Column:
+    """Percent / average outputs: 6 decimals by default (engine-neutral half-up); the
+    1-decimal report form is ``decimals=1``."""
+    from lapse.operators.scoring import round_half_up
+
+    return r6(x) if decimals == 6 else round_half_up(x.cast("double"), decimals)
+
+
+def _churn_rate_by(df: DataFrame, key: F.Column, name: str, decimals: int = 6) -> DataFrame:
     return df.groupBy(key.alias(name)).agg(
         F.count(F.lit(1)).alias("n"),
-        r6(F.avg("is_churn") * PCT).alias("churn_pct"),
+        rate(F.avg("is_churn") * PCT, decimals).alias("churn_pct"),
     )
 
 
@@ -35,27 +43,27 @@ def labelled_members(label: DataFrame, members: DataFrame) -> DataFrame:
     return label.join(members, "user_key", "left")
 
 
-def churn_by_gender(label: DataFrame, members: DataFrame) -> DataFrame:
+def churn_by_gender(label: DataFrame, members: DataFrame, decimals: int = 6) -> DataFrame:
     """A5 + P5: churn rate per gender, null gender as 'unknown'."""
     j = labelled_members(label, members)
-    return _churn_rate_by(j, F.coalesce(F.col("gender"), F.lit("unknown")), "gender")
+    return _churn_rate_by(j, F.coalesce(F.col("gender"), F.lit("unknown")), "gender", decimals)
 
 
-def churn_by_channel_topk(label: DataFrame, members: DataFrame, k: int = 8) -> DataFrame:
+def churn_by_channel_topk(label: DataFrame, members: DataFrame, k: int = 8, decimals: int = 6) -> DataFrame:
     """A5 + T1: the k largest registration channels with their churn rate.
 
     ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: per-partition top-k, then
     a k-row merge.  Ties on ``n`` break on the channel (nulls last) so the cut is exact.
     """
     j = labelled_members(label, members)
-    agg = _churn_rate_by(j, F.col("registered_via"), "registered_via")
+    agg = _churn_rate_by(j, F.col("registered_via"), "registered_via", decimals)
     return agg.orderBy(F.desc("n"), F.asc_nulls_last("registered_via")).limit(k)
 
 
-def churn_by_age_band(label: DataFrame, members: DataFrame) -> DataFrame:
+def churn_by_age_band(label: DataFrame, members: DataFrame, decimals: int = 6) -> DataFrame:
     """A5 + P6: churn rate per age band."""
     j = labelled_members(label, members)
-    return _churn_rate_by(j, age_band(F.col("bd")), "age_bucket")
+    return _churn_rate_by(j, age_band(F.col("bd")), "age_bucket", decimals)
 
 
 def latest_transaction_flags(txns: DataFrame, cutoff=None) -> DataFrame:
@@ -74,18 +82,18 @@ def latest_transaction_flags(txns: DataFrame, cutoff=None) -> DataFrame:
     )
 
 
-def renew_cancel_signals(label: DataFrame, txns: DataFrame, cutoff=None) -> DataFrame:
+def renew_cancel_signals(label: DataFrame, txns: DataFrame, cutoff=None, decimals: int = 6) -> DataFrame:
     """A6 + J3 + F10: churn rate by (auto-renew, cancel) of the latest payment."""
     latest = latest_transaction_flags(txns, cutoff)
     j = latest.join(label, "user_key", "inner")
     return (
         j.groupBy("is_auto_renew", "is_cancel")
-        .agg(F.count(F.lit(1)).alias("n"), r6(F.avg("is_churn") * PCT).alias("churn_pct"))
+        .agg(F.count(F.lit(1)).alias("n"), rate(F.avg("is_churn") * PCT, decimals).alias("churn_pct"))
         .withColumn("segment", segment_label(F.col("is_auto_renew"), F.col("is_cancel")))
     )
 
 
-def engagement_by_label(label: DataFrame, logs: DataFrame) -> DataFrame:
+def engagement_by_label(label: DataFrame, logs: DataFrame, decimals: int = 6) -> DataFrame:
     """A7 + J4: per-user active days and hours (all logs, unclipped), averaged per label.
 
     Users without logs count in ``n`` but not in the averages (null after the left join).
@@ -97,19 +105,19 @@ def engagement_by_label(label: DataFrame, logs: DataFrame) -> DataFrame:
     j = label.join(per_user, "user_key", "left")
     return j.groupBy("is_churn").agg(
         F.count(F.lit(1)).alias("n"),
-        r6(F.avg("active_days")).alias("avg_active_days"),
-        r6(F.avg("total_hours")).alias("avg_total_hours"),
+        rate(F.avg("active_days"), decimals).alias("avg_active_days"),
+        rate(F.avg("total_hours"), decimals).alias("avg_total_hours"),
     )
 
 
-def inactive_share(label: DataFrame, logs: DataFrame) -> DataFrame:
+def inactive_share(label: DataFrame, logs: DataFrame, decimals: int = 6) -> DataFrame:
     """J5 + U1: percent of labelled users with no activity row at all."""
     seen = logs.select("user_key").distinct().withColumn("_seen", F.lit(1))
     j = label.join(seen, "user_key", "left")
     return j.agg(
         F.count(F.lit(1)).alias("n_users"),
         F.count_if(F.col("_seen").isNull()).alias("n_inactive"),
-        r6(F.avg(F.when(F.col("_seen").isNull(), 1).otherwise(0)) * PCT).alias("pct_inactive"),
+        rate(F.avg(F.when(F.col("_seen").isNull(), 1).otherwise(0)) * PCT, decimals).alias("pct_inactive"),
     )
 
 
