@@ -266,6 +266,15 @@ def q_calibration_summary(c: Context) -> DataFrame:
     return me.calibration_summary(c.calibrated_test)
 
 
+@query("final_model_metrics")
+def q_final_model_metrics(c: Context) -> DataFrame:
+    """Selected model after isotonic calibration, test split: every metric on P(churn)."""
+    cal = c.calibrated_test.select(
+        F.lit("joint_isotonic").alias("model_id"), "split", "user_key", "is_churn", F.col("p_iso").alias("score"),
+        "value_pred_log", "value_true", "value_true_log")
+    return me.model_metrics(cal, plan=c.plan)
+
+
 @query("temperature_scaled")
 def q_temperature_scaled(c: Context) -> DataFrame:
     t = cb.temperature_fit(c.model_split("joint", "val"))
