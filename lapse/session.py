@@ -22,6 +22,26 @@ SCALE_CONF = {
 }
 
 
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Cluster settings sized from the total input: about one initial shuffle partition per
+    ``target_partition_bytes`` of input (AQE coalesces small ones and splits skewed ones),
+    scan splits of the same size, and skew-join thresholds relative to it.
+
+    At 100 TB and 256 MB this gives ~400k initial partitions, capped at 200k; a key holding
+    a third of the rows then lands in partitions that AQE's skew join splits further.
+    """
+    parts = max(200, min(200_000, input_bytes // target_partition_bytes))
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lapse") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in SCALE_CONF.items():

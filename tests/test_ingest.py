@@ -65,3 +65,13 @@ def test_model_table_round_trip_prunes_split(spark):
     back = read_model_split(spark, d + "/mt", "val")
     assert [r.user_key for r in back.collect()] == [2]
     assert "PartitionFilters: [isnotnull(split" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recommended_conf_scales_with_input():
+    from lapse.session import recommended_conf
+
+    small = recommended_conf(10 << 30)
+    big = recommended_conf(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
