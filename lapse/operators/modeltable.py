@@ -112,16 +112,25 @@ def fit_category_map(train: DataFrame, cols=CATEGORICAL, plan: RankPlan = DEFAUL
 def apply_category_map(df: DataFrame, cmap: DataFrame, cols=CATEGORICAL) -> DataFrame:
     """Left join each feature's codes; unseen values and nulls get the unknown code.
 
-    The map is broadcast only when its measured row count is below BROADCAST_MAP_ROWS;
-    larger maps take a shuffled join.
+    The fitted map is read once with a row cap: up to BROADCAST_MAP_ROWS rows it comes to
+    the driver (a broadcast ships it through the driver anyway) and each feature joins a
+    broadcast local relation, so the map is not re-derived per feature.  A larger map
+    stays distributed and takes shuffled joins.
     """
-    sizes = {r["feature"]: r["cardinality"] for r in cmap.select("feature", "cardinality").distinct().collect()}
+    spark = df.sparkSession
+    rows = cmap.select("feature", "value", "code", "cardinality").limit(BROADCAST_MAP_ROWS + 1).collect()
+    small = len(rows) <= BROADCAST_MAP_ROWS
+    if small:
+        sizes = {r["feature"]: r["cardinality"] for r in rows}
+        cmap = spark.createDataFrame(rows, "feature string, value string, code int, cardinality int")
+    else:
+        sizes = {r["feature"]: r["cardinality"] for r in cmap.select("feature", "cardinality").distinct().collect()}
     out = df
     for c in cols:
         m = cmap.filter(F.col("feature") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}")
         )
-        m = F.broadcast(m) if sizes.get(c, 1) <= BROADCAST_MAP_ROWS else m
+        m = F.broadcast(m) if small else m
         unknown = sizes.get(c, 1) - 1
         out = (
             out.join(m, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
