@@ -45,7 +45,7 @@ def priority_scores(cal: DataFrame, prob: str = "p_iso", plan: RankPlan = DEFAUL
 
 def _thresholds(df: DataFrame, col: str, plan: RankPlan) -> tuple[float, float]:
     q = {round(r["q"], 6): r["value"] for r in exact_quantiles(df, col, SEGMENT_QUANTILES, plan=plan).collect()}
-    return r6_py(q[SEGMENT_QUANTILES[0]]), r6_py(q[SEGMENT_QUANTILES[1]])
+    return r6_py(q.get(SEGMENT_QUANTILES[0])), r6_py(q.get(SEGMENT_QUANTILES[1]))  # None when empty
 
 
 def r6_py(x: float | None) -> float | None:
@@ -55,7 +55,9 @@ def r6_py(x: float | None) -> float | None:
     return None if x is None else math.floor(x * 1e6 + 0.5) / 1e6
 
 
-def _level(col: str, lo: float, hi: float) -> F.Column:
+def _level(col: str, lo: float | None, hi: float | None) -> F.Column:
+    if lo is None or hi is None:
+        return F.lit(None).cast("string")
     c = F.col(col)
     return F.when(c < F.lit(lo), "low").when(c > F.lit(hi), "high").when(c.between(lo, hi), "medium")
 

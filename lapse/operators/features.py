@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from lapse.config import Windows
 from lapse.functions.scalar import (
-    MAX_DAILY_SECS, age_band, clip, completion_rate, ln1p, r6, tenure_days, valid_age, ymd_to_date,
+    MAX_DAILY_SECS, clip, completion_rate, ln1p, r6, tenure_days, valid_age, ymd_to_date,
 )
-from lapse.sources.roles import day_start, ts_between, ts_on_or_before
+from lapse.sources.roles import ts_between, ts_on_or_before
 
 COMPLETION_SUMS = {"num_25": "sum25", "num_50": "sum50", "num_75": "sum75", "num_985": "sum985", "num_100": "sum100"}
 
@@ -179,5 +179,5 @@ def leakage_audit(txns: DataFrame, w: Windows) -> DataFrame:
 
 __all__ = [
     "transaction_profile", "payment_profile", "latest_payment_method", "forward_value",
-    "engagement_window", "user_base_table", "derived_features", "leakage_audit", "age_band", "day_start",
+    "engagement_window", "user_base_table", "derived_features", "leakage_audit", "latest_order_key",
 ]

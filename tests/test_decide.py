@@ -45,3 +45,8 @@ def test_priority_rank_is_a_permutation(spark, rows_per_bucket):
     r = dc.priority_scores(cal, plan=RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=16))
     ranks = sorted(x.rank for x in r.collect())
     assert ranks == list(range(1, 41))
+
+
+def test_segments_on_empty_input_are_empty(spark):
+    empty = _ranked(spark, [(0.3, 1.0)]).limit(0)
+    assert dc.segment_representatives(empty).count() == 0

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapse.config import Windows
-from lapse.functions.scalar import age_band, clip, r6, valid_age, ymd_to_date, tenure_days
+from lapse.functions.scalar import age_band, clip, tenure_days, valid_age, ymd_to_date
 from lapse.operators import features as feat
 from lapse.operators.modeltable import fit_category_map, fit_scaler
 

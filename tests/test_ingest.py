@@ -2,7 +2,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from lapse.sources import ingest as ing
 from lapse.sources.sinks import read_model_split, write_model_table
