@@ -94,13 +94,13 @@ def segment_representatives(ranked: DataFrame, plan: RankPlan = DEFAULT_PLAN) ->
     )
 
 
-def budget_policies(ranked: DataFrame, budget: Budget, seed: int = 42) -> DataFrame:
+def budget_policies(ranked: DataFrame, budget: Budget, seed: int = 42, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
     """Expected revenue saved when the n = budget // voucher vouchers go to the model's
     top-n, a reproducible random n, or the n highest churn probabilities; and the model's
     gain over each policy in percent (``model_uplift_pct``)."""
     n = budget.n_interventions
     model = top_n(ranked, n, [F.asc("rank")]).withColumn("policy", F.lit("model_priority"))
-    rand = hash_sample(ranked, n, seed, "user_key").withColumn("policy", F.lit("random"))
+    rand = hash_sample(ranked, n, seed, "user_key", plan).withColumn("policy", F.lit("random"))
     churn = top_n(ranked, n, [F.desc("p_churn"), F.asc("user_key")]).withColumn("policy", F.lit("churn_only"))
     picked = model.unionByName(rand).unionByName(churn)
     rev = picked.groupBy("policy").agg(
@@ -144,8 +144,9 @@ def rank_change_histogram(changes: DataFrame, n_bins: int = 50) -> DataFrame:
     return equal_width_histogram(changes, "rank_change", n_bins)
 
 
-def value_scatter_sample(pred: DataFrame, k: int = 20_000, seed: int = 42, zoom: float = 500.0) -> DataFrame:
+def value_scatter_sample(pred: DataFrame, k: int = 20_000, seed: int = 42, zoom: float = 500.0,
+                         plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
     """B5 + P10: reproducible k-row sample of (actual, predicted) value with the zoom flag."""
     s = pred.select("user_key", F.col("value_true").alias("actual"), r6(exp_m1(F.col("value_pred_log"))).alias("predicted"))
-    s = hash_sample(s, k, seed, "user_key")
+    s = hash_sample(s, k, seed, "user_key", plan)
     return s.withColumn("in_zoom", (F.col("actual") <= zoom) & (F.col("predicted") <= zoom))

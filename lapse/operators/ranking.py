@@ -23,6 +23,7 @@ non-null and not NaN.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -58,7 +59,8 @@ class RankPlan:
     max_buckets: int = MAX_BUCKETS
 
 
-DEFAULT_PLAN = RankPlan()
+# LAPSE_ROWS_PER_BUCKET overrides the default (tests use it to force many buckets on real data).
+DEFAULT_PLAN = RankPlan(rows_per_bucket=int(os.environ.get("LAPSE_ROWS_PER_BUCKET", ROWS_PER_BUCKET)))
 
 
 def _bound_le(bound, ov: Column, k: Column | None) -> Column:

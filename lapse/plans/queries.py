@@ -152,7 +152,7 @@ def q_split_profile(c: Context) -> DataFrame:
 
 @query("hash_sample")
 def q_hash_sample(c: Context) -> DataFrame:
-    return rk.hash_sample(c.features.select("user_key", "is_churn", "ltv"), 100, c.p.seed, "user_key")
+    return rk.hash_sample(c.features.select("user_key", "is_churn", "ltv"), 100, c.p.seed, "user_key", c.plan)
 
 
 @query("median_imputation")
@@ -312,7 +312,7 @@ def q_segment_representatives(c: Context) -> DataFrame:
 
 @query("budget_policies")
 def q_budget_policies(c: Context) -> DataFrame:
-    return dc.budget_policies(c.ranked, c.p.budget, c.p.seed)
+    return dc.budget_policies(c.ranked, c.p.budget, c.p.seed, plan=c.plan)
 
 
 @query("rank_sensitivity")
@@ -327,7 +327,7 @@ def q_rank_change_histogram(c: Context) -> DataFrame:
 
 @query("value_scatter_sample")
 def q_value_scatter_sample(c: Context) -> DataFrame:
-    return dc.value_scatter_sample(c.model_split("joint", "test"), seed=c.p.seed)
+    return dc.value_scatter_sample(c.model_split("joint", "test"), seed=c.p.seed, plan=c.plan)
 
 
 # ---- step 10: learners and ingest ------------------------------------------------------

@@ -50,7 +50,7 @@ def run_pipeline(spark: SparkSession, root: str, out: str, mode: str = "error")
     ranked = c.ranked
     write_csv(ranked, paths["retention_priority_scores"], mode)
     write_csv(dc.segment_representatives(ranked, plan=c.plan), paths["segments"], mode)
-    write_csv(dc.budget_policies(ranked, c.p.budget, c.p.seed), paths["budget_policies"], mode)
+    write_csv(dc.budget_policies(ranked, c.p.budget, c.p.seed, plan=c.plan), paths["budget_policies"], mode)
     write_json(dc.rank_sensitivity(c.rank_changes, c.p.budget.n_interventions, plan=c.plan),
                paths["rank_sensitivity"], mode)
     return paths
