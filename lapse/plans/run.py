@@ -1,6 +1,7 @@
 """Run the whole pipeline and write its deliverables.
 
     python -m lapse.plans.run --root /path/to/tables --out /shared/output
+    python -m lapse.plans.run --root /path/to/tables --query auc_by_model
 
 Stages: features -> split -> model table (Parquet per split) + manifest (JSON) ->
 prediction table -> metrics (JSON) and ablation table (CSV) -> isotonic calibration ->
@@ -59,13 +60,26 @@ def run_pipeline(spark: SparkSession, root: str, out: str, mode: str = "error")
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--root", required=True, help="folder with the input Parquet tables")
-    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    ap.add_argument("--out", help="output folder (shared storage on a cluster) for the whole pipeline")
+    ap.add_argument("--query", help="run one registered query instead, e.g. auc_by_model")
+    ap.add_argument("--show", type=int, default=20, help="rows to print with --query")
     ap.add_argument("--overwrite", action="store_true")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     from lapse.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
+    if args.query:
+        from lapse.plans.queries import all_queries
+
+        df = all_queries()[args.query](spark, args.root)
+        if args.out:
+            write_json(df, args.out, "overwrite" if args.overwrite else "error")
+        else:
+            df.show(args.show, truncate=False)
+        return
+    if not args.out:
+        ap.error("--out is required to run the pipeline")
     for name, path in run_pipeline(spark, args.root, args.out, "overwrite" if args.overwrite else "error").items():
         print(f"{name}: {path}")
 
