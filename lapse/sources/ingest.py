@@ -27,11 +27,14 @@ RAW_SCHEMAS: dict[str, list[tuple[str, T.DataType]]] = {
                   ("num_100", _I), ("num_unq", _I), ("total_secs", _F)],
 }
 NULLABLE = {("members", "gender")}
+# later snapshots share the shape of their base table
+SHAPE_OF = {"train_v2": "train", "transactions_v2": "transactions", "user_logs_v2": "user_logs"}
 # -------------------------------------------------------------------------------------------------
 
 
 def schema_of(table: str) -> T.StructType:
-    return T.StructType([T.StructField(n, t, (table, n) in NULLABLE) for n, t in RAW_SCHEMAS[table]])
+    shape = SHAPE_OF.get(table, table)
+    return T.StructType([T.StructField(n, t, (shape, n) in NULLABLE) for n, t in RAW_SCHEMAS[shape]])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -79,6 +82,16 @@ def convert(spark: SparkSession, table: str, csv_path: str, out_path: str) -> bo
     return True
 
 
+def ingest_all(spark: SparkSession, csv_root: str, out_root: str, tables: list[str]) -> DataFrame:
+    """Convert ``<csv_root>/<table>`` (a CSV file or folder) to ``<out_root>/<table>.parquet``
+    for every table, skipping outputs that exist, then report rows and bytes per table."""
+    from lapse.sources.tables import dataset_inventory
+
+    for t in tables:
+        convert(spark, t, f"{csv_root.rstrip('/')}/{t}", f"{out_root.rstrip('/')}/{t}.parquet")
+    return dataset_inventory(spark, out_root, tables)
+
+
 def transactions_csv_from_orders(spark: SparkSession, root: str, out_csv: str) -> None:
     """Write the driver ``orders`` as a raw transactions CSV (test input for the ingest path)."""
     from lapse.sources.tables import read_table

@@ -74,3 +74,12 @@ def test_recommended_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_ingest_all_reports_rows_and_bytes(spark):
+    d = tempfile.mkdtemp(prefix="lapse-t-", dir="/tmp")
+    _csv(d + "/csv/train", "a.csv", "u1,1\nu2,0\n")
+    _csv(d + "/csv/train_v2", "a.csv", "u1,0\n")
+    inv = {r.table_name: r for r in ing.ingest_all(spark, d + "/csv", d + "/pq", ["train", "train_v2"]).collect()}
+    assert inv["train"].n_rows == 2 and inv["train_v2"].n_rows == 1
+    assert inv["train"].n_bytes > 0
