@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.sources.tables import read_table
+from lapse.sources.tables import read_table, session_cached
 
 # ---- fixed values of the role binding (must match the oracle SQL) -------------------
 # Role rule, not sampling: every customer is labelled and scanned; 1 in 50 simply has no
@@ -57,6 +57,7 @@ def ts_between(ts: Column, lo: dt.date, hi: dt.date) -> Column:
     return (ts >= day_start(lo)) & ts_on_or_before(ts, hi)
 
 
+@session_cached
 def members(spark: SparkSession, root: str) -> DataFrame:
     c = read_table(spark, root, "customer")
     k = F.col("c_custkey")
@@ -76,6 +77,7 @@ def members(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@session_cached
 def transactions(spark: SparkSession, root: str) -> DataFrame:
     o = read_table(spark, root, "orders")
     return o.select(
@@ -91,6 +93,7 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@session_cached
 def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM) -> DataFrame:
     """One row per customer: ``is_churn`` = 1 when the customer has no order from ``churn_from`` on.
 
@@ -109,6 +112,7 @@ def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM) ->
     )
 
 
+@session_cached
 def logs(spark: SparkSession, root: str) -> DataFrame:
     e = read_table(spark, root, "events")
     out = [

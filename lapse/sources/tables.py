@@ -33,6 +33,22 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return df
 
 
+def session_cached(fn):
+    """Reuse a lazily built view per (session, arguments): no data is cached, only the
+    analysed plan, which saves the Python-side plan construction on repeated use."""
+    cache: dict = {}
+
+    def wrapper(spark: SparkSession, root: str, *args):
+        key = (id(spark), root, args)
+        df = cache.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = cache[key] = fn(spark, root, *args)
+        return df
+
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
 def register_views(spark: SparkSession, root: str, names=DRIVER_TABLES) -> None:
     """Temp view per table so operators can also be written in SQL."""
     for name in names:
