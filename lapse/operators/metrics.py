@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.scalar import exp_m1, r6
-from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, ordered_running
+from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, join_null_safe, ordered_running
 
 GROUP = ("model_id", "split")
 
@@ -36,7 +36,7 @@ def score_curve(pred: DataFrame, *, group: Sequence[str] = GROUP, score: str = "
     )
     r = ordered_running(d, score, descending=True, group=group, sums=["tp", "fp"], pos_col="_spos", plan=plan)
     totals = d.groupBy(*group).agg(F.sum("tp").alias("n_pos"), F.sum("fp").alias("n_neg"))
-    return r.join(F.broadcast(totals), group, "inner").drop("_spos")
+    return join_null_safe(r, F.broadcast(totals), group).drop("_spos")
 
 
 def ranking_metrics(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:

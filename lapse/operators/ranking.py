@@ -63,6 +63,20 @@ class RankPlan:
 DEFAULT_PLAN = RankPlan(rows_per_bucket=int(os.environ.get("LAPSE_ROWS_PER_BUCKET", ROWS_PER_BUCKET)))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where null matches null (group keys may be null); keeps one
+    copy of each key column."""
+    cols = list(cols)
+    if not cols:
+        raise ValueError("join_null_safe needs at least one key column")
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = left[c].eqNullSafe(r[f"_r_{c}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def _bound_le(bound, ov: Column, k: Column | None) -> Column:
     """bound <= row in the composite ascending order (ov, k)."""
     bv, bk = bound
@@ -201,7 +215,7 @@ def ordered_running(
         ]
     )
     offsets = df.sparkSession.createDataFrame(rows, schema)
-    j = out.join(F.broadcast(offsets), [*group, "_bucket"], "inner")
+    j = join_null_safe(out, F.broadcast(offsets), [*group, "_bucket"])
     j = j.withColumn(pos_col, F.col(pos_col) + F.col("_off_n"))
     for s in sums:
         j = j.withColumn(f"{s}_cum", F.col(f"{s}_cum") + F.col(f"_off_{s}"))
@@ -236,7 +250,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], *, group: Sequ
     r = ordered_running(dv, "_x", group=group, sums=["_c"], pos_col="_vpos", plan=plan)
     sizes = dv.groupBy(*group).agg(F.sum("_c").alias("_n"))
     qarr = F.array(*[F.lit(float(q)) for q in qs])
-    r = r.join(sizes, group, "inner") if group else r.withColumn("_n", sizes.select("_n").scalar())
+    r = join_null_safe(r, F.broadcast(sizes), group) if group else r.withColumn("_n", sizes.select("_n").scalar())
     # 0-based positions of the lower / upper order statistic for each q
     r = r.select("*", F.explode(qarr).alias("q"))
     hpos = (F.col("_n") - 1) * F.col("q")

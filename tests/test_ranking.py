@@ -81,3 +81,15 @@ def test_hash_sample_prefilter_is_exact(spark, rows_per_bucket):
     ref = [r.user_key for r in df.withColumn("_h", hash_order_key(42, "user_key"))
            .orderBy("_h", "user_key").limit(37).collect()]
     assert got == ref
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 5])
+def test_null_group_rows_are_kept(spark, rows_per_bucket):
+    rows = [(i, None if i % 3 == 0 else "g", float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, g string, v double")
+    plan = RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=8)
+    got = ordered_running(df, "v", k="k", group=["g"], plan=plan)
+    assert got.count() == 60
+    assert got.filter(F.col("g").isNull()).agg(F.max("pos")).first()[0] == 20
+    q = exact_quantiles(df, "v", [0.5], group=["g"], plan=plan).collect()
+    assert len(q) == 2
