@@ -171,8 +171,9 @@ def ordered_running(
         n_buckets = max(1, min(plan.max_buckets, math.ceil(n / max(1, plan.rows_per_bucket))))
         if n_buckets > coarse:
             st = df.agg(*quantile_cols(n_buckets)).first()
-        bounds = _composite_bounds(list(st["vq"] or []), list(st["kq"] or []) if kc is not None else None,
-                                   n_buckets)
+        vq = [x for x in (st["vq"] or []) if x is not None]
+        kq = [x for x in (st["kq"] or []) if x is not None] if kc is not None else None
+        bounds = _composite_bounds(vq, kq, n_buckets)
     bucket = _bucket_expr(bounds, ov, kc) if bounds else F.lit(0)
 
     b = df.withColumn("_bucket", bucket)

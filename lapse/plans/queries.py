@@ -346,6 +346,15 @@ def q_interaction_scorer(c: Context) -> DataFrame:
     return lr.fit_interaction_scorer(c.model_table, seed=c.p.seed)
 
 
+@query("learner_metrics")
+def q_learner_metrics(c: Context) -> DataFrame:
+    """Every metric per (learner, split) for the three MLlib learners (per-model evaluation)."""
+    mt_ = c.model_table
+    pred = (lr.fit_churn_scorer(mt_).unionByName(lr.fit_value_regressor(mt_))
+            .unionByName(lr.fit_interaction_scorer(mt_, seed=c.p.seed)))
+    return me.model_metrics(pred, plan=c.plan)
+
+
 @query("typed_ingest")
 def q_typed_ingest(c: Context) -> DataFrame:
     """Orders -> raw transactions CSV -> declared-schema, FAILFAST, no-null-checked Parquet."""
