@@ -58,13 +58,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder.
+
+    Order: the SparkContext's checkpoint folder, else the ``spark.checkpoint.dir`` setting
+    (read only: it cannot be changed on a running session), else — local runs and tests —
+    a fresh scratch folder registered with ``SparkContext.setCheckpointDir``.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
+        sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="lapse-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
