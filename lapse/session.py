@@ -64,7 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (read only: it cannot be changed on a running session), else — local runs and tests —
     a fresh scratch folder registered with ``SparkContext.setCheckpointDir``.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions expose no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lapse-ckpt-", dir="/tmp")
     current = sc.getCheckpointDir()
     if current:
         return current
