@@ -45,8 +45,12 @@ COMPLETION_EVENT = {               # event type -> completion counter column
 
 
 def day_start(d: dt.date) -> Column:
-    """Timestamp literal at 00:00 of ``d``, typed like the driver timestamps (NTZ)."""
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    """Timestamp literal at 00:00 of ``d``, typed like the driver timestamps (NTZ).
+
+    Built from text: a Python datetime literal would pass through the session time zone
+    and move the boundary; a string cast to TIMESTAMP_NTZ is zone-free.
+    """
+    return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def ts_on_or_before(ts: Column, d: dt.date) -> Column:

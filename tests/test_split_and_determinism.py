@@ -41,3 +41,20 @@ def test_results_independent_of_shuffle_partitions(spark):
                 assert rows == seen[k], (k, parts)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_results_independent_of_session_time_zone(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+
+    keys = ["user_base_table", "engagement_window", "leakage_audit"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        base = {}
+        for tz in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            for k in keys:
+                rows = sorted(tuple(r) for r in E.queries()[k](spark, SF001).collect())
+                assert base.setdefault(k, rows) == rows, (k, tz)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
