@@ -47,9 +47,8 @@ def stratified_split(df: DataFrame, *, key: str = "user_key", stratum: str = "is
     d = df.select(key, stratum, h.alias("_h")).withColumn(
         "_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")
     )
-    r = ordered_running(d, "_h60", tiebreak=["_h", key], group=[stratum], pos_col="_pos", plan=plan)
-    sizes = d.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(F.broadcast(sizes), stratum, "inner")
+    r = ordered_running(d, "_h60", tiebreak=["_h", key], group=[stratum], pos_col="_pos", totals=True, plan=plan)
+    r = r.withColumnRenamed("_rows_total", "_n")
     n_hold = F.expr(f"(_n * {holdout_pct} + 99) div 100")
     n_test = F.expr(f"((_n * {holdout_pct} + 99) div 100 * {test_pct_of_holdout} + 99) div 100")
     n_train = F.col("_n") - n_hold

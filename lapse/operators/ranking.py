@@ -133,12 +133,15 @@ def ordered_running(
     group: Sequence[str] = (),
     sums: Sequence[str] = (),
     pos_col: str = "pos",
+    totals: bool = False,
     plan: RankPlan = DEFAULT_PLAN,
 ) -> DataFrame:
     """Add ``pos_col`` (1-based position) and ``<s>_cum`` (inclusive running sums) per group.
 
     Order: ``v`` (desc if ``descending``), then ``k`` ascending, then ``tiebreak``
     ascending.  The order must be total within a group for ``pos`` to be unique.
+    With ``totals``, also ``_rows_total`` and ``<s>_total`` per group, taken from the
+    bucket totals (or a window over the same partitioning) instead of another pass.
     """
     group = list(group)
     kc = F.col(k) if k is not None else None
@@ -187,40 +190,62 @@ def ordered_running(
         out = out.withColumn(f"{s}_cum", F.sum(s).over(w))
 
     if not bounds:  # one bucket (at most rows_per_bucket rows): no offsets needed
+        if totals:
+            whole = Window.partitionBy(*group, "_bucket")
+            out = out.withColumn("_rows_total", F.count(F.lit(1)).over(whole))
+            for s_ in sums:
+                out = out.withColumn(f"{s_}_total", F.sum(s_).over(whole))
         return out.drop("_bucket")
 
     # Per (group, bucket) totals: at most groups x n_buckets rows, collected and prefixed.
-    totals = (
-        b.groupBy(*group, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s).alias(f"_t_{s}") for s in sums])
-        .collect()
-    )
-    totals.sort(key=lambda r: (tuple(str(r[g]) for g in group), r["_bucket"]))
+    bucket_totals = sorted(totals_rows_of(b, group, sums), key=lambda r: (tuple(str(r[g]) for g in group), r["_bucket"]))
+    grand: dict = {}
+    for r in bucket_totals:
+        gkey = tuple(r[g] for g in group)
+        acc = grand.setdefault(gkey, {"_n": 0, **{s_: 0 for s_ in sums}})
+        acc["_n"] += r["_n"]
+        for s_ in sums:
+            acc[s_] += r[f"_t_{s_}"] or 0
     rows, running, prev_key = [], None, object()
-    for r in totals:
+    for r in bucket_totals:
         gkey = tuple(r[g] for g in group)
         if gkey != prev_key:
-            running = {"_n": 0, **{s: 0 for s in sums}}
+            running = {"_n": 0, **{s_: 0 for s_ in sums}}
             prev_key = gkey
-        rows.append((*gkey, r["_bucket"], running["_n"], *[running[s] for s in sums]))
+        rows.append((*gkey, r["_bucket"], running["_n"], *[running[s_] for s_ in sums],
+                     grand[gkey]["_n"], *[grand[gkey][s_] for s_ in sums]))
         running["_n"] += r["_n"]
-        for s in sums:
-            running[s] += r[f"_t_{s}"] or 0
-    sum_types = {s: df.schema[s].dataType for s in sums}
+        for s_ in sums:
+            running[s_] += r[f"_t_{s_}"] or 0
+
+    def num_type(s_):
+        return T.DoubleType() if isinstance(df.schema[s_].dataType, (T.FloatType, T.DoubleType)) else T.LongType()
+
     schema = T.StructType(
         [df.schema[g] for g in group]
         + [T.StructField("_bucket", T.IntegerType()), T.StructField("_off_n", T.LongType())]
-        + [
-            T.StructField(f"_off_{s}", T.DoubleType() if isinstance(sum_types[s], (T.FloatType, T.DoubleType)) else T.LongType())
-            for s in sums
-        ]
+        + [T.StructField(f"_off_{s_}", num_type(s_)) for s_ in sums]
+        + [T.StructField("_rows_total", T.LongType())]
+        + [T.StructField(f"{s_}_total", num_type(s_)) for s_ in sums]
     )
     offsets = df.sparkSession.createDataFrame(rows, schema)
     j = join_null_safe(out, F.broadcast(offsets), [*group, "_bucket"])
     j = j.withColumn(pos_col, F.col(pos_col) + F.col("_off_n"))
-    for s in sums:
-        j = j.withColumn(f"{s}_cum", F.col(f"{s}_cum") + F.col(f"_off_{s}"))
-    return j.drop("_bucket", "_off_n", *[f"_off_{s}" for s in sums])
+    for s_ in sums:
+        j = j.withColumn(f"{s_}_cum", F.col(f"{s_}_cum") + F.col(f"_off_{s_}"))
+    drop = ["_bucket", "_off_n", *[f"_off_{s_}" for s_ in sums]]
+    if not totals:
+        drop += ["_rows_total", *[f"{s_}_total" for s_ in sums]]
+    return j.drop(*drop)
+
+
+def totals_rows_of(b: DataFrame, group: list, sums: Sequence[str]) -> list:
+    """Rows and sums per (group, bucket): at most groups x max_buckets rows to the driver."""
+    return (
+        b.groupBy(*group, "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s_).alias(f"_t_{s_}") for s_ in sums])
+        .collect()
+    )
 
 
 def average_rank_by_value(df: DataFrame, v: str, *, group: Sequence[str] = (), out: str = "avg_rank",
@@ -248,10 +273,9 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], *, group: Sequ
     group = list(group)
     vals = df.select(*group, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     dv = vals.groupBy(*group, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    r = ordered_running(dv, "_x", group=group, sums=["_c"], pos_col="_vpos", plan=plan)
-    sizes = dv.groupBy(*group).agg(F.sum("_c").alias("_n"))
+    r = ordered_running(dv, "_x", group=group, sums=["_c"], pos_col="_vpos", totals=True, plan=plan)
+    r = r.withColumnRenamed("_c_total", "_n")
     qarr = F.array(*[F.lit(float(q)) for q in qs])
-    r = join_null_safe(r, F.broadcast(sizes), group) if group else r.withColumn("_n", sizes.select("_n").scalar())
     # 0-based positions of the lower / upper order statistic for each q
     r = r.select("*", F.explode(qarr).alias("q"))
     hpos = (F.col("_n") - 1) * F.col("q")

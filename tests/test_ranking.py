@@ -93,3 +93,13 @@ def test_null_group_rows_are_kept(spark, rows_per_bucket):
     assert got.filter(F.col("g").isNull()).agg(F.max("pos")).first()[0] == 20
     q = exact_quantiles(df, "v", [0.5], group=["g"], plan=plan).collect()
     assert len(q) == 2
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 7])
+def test_group_totals_come_with_positions(spark, rows_per_bucket):
+    rows = [(i, "a" if i % 4 else "b", float(i % 9), i % 3) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, g string, v double, w long")
+    got = ordered_running(df, "v", k="k", group=["g"], sums=["w"], totals=True,
+                          plan=RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=16))
+    t = {r.g: (r._rows_total, r.w_total) for r in got.select("g", "_rows_total", "w_total").distinct().collect()}
+    assert t == {"a": (60, sum(r[3] for r in rows if r[1] == "a")), "b": (20, sum(r[3] for r in rows if r[1] == "b"))}
