@@ -9,7 +9,8 @@ false positive counts in descending score order via the bucketed prefix sum
 * average precision (step sum, not trapezoid): sum tp(s) / P * precision(s)
 * ROC and precision-recall point tables.
 
-Groups are ``(model_id, split)``: a bounded handful, so per-group totals are broadcast.
+Groups are ``(model_id, split)``; per-group positives and negatives come with the
+running sums (bucket totals), not from another aggregation.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.scalar import exp_m1, r6
-from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, join_null_safe, ordered_running
+from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, ordered_running
 
 GROUP = ("model_id", "split")
 
@@ -34,9 +35,9 @@ def score_curve(pred: DataFrame, *, group: Sequence[str] = GROUP, score: str = "
         F.sum(F.col(label)).cast("long").alias("tp"),
         (F.count(F.lit(1)) - F.sum(F.col(label))).cast("long").alias("fp"),
     )
-    r = ordered_running(d, score, descending=True, group=group, sums=["tp", "fp"], pos_col="_spos", plan=plan)
-    totals = d.groupBy(*group).agg(F.sum("tp").alias("n_pos"), F.sum("fp").alias("n_neg"))
-    return join_null_safe(r, F.broadcast(totals), group).drop("_spos")
+    r = ordered_running(d, score, descending=True, group=group, sums=["tp", "fp"], pos_col="_spos", totals=True,
+                        plan=plan)
+    return r.withColumnRenamed("tp_total", "n_pos").withColumnRenamed("fp_total", "n_neg").drop("_spos", "_rows_total")
 
 
 def ranking_metrics(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
