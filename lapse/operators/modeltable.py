@@ -102,10 +102,11 @@ def fit_category_map(train: DataFrame, cols=CATEGORICAL, plan: RankPlan = DEFAUL
         train.select(F.explode(F.array(*items)).alias("_i")).select("_i.*")
         .filter(F.col("value").isNotNull()).distinct()
     )
-    r = ordered_running(long, "_sk", tiebreak=["value"], group=["feature"], pos_col="_pos", plan=plan)
-    out = r.select("feature", "value", (F.col("_pos") - 1).cast("int").alias("code"))
-    card = long.groupBy("feature").agg((F.count(F.lit(1)) + 1).cast("int").alias("cardinality"))
-    return out.join(F.broadcast(card), "feature", "inner")
+    r = ordered_running(long, "_sk", tiebreak=["value"], group=["feature"], pos_col="_pos", totals=True, plan=plan)
+    return r.select(
+        "feature", "value", (F.col("_pos") - 1).cast("int").alias("code"),
+        (F.col("_rows_total") + 1).cast("int").alias("cardinality"),
+    )
 
 
 def apply_category_map(df: DataFrame, cmap: DataFrame, cols=CATEGORICAL) -> DataFrame:
