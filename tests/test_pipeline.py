@@ -16,3 +16,14 @@ def test_pipeline_writes_every_output(spark):
     mt = spark.read.parquet(paths["model_table"])
     assert {r.split for r in mt.select("split").distinct().collect()} == {"train", "val", "test"}
     assert mt.count() == spark.read.parquet(f"{SF001}/customer.parquet").count()
+
+
+def test_cli_runs_one_query(tmp_path):
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "lapse.plans.run", "--root", SF001, "--query", "label_balance",
+                          "--out", str(tmp_path / "lb")], cwd=repo, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert glob.glob(str(tmp_path / "lb" / "part-*"))
