@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapse.llm import minhash, substring
+from lapse.llm import bpe, minhash, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +30,17 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", *quality.FEATURES, "base_failed", "kept")
+
+
 @query
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
