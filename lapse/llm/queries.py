@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapse.llm import bpe, decontam, minhash, quality, substring
+from lapse.llm import bpe, decontam, minhash, quality, shards, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,11 +26,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"))
+    return shards.shuffle_into_shards(docs, 40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.new_archive_path(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    page = lambda c: F.regexp_extract(c, f"^{warc.URN}(-?[0-9]+)$", 1).try_cast("long")
+    return warc.read_archives(spark, path).filter("kind = 'record'").select(
+        page("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        F.when(F.col("type") == "revisit", page("refers_to")).alias("refers_to"))
+
+
+SQL["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS hex FROM p),
+b AS (
+  SELECT page_id, payload_bytes, (
+    SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + (((('0x' || substr(hex, 1 + 10 * (k // 8), 10))::UBIGINT >> (5 * (7 - k % 8))) & 31))::INT, 1), '' ORDER BY k)
+    FROM range(32) t(k)) AS payload_digest
+  FROM d),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM b)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM m"""
+
+
 @query
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
