@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import bpe, decontam, minhash, quality, shards, substring, warc
+from lapse.llm import bpe, chat, decontam, html, minhash, quality, shards, substring, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +85,17 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_chats(given.unionByName(more)))
+
+
+@query
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
