@@ -328,3 +328,31 @@ def round_trip_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_checked(docs: DataFrame, text_col: str = "text", vocabulary: tuple[str, str] | None = None) -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and ``decoded_sha256`` instead of the text; the ids are
+    decoded at once, and a text that they do not give back stops the job."""
+    path, pattern = vocabulary or default_vocabulary()
+    rest = [f for f in docs.schema.fields if f.name not in (text_col, "ids", "n_tokens", "decoded_sha256")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path, pattern)
+        for b in slices(batches):
+            texts = b.column("text").to_pylist()
+            ids, edges = bpe.encode(texts)
+            data, to = bpe.decode(ids, edges)
+            parts = [data[a:z].tobytes() for a, z in zip(to[:-1].tolist(), to[1:].tolist())]
+            if any(p != (t or "").encode() for p, t in zip(parts, texts)):
+                raise ValueError("decoded ids differ from the text")
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids)), pa.array(np.diff(edges)),
+                 pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())],
+                names=["row", "ids", "n_tokens", "decoded_sha256"])
+
+    row = T.StructType([T.StructField("_", T.IntegerType()), *rest])
+    schema = T.StructType([T.StructField("row", row), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("decoded_sha256", T.StringType())])
+    src = docs.select(F.struct(F.lit(0).alias("_"), *[f.name for f in rest]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    out = src.mapInArrow(run, schema)
+    return out.select(*[F.col("row")[f.name].alias(f.name) for f in rest], "ids", "n_tokens", "decoded_sha256")

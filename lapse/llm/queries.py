@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import bpe, chat, decontam, html, minhash, quality, shards, substring, warc
+from lapse.llm import bpe, chat, decontam, html, minhash, quality, shards, substring, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,3 +99,12 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.new_flat_path(spark)
+    tokens.write_flat(table(spark, sf_dir, "documents"), path)
+    out = tokens.token_counts(spark, path)
+    number = F.concat_ws("-", F.regexp_extract("file", r"part-(\d+)-", 1), F.regexp_extract("file", r"file=(\d+)/", 1))
+    return out.withColumn("file", number)
