@@ -131,7 +131,12 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         key, colon, value = raw.partition(b":")
         if not colon or not key.strip():
             raise Bad("header line")
-        head[key.strip().decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
+        name = key.strip().decode("latin-1").lower()
+        if name in head and name != "warc-concurrent-to":  # two records run into each other
+            raise Bad("header twice")
+        head[name] = value.strip().decode("utf-8", "replace")
+    if "warc-type" not in head or "warc-record-id" not in head:
+        raise Bad("mandatory header")
     length = head.get("content-length", "")
     if not length.isdigit():
         raise Bad("content length")
