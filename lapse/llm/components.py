@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from lapse.sources.store import materialize
 
+EDGES_PER_TASK = 250_000
+
 
 def _with_min(edges: DataFrame) -> DataFrame:
     """(u, v, m): every edge with the smallest of u and its neighbours.  The minimum is combined
@@ -25,9 +27,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
     return _with_min(both).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
-    j = _with_min(down.distinct())
+    j = _with_min(down.distinct().coalesce(tasks)).coalesce(tasks)
     return (
         j.select(F.col("v").alias("u"), F.col("m").alias("v"))
         .union(j.select("u", F.col("m").alias("v")))
@@ -49,13 +51,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     seen = None
     while True:
-        mark = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == seen:
-            break
-        seen = tuple(mark)
-        if not mark[0]:
+        mark = tuple(cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if mark == seen or not mark[0]:
             break
-        cur = materialize(_small_star(_large_star(cur)), "cc-edges")
+        seen = mark
+        tasks = -(-mark[0] // EDGES_PER_TASK)
+        cur = materialize(_small_star(_large_star(cur).coalesce(tasks), tasks).coalesce(tasks), "cc-edges")
     # converged: every edge is (node, smallest node), the smallest itself has no row
     out = cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return out.union(out.select("component", "component")).distinct()
+    return out.union(out.select("component", "component").distinct())

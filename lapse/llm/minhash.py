@@ -6,10 +6,8 @@
    sequence until it meets a non-empty one.
 2. ``BANDS`` runs of ``BINS / BANDS`` bins are hashed to bucket keys.  Texts with equal sets
    share one class, so a group of copies enters the buckets once.
-3. Every bucket yields a star: its members are paired with the smallest class id, never with
-   each other, so a bucket of n classes gives n - 1 candidates.  A bucket that is not one
-   component after its star gets further stars, each around another class outside the
-   bucket's largest component, until a round finds no new link.
+3. Every bucket yields stars: its members are paired with its smallest class, its largest and two
+   that a hash picks, never with each other, so n classes give fewer than 4n candidates.
 4. Candidates are confirmed on the full shingle sets (``100 * |A n B| >= percent * |A u B|``)
    and linked into connected components.
 
@@ -23,7 +21,6 @@ further columns are ignored by the labels and carried through by ``dedup``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -124,28 +121,26 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     b = texts.select(F.col("doc_id").alias("_ib"), F.col("text").alias("b"))
     j = pairs.join(a, F.col("v") == F.col("_ia")).select("u", "v", "a")
     j = j.join(b, F.col("u") == F.col("_ib")).select("u", "v", "a", "b")
-    return j.mapInArrow(shared_percent(shingle, percent), "u long, v long").distinct()
-
-
-def _outsider_stars(crowded: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Further stars (rep, n_shingles, hub) of buckets that span several components: the hub is a
-    class outside the bucket's largest component, another one each turn; members of the hub's
-    own component are left out."""
-    placed = crowded.select("key", "rep", "n_shingles").join(
-        labels.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).withColumn("component", F.coalesce("component", "rep"))
-    part = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    large = (
-        part.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("large"))
-        .filter("parts > 1").select("key", F.col("large.component").alias("large"))
-    )
-    draw = F.xxhash64("rep", F.lit(turn))
-    hubs = (
-        placed.join(large, "key").filter("component <> large").groupBy("key")
-        .agg(F.min(F.struct(draw.alias("draw"), "rep", "component")).alias("h"))
-        .select("key", F.col("h.rep").alias("hub"), F.col("h.component").alias("own"))
-    )
-    return placed.join(hubs, "key").filter("component <> own").select("rep", "n_shingles", "hub")
+    return j.mapInArrow(shared_percent(shingle, percent), "u long, v long")
+
+
+def candidates(member: DataFrame, percent: int) -> DataFrame:
+    """Distinct (u, v) of the buckets' stars, from (rep, n_shingles, key).
+
+    The hubs of a bucket are its smallest and largest class and two that a hash picks, so that a
+    member far from one hub of a mixed bucket still meets others: at most four candidates a member.
+    Pairs whose set sizes alone rule the link out are left out.
+    """
+    draw = [F.xxhash64("rep", F.lit(k)) for k in (1, 2)]
+    picks = [(F.min("rep"), F.min_by("n_shingles", "rep")), (F.max("rep"), F.max_by("n_shingles", "rep"))]
+    picks += [(F.min_by("rep", d), F.min_by("n_shingles", d)) for d in draw]
+    stars = member.groupBy("key").agg(
+        *[c.alias(f"{name}{i}") for i, pick in enumerate(picks) for name, c in zip(("h", "n"), pick)]).filter("h0 <> h1")
+    stars = stars.select("key", F.array(*[F.struct(F.col(f"h{i}").alias("hub"), F.col(f"n{i}").alias("n")) for i in range(len(picks))]).alias("hubs"))
+    fits = lambda x: (x.hub != F.col("rep")) & (
+        100 * F.least(F.col("n_shingles"), x.n) >= percent * F.greatest(F.col("n_shingles"), x.n))
+    pairs = member.join(stars, "key").select("rep", F.explode(F.array_distinct(F.filter("hubs", fits))).alias("x"))
+    return pairs.select(F.least("x.hub", "rep").alias("u"), F.greatest("x.hub", "rep").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
@@ -163,42 +158,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         some.join(classes.filter("rep is not null"), ["s1", "s2"]).filter("doc_id = rep")
         .select("rep", "n_shingles", F.explode("keys").alias("key"))
     )
-    stars = member.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub <> top")
-    crowded = materialize(
-        member.join(stars.select("key", "hub"), "key").select("key", "rep", "n_shingles", "hub").distinct(),
-        "minhash-buckets",
-    )
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-
-    size = crowded.select(F.col("rep").alias("hub"), F.col("n_shingles").alias("n_hub")).distinct()
-
-    def candidates(stars_: DataFrame) -> DataFrame:
-        """Distinct (hub, member) whose set sizes alone do not rule the link out."""
-        return (
-            stars_.join(size, "hub")
-            .filter(100 * F.least("n_shingles", "n_hub") >= percent * F.greatest("n_shingles", "n_hub"))
-            .select(F.least("hub", "rep").alias("u"), F.greatest("hub", "rep").alias("v")).distinct()
-        )
-
+    pairs = materialize(candidates(member, percent), "minhash-candidates")
     # rows of one id whose texts are in several classes join these classes
     multi = (
         rows.filter("doc_id is not null and rep is not null").groupBy("doc_id")
         .agg(F.min("rep").alias("u"), F.max("rep").alias("top")).filter("u <> top").select("doc_id", "u")
     )
-    same_id = rows.join(multi, "doc_id").select("u", F.col("rep").alias("v")).filter("u <> v").distinct()
-
-    tested = [materialize(candidates(crowded.filter("rep <> hub")), "minhash-tested")]
-    links = [materialize(same_id.unionByName(confirm(tested[0], texts, shingle, percent)), "minhash-links")]
-    while True:
-        labels = connected_components(reduce(DataFrame.unionByName, links))
-        again = _outsider_stars(crowded, labels, len(links))
-        fresh = candidates(again).join(reduce(DataFrame.unionByName, tested), ["u", "v"], "left_anti")
-        fresh = materialize(fresh, "minhash-tested")
-        found = materialize(confirm(fresh, texts, shingle, percent), "minhash-links")
-        if found.isEmpty():
-            break
-        tested.append(fresh)
-        links.append(found)
+    same_id = rows.join(multi, "doc_id").select("u", F.col("rep").alias("v")).filter("u <> v")
+    labels = connected_components(confirm(pairs, texts, shingle, percent).unionByName(same_id))
     rep_label = labels.select(F.col("node").alias("rep"), "component")
     out = rows.join(rep_label, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")

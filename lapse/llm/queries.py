@@ -77,6 +77,63 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.FEATURES, "base_failed", "kept")
 
 
+SQL["op5_quality"] = """
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM t),
+g AS (
+  SELECT rid, j, count(*) OVER (PARTITION BY rid, gram) AS times
+  FROM (SELECT rid, j, words[j : j + 4] AS gram
+        FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS j FROM w WHERE len(words) >= 5))),
+r AS (
+  SELECT rid, count(DISTINCT k) AS n FROM (SELECT rid, unnest(range(j, j + 5)) AS k FROM g WHERE times > 1) GROUP BY rid),
+f AS (
+  SELECT w.rid, doc_id, lang, source, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN r ON w.rid = r.rid),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
+v AS (
+  SELECT rid, lang, source, ratio, floor(top / greatest(bottom, 1))::BIGINT AS v
+  FROM (SELECT rid, lang, source, unnest(['symbols', 'length', 'dup_lines', 'repeats']) AS ratio,
+               unnest([1000 * n_symbols, 100 * word_chars, 1000 * n_dup_lines, 1000 * n_repeat_words]) AS top,
+               unnest([n_words, n_words, n_lines, n_words]) AS bottom
+        FROM b)),
+k AS (
+  SELECT lang, source, ratio, 16 * shift + floor(v / pow(2, shift))::INT AS bucket, count(*) AS n
+  FROM (SELECT v.*, greatest(length(bin(v.v)) - 5, 0) AS shift FROM v JOIN b USING (rid) WHERE NOT base_failed)
+  GROUP BY ALL),
+cum AS (
+  SELECT 'o' AS level, lang, source, ratio, bucket, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket) AS c,
+         sum(n) OVER (PARTITION BY lang, source, ratio) AS total FROM k
+  UNION ALL
+  SELECT 'l', lang, NULL, ratio, bucket, sum(n) OVER (PARTITION BY lang, ratio ORDER BY bucket), sum(n) OVER (PARTITION BY lang, ratio)
+  FROM (SELECT lang, ratio, bucket, sum(n) AS n FROM k GROUP BY ALL)
+  UNION ALL
+  SELECT 'a', NULL, NULL, ratio, bucket, sum(n) OVER (PARTITION BY ratio ORDER BY bucket), sum(n) OVER (PARTITION BY ratio)
+  FROM (SELECT ratio, bucket, sum(n) AS n FROM k GROUP BY ALL)),
+q AS (
+  SELECT level, lang, source, ratio, max(total) AS total, min(bucket) FILTER (10 * c >= total) AS b1, min(bucket) FILTER (10 * c >= 5 * total) AS b5
+  FROM cum GROUP BY ALL),
+ql AS (
+  SELECT * REPLACE ((b1 - 16 * greatest(b1 // 16 - 1, 0)) * pow(2, greatest(b1 // 16 - 1, 0)) AS b1,
+                    (b5 - 16 * greatest(b5 // 16 - 1, 0)) * pow(2, greatest(b5 // 16 - 1, 0)) AS b5) FROM q),
+p AS (
+  SELECT o.lang, o.source, o.ratio,
+         CASE WHEN o.total >= 200 THEN o.b1 WHEN l.total >= 200 THEN l.b1 ELSE a.b1 END AS decile,
+         CASE WHEN o.total >= 200 THEN o.b5 WHEN l.total >= 200 THEN l.b5 ELSE a.b5 END AS median
+  FROM ql o JOIN ql l ON l.level = 'l' AND o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio
+  JOIN ql a ON a.level = 'a' AND o.ratio = a.ratio WHERE o.level = 'o'),
+verdict AS (
+  SELECT v.rid, bool_and(v.v <= median + 4 * (median - decile) + CASE p.ratio WHEN 'symbols' THEN 100 WHEN 'length' THEN 200 WHEN 'dup_lines' THEN 350 ELSE 200 END
+                  AND (p.ratio <> 'length' OR v.v >= median - 4 * (median - decile) - 200)) AS inside
+  FROM v JOIN p ON v.ratio = p.ratio AND v.lang IS NOT DISTINCT FROM p.lang AND v.source IS NOT DISTINCT FROM p.source GROUP BY v.rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(inside, false) AS kept
+FROM b LEFT JOIN verdict USING (rid)"""
+
+
 @query
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digest(table(spark, sf_dir, "documents"))
