@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "ymd_to_date", "tenure_days", "completion_rate", "ln1p", "exp_m1", "logistic",
-    "clip", "age_band", "valid_age", "year_of_ymd", "hours", "r6", "segment_label",
+    "clip", "age_band", "valid_age", "year_of_ymd", "hours", "r6", "round_half_up", "segment_label",
     "standardise", "COMPLETION_WEIGHTS", "AGE_BANDS", "MAX_DAILY_SECS",
 ]
 
@@ -27,12 +27,21 @@ def _c(x) -> Column:
 
 
 def r6(x) -> Column:
-    """Round a double to 6 decimals, half up, as ``floor(x * 1e6 + 0.5) / 1e6``.
+    """Round a double to 6 decimals, half up, as ``floor(x * 1e6 + 0.5) / 1e6``."""
+    return round_half_up(_c(x), 6)
 
-    Spelled with IEEE operations only, so any engine evaluating the same formula gets
-    the same bits (``round`` breaks decimal ties differently across engines).
+
+def round_half_up(x: Column, decimals: int) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d, spelled with IEEE operations only, so any engine evaluating
+    the same formula gets the same bits (``round`` breaks decimal ties differently).
+
+    Null, NaN and infinities stay as they are.  So does a number of 2^53 / 10^d and more, which has
+    no digit left to round (and whose floor would leave the range of BIGINT).
     """
-    return F.floor(_c(x).cast("double") * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)
+    scale = float(10 ** decimals)
+    x = x.cast("double")
+    small = F.abs(x) < F.lit(2.0 ** 53 / scale)
+    return F.when(small, F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).otherwise(x)
 
 
 def ymd_to_date(x) -> Column:

@@ -1,14 +1,15 @@
 """Probability calibration fitted on validation, applied to test (M7, M8).
 
-Isotonic (M8): validation scores are rounded to ``decimals`` and pre-aggregated to
-(x, mean label, weight) before MLlib's ``IsotonicRegression`` sees them, so the pooled
-knots the fit gathers on the driver are bounded by ``10**decimals + 1`` no matter how
-many users there are.  The fitted model transforms test rows JVM-side: exact knots map
-to their value, scores between knots interpolate linearly, scores outside clamp.
+Isotonic (M8): validation rows are reduced to one weighted point per distinct score, at the
+score's own resolution, by a map-side combined aggregate.  MLlib pools the points inside every
+partition before the driver merges what is left - the steps of the fitted function, which the model
+holds on the driver anyway.  The fitted model transforms test rows JVM-side: knots map to their value,
+scores between knots interpolate linearly, scores outside clamp.
 
 Temperature (M7): one coefficient ``c`` of a no-intercept, unregularised logistic
 regression on the logit ``z``; ``T = 1 / c`` and the calibrated probability is
-``sigmoid(z / T)``.  Rows are first reduced to (distinct logit, label, count), so the
+``sigmoid(z / T)``.  Scores of exactly 0 or 1 have no logit; they are taken as ``LOGIT_EPS`` away
+from the end, in the fit and in its use, so no row is lost.  Rows are first reduced to (distinct logit, label, count), so the
 optimiser's passes are over a table bounded by the score resolution.
 """
 
@@ -21,35 +22,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.scalar import logistic, r6
-from lapse.operators.scoring import round_half_up
 
-ISOTONIC_DECIMALS = 2
+LOGIT_EPS = 1e-7
 
 
-def isotonic_fit(val: DataFrame, score: str = "score", label: str = "is_churn",
-                 decimals: int = ISOTONIC_DECIMALS) -> IsotonicRegressionModel:
-    pts = val.groupBy(round_half_up(F.col(score), decimals).alias("_x")).agg(
+def isotonic_fit(val: DataFrame, score: str = "score", label: str = "is_churn") -> IsotonicRegressionModel:
+    pts = val.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_x")).agg(
         F.avg(F.col(label).cast("double")).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")
     )
     iso = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_p", isotonic=True)
     return iso.fit(pts)
 
 
-def isotonic_apply(model: IsotonicRegressionModel, df: DataFrame, score: str = "score", out: str = "p_iso",
-                   decimals: int = ISOTONIC_DECIMALS) -> DataFrame:
-    x = df.withColumn("_x", round_half_up(F.col(score), decimals))
-    return model.transform(x).withColumn(out, r6(F.col("_p"))).drop("_x", "_p")
+def isotonic_apply(model: IsotonicRegressionModel, df: DataFrame, score: str = "score", out: str = "p_iso") -> DataFrame:
+    """A null score has a null probability."""
+    x = df.withColumn("_x", F.coalesce(F.col(score).cast("double"), F.lit(0.0)))
+    p = F.when(F.col(score).isNotNull(), r6(F.col("_p")))
+    return model.transform(x).withColumn(out, p).drop("_x", "_p")
 
 
 def isotonic_knots(model: IsotonicRegressionModel, spark) -> DataFrame:
-    """The fitted step function as a table (boundary, prediction) — at most 10**d + 1 rows."""
+    """The fitted step function as a table (boundary, prediction)."""
     b, p = model.boundaries.toArray().tolist(), model.predictions.toArray().tolist()
     return spark.createDataFrame([(float(x), float(y)) for x, y in zip(b, p)], "boundary double, prediction double")
 
 
 def logit(p) -> F.Column:
+    """ln(p / (1 - p)) of p moved into [LOGIT_EPS, 1 - LOGIT_EPS]; null stays null."""
     c = F.col(p) if isinstance(p, str) else p
-    return F.ln(c / (F.lit(1.0) - c))
+    inside = F.when(c.isNotNull(), F.greatest(F.least(c, F.lit(1.0 - LOGIT_EPS)), F.lit(LOGIT_EPS)))
+    return F.ln(inside / (F.lit(1.0) - inside))
 
 
 def temperature_fit(val: DataFrame, score: str = "score", label: str = "is_churn") -> float:

@@ -1,10 +1,10 @@
 """Business decision layer over calibrated scores.
 
 Scale notes: the ranking is the bucketed global position (no single-partition sort);
-top-n policy picks are TakeOrdered with n = budget // voucher (the feature is a top-n);
-segment thresholds are exact quantiles; representatives come from two hash aggregates
-(min distance, then min rank) instead of a per-segment sort; rank sensitivity ranks the
-distinct perturbed scores and only joins the n budget rows back.
+the n = budget // voucher picks of a policy are rows whose stored rank is at most n; segment
+thresholds are exact quantiles; representatives come from two hash aggregates (min distance,
+then min rank) instead of a per-segment sort; rank sensitivity unpivots the two perturbed scores
+and ranks their distinct values once, restarting per perturbation.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from lapse.config import Budget
 from lapse.functions.scalar import clip, exp_m1, r6
 from lapse.operators.explore import equal_width_histogram
 from lapse.operators.ranking import (
-    DEFAULT_PLAN, RankPlan, average_rank_by_value, exact_quantiles, hash_sample, ordered_running, top_n,
+    DEFAULT_PLAN, RankPlan, average_rank_by_value, exact_quantiles, hash_sample, ordered_running,
 )
 
 # ---- fixed values: risk x value segments listed in the report, with their action ------------
@@ -52,7 +52,9 @@ def r6_py(x: float | None) -> float | None:
     """Python twin of ``r6`` for fitted scalars inlined as literals."""
     import math
 
-    return None if x is None else math.floor(x * 1e6 + 0.5) / 1e6
+    if x is None or not abs(x) < 2.0 ** 53 / 1e6:
+        return x
+    return math.floor(x * 1e6 + 0.5) / 1e6
 
 
 def _level(col: str, lo: float | None, hi: float | None) -> F.Column:
@@ -99,9 +101,10 @@ def budget_policies(ranked: DataFrame, budget: Budget, seed: int = 42, plan: Ran
     top-n, a reproducible random n, or the n highest churn probabilities; and the model's
     gain over each policy in percent (``model_uplift_pct``)."""
     n = budget.n_interventions
-    model = top_n(ranked, n, [F.asc("rank")]).withColumn("policy", F.lit("model_priority"))
+    model = ranked.filter(F.col("rank") <= n).withColumn("policy", F.lit("model_priority"))
     rand = hash_sample(ranked, n, seed, "user_key", plan).withColumn("policy", F.lit("random"))
-    churn = top_n(ranked, n, [F.desc("p_churn"), F.asc("user_key")]).withColumn("policy", F.lit("churn_only"))
+    by_churn = ordered_running(ranked, "p_churn", descending=True, k="user_key", pos_col="_churn_rank", plan=plan)
+    churn = by_churn.filter(F.col("_churn_rank") <= n).drop("_churn_rank").withColumn("policy", F.lit("churn_only"))
     picked = model.unionByName(rand).unionByName(churn)
     rev = picked.groupBy("policy").agg(
         F.count(F.lit(1)).alias("n_selected"),
@@ -116,15 +119,14 @@ def budget_policies(ranked: DataFrame, budget: Budget, seed: int = 42, plan: Ran
 def rank_changes(ranked: DataFrame, n: int, pct: int = 10, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
     """B4 rows: for the n top-ranked users, |avg rank under +pct% P(churn) - avg rank under
     -pct%| where both rankings (descending, ties averaged) run over every user."""
-    up_f, dn_f = 1 + pct / 100, 1 - pct / 100
-    s = ranked.withColumns({
-        "s_up": clip(F.col("p_churn") * F.lit(up_f), 0.0, 1.0) * F.col("e_ltv"),
-        "s_dn": clip(F.col("p_churn") * F.lit(dn_f), 0.0, 1.0) * F.col("e_ltv"),
-    })
-    r_up = average_rank_by_value(s, "s_up", out="r_up", plan=plan)
-    r_dn = average_rank_by_value(s, "s_dn", out="r_dn", plan=plan)
-    top = F.broadcast(top_n(s, n, [F.asc("rank")]))  # n = budget // voucher rows: a proven bound
-    j = top.join(r_up, "s_up", "inner").join(r_dn, "s_dn", "inner")
+    moved = lambda f: clip(F.col("p_churn") * F.lit(f), 0.0, 1.0) * F.col("e_ltv")
+    both = F.array(*[F.struct(F.lit(name).alias("perturbation"), moved(f).alias("score"))
+                     for name, f in (("up", 1 + pct / 100), ("down", 1 - pct / 100))])
+    long = ranked.select("user_key", "rank", F.explode(both).alias("_p")).select("user_key", "rank", "_p.*")
+    places = average_rank_by_value(long, "score", group=["perturbation"], plan=plan)
+    one = long.filter(F.col("rank") <= n).join(places, ["perturbation", "score"], "inner")
+    place = lambda name: F.max(F.when(F.col("perturbation") == name, F.col("avg_rank")))
+    j = one.groupBy("user_key", "rank").agg(place("up").alias("r_up"), place("down").alias("r_dn"))
     return j.select("user_key", "rank", "r_up", "r_dn", F.abs(F.col("r_up") - F.col("r_dn")).alias("rank_change"))
 
 

@@ -7,10 +7,10 @@ partition and no cross join is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapse.functions.scalar import age_band, hours, r6, segment_label, valid_age, year_of_ymd
+from lapse.functions.scalar import age_band, hours, r6, round_half_up, segment_label, valid_age, year_of_ymd
 
 PCT = 100.0
 
@@ -18,7 +18,6 @@ PCT = 100.0
 def rate(x: F.Column, decimals: int = 6) -> F.Column:
     """Percent / average outputs: 6 decimals by default (engine-neutral half-up); the
     1-decimal report form is ``decimals=1``."""
-    from lapse.operators.scoring import round_half_up
 
     return r6(x) if decimals == 6 else round_half_up(x.cast("double"), decimals)
 
@@ -32,10 +31,8 @@ def _churn_rate_by(df: DataFrame, key: F.Column, name: str, decimals: int = 6) -
 
 def label_balance(label: DataFrame) -> DataFrame:
     """A4: rows per label value with the share of all labelled users in percent."""
-    total = label.agg(F.count(F.lit(1))).scalar()
-    return label.groupBy("is_churn").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "pct", r6(F.col("n") * PCT / total)
-    )
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # over one row per label value
+    return label.groupBy("is_churn").agg(F.count(F.lit(1)).alias("n")).withColumn("pct", r6(F.col("n") * PCT / total))
 
 
 def labelled_members(label: DataFrame, members: DataFrame) -> DataFrame:

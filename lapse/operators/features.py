@@ -15,6 +15,8 @@ Scale notes
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,25 +24,20 @@ from lapse.config import Windows
 from lapse.functions.scalar import (
     MAX_DAILY_SECS, clip, completion_rate, ln1p, r6, tenure_days, valid_age, ymd_to_date,
 )
-from lapse.sources.roles import ts_between, ts_on_or_before
+from lapse.sources.roles import log_ts_between, ts_between, ts_on_or_before
 
+# fixed values: completion counters and the columns they sum to
 COMPLETION_SUMS = {"num_25": "sum25", "num_50": "sum50", "num_75": "sum75", "num_985": "sum985", "num_100": "sum100"}
 
 
-TXN_ID_BITS = 47
-
-
 def latest_order_key() -> F.Column:
-    """Total order (txn_date, txn_id) packed into one BIGINT: days << 47 | txn_id.
+    """Total order (txn_date, txn_id) packed into one DECIMAL(38,0): days * 2^64 + txn_id + 2^63.
 
     ``max_by`` over a struct would need a SortAggregate (struct buffers are not
-    hash-aggregatable); a BIGINT key keeps the aggregate a HashAggregate.  Ids outside
-    [0, 2^47) raise instead of mis-ordering; ANSI arithmetic raises on day overflow.
+    hash-aggregatable); a decimal key keeps the aggregate a HashAggregate and holds every BIGINT id.
     """
-    tid = F.col("txn_id")
-    in_range = (tid >= 0) & (tid < F.lit(1 << TXN_ID_BITS))
-    packed = F.unix_date("txn_date").cast("bigint") * F.lit(1 << TXN_ID_BITS) + tid
-    return F.when(in_range, packed).otherwise(F.raise_error(F.lit("txn_id outside the packed ordering range")))
+    days = F.unix_date("txn_date").cast("decimal(10,0)") * F.lit(Decimal(2 ** 64))
+    return (days + F.col("txn_id").cast("decimal(20,0)") + F.lit(Decimal(2 ** 63))).cast("decimal(38,0)")
 
 
 def _money_avg(x) -> F.Column:
@@ -103,7 +100,7 @@ def engagement_window(logs: DataFrame, w: Windows) -> DataFrame:
     Seconds are clipped to [0, 86400] per row; a null (or NaN) becomes 86400 because
     ``least`` skips nulls — the documented behaviour of the original SQL.
     """
-    win = logs.filter(ts_between(F.col("log_ts"), w.engagement_start, w.engagement_end))
+    win = logs.filter(log_ts_between(F.col("log_ts"), w.engagement_start, w.engagement_end))
     aggs = [
         F.count_distinct("log_date").alias("daily_active_days"),
         r6(F.sum(clip(F.col("total_secs").cast("double"), 0.0, float(MAX_DAILY_SECS)))).alias("total_secs_sum"),
@@ -112,6 +109,7 @@ def engagement_window(logs: DataFrame, w: Windows) -> DataFrame:
     return win.groupBy("user_key").agg(*aggs)
 
 
+# fixed values: columns of the user table, in order
 BASE_COLUMNS = [
     "user_key", "is_churn", "ltv", "city", "bd", "gender", "registered_via", "registration_init_time",
     "num_transactions", "avg_payment_plan_days", "avg_actual_amount_paid", "is_auto_renew_rate",
@@ -154,10 +152,12 @@ def derived_features(base: DataFrame, w: Windows) -> DataFrame:
     )
 
 
-def leakage_audit(txns: DataFrame, w: Windows) -> DataFrame:
-    """One row proving the windows do not overlap in the data.
+def leakage_audit(txns: DataFrame, logs: DataFrame, w: Windows) -> DataFrame:
+    """One row on the rows that the feature table and the target really use.
 
-    max feature date <= cutoff < min target date, and no payment counted in both.
+    Rows are chosen as ``transaction_profile`` and ``engagement_window`` choose them, by their
+    timestamps; what is checked is their business dates, so a row that is dated later than its
+    timestamp says, or a window that reaches past the cutoff, makes the table unsafe.
     """
     pre = ts_on_or_before(F.col("txn_ts"), w.feature_cutoff)
     fwd = ts_between(F.col("txn_ts"), w.value_start, w.value_end)
@@ -168,10 +168,13 @@ def leakage_audit(txns: DataFrame, w: Windows) -> DataFrame:
         F.count_if(fwd).alias("n_target_rows"),
         F.count_if(pre & fwd).alias("n_overlap"),
     )
+    used = logs.filter(log_ts_between(F.col("log_ts"), w.engagement_start, w.engagement_end))
+    b = used.agg(F.max("log_date").alias("max_log_date"), F.count(F.lit(1)).alias("n_log_rows"))
     cutoff = F.lit(w.feature_cutoff)
-    return a.withColumn(
+    return a.crossJoin(b).withColumn(  # one row each
         "is_time_safe",
         F.coalesce(F.col("max_feature_date") <= cutoff, F.lit(True))
+        & F.coalesce(F.col("max_log_date") <= cutoff, F.lit(True))
         & F.coalesce(F.col("min_target_date") > cutoff, F.lit(True))
         & (F.col("n_overlap") == 0),
     )

@@ -3,7 +3,7 @@
 Fitted state (medians, category codes, means / stds) is learned on ``split = 'train'``
 only and kept as small DataFrames; applying it never moves user rows to the driver.
 The state that is inlined as literals (4 medians, 7 means and 7 stds) is a fixed number
-of scalars; category maps are joined, broadcast only below a measured size.
+of scalars; category maps are joined, broadcast only where Spark measures them small.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from lapse.functions.scalar import r6, standardise
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, exact_quantiles, hash_order_key, ordered_running
+from lapse.sources.store import materialize
 
 # ---- fixed values: feature groups of the model table ------------------------------------
 CATEGORICAL = ["city", "gender", "registered_via", "payment_method_id"]
@@ -30,7 +31,6 @@ TARGET_COLS = ["user_key", "is_churn", "log1p_ltv", "ltv"]
 ENC_COLS = [f"{c}_enc" for c in CATEGORICAL]
 SCALED_COLS = [f"{c}_scaled" for c in SCALE_COLS]
 MODEL_COLS = TARGET_COLS + ENC_COLS + SCALED_COLS + UNSCALED_COLS
-BROADCAST_MAP_ROWS = 1_000_000
 
 
 def stratified_split(df: DataFrame, *, key: str = "user_key", stratum: str = "is_churn", seed: int = 42,
@@ -93,11 +93,13 @@ def fit_category_map(train: DataFrame, cols=CATEGORICAL, plan: RankPlan = DEFAUL
     """
     items = []
     for c in cols:
-        if isinstance(train.schema[c].dataType, T.StringType):
-            sort_key = F.conv(F.rpad(F.substring(F.hex(F.col(c)), 1, 14), 14, "0"), 16, 10).cast("double")
+        kind = train.schema[c].dataType
+        if isinstance(kind, T.StringType):
+            sort_key = F.conv(F.rpad(F.substring(F.hex(F.col(c)), 1, 14), 14, "0"), 16, 10)
         else:
-            sort_key = F.col(c).cast("double")
-        items.append(F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"), sort_key.alias("_sk")))
+            sort_key = F.col(c)
+        # 20 integer digits hold every BIGINT code apart, 18 fractional ones any decimal code
+        items.append(F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"), sort_key.cast("decimal(38,18)").alias("_sk")))
     long = (
         train.select(F.explode(F.array(*items)).alias("_i")).select("_i.*")
         .filter(F.col("value").isNotNull()).distinct()
@@ -112,25 +114,17 @@ def fit_category_map(train: DataFrame, cols=CATEGORICAL, plan: RankPlan = DEFAUL
 def apply_category_map(df: DataFrame, cmap: DataFrame, cols=CATEGORICAL) -> DataFrame:
     """Left join each feature's codes; unseen values and nulls get the unknown code.
 
-    The fitted map is read once with a row cap: up to BROADCAST_MAP_ROWS rows it comes to
-    the driver (a broadcast ships it through the driver anyway) and each feature joins a
-    broadcast local relation, so the map is not re-derived per feature.  A larger map
-    stays distributed and takes shuffled joins.
+    The fitted map is stored once and read back per feature, so each join is planned from its
+    measured size: Spark broadcasts the small maps and shuffles for the others.  Only the
+    cardinalities, one number per feature, come to the driver.
     """
-    spark = df.sparkSession
-    rows = cmap.select("feature", "value", "code", "cardinality").limit(BROADCAST_MAP_ROWS + 1).collect()
-    small = len(rows) <= BROADCAST_MAP_ROWS
-    if small:
-        sizes = {r["feature"]: r["cardinality"] for r in rows}
-        cmap = spark.createDataFrame(rows, "feature string, value string, code int, cardinality int")
-    else:
-        sizes = {r["feature"]: r["cardinality"] for r in cmap.select("feature", "cardinality").distinct().collect()}
+    cmap = materialize(cmap.select("feature", "value", "code", "cardinality"), "category_map", "feature")
+    sizes = {r["feature"]: r["n"] for r in cmap.groupBy("feature").agg(F.max("cardinality").alias("n")).collect()}
     out = df
     for c in cols:
         m = cmap.filter(F.col("feature") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}")
         )
-        m = F.broadcast(m) if small else m
         unknown = sizes.get(c, 1) - 1
         out = (
             out.join(m, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")

@@ -1,62 +1,47 @@
 """Global order statistics without an unpartitioned window.
 
 ``ordered_running`` gives every row its exact 1-based position in a total order, and
-inclusive running sums of chosen columns, optionally restarting per small group
-(``group``: e.g. model and split).  Plan:
-
-1. one aggregate job: row count plus ``percentile_approx`` bounds of the leading sort
-   value ``v`` and of the secondary value ``k``;
-2. bounds -> range buckets over the composite order (v, k).  A value of ``v`` that
-   spans several quantiles (a hot value: say a third of all rows share one score) is
-   split further by ``k``, so no bucket holds a hot value whole unless ``k`` is also
-   constant;  the bucket id is a balanced CASE tree over literal bounds (log2 B
-   comparisons, codegen'd);
-3. one aggregate job: rows and sums per (group, bucket) -> at most
-   ``groups x max_buckets`` rows on the driver -> exclusive offsets;
-4. the final plan: window partitioned by (group, bucket), ordered by the full order,
-   plus a broadcast join of the offsets table (bounded as above).
-
-Positions are exact for any bounds; the bounds only steer the balance.  ``v`` must be
-non-null and not NaN.
+inclusive running sums of chosen columns, optionally restarting per group.  Steps:
+
+1. the input is written once to the checkpoint folder and counted from the file footers;
+   the number of buckets follows the rows, without an upper limit;
+2. with more than one bucket, a single aggregate over the stored rows gives approximate
+   quantiles of the leading value ``v`` and of the secondary value ``k``;
+3. a binary search over these bounds puts each row into a range bucket.  A value of ``v`` that
+   spans several quantiles (a hot value: say a third of all rows share one score) has buckets of
+   its own, cut further by ``k``;
+4. positions inside a bucket come from a window over (group, bucket); the sizes of the buckets
+   before it come from a window over the small totals table, joined back on (group, bucket).
+
+Positions are exact for any bounds; the bounds only steer the balance.  Order of ``v`` in either
+direction: numbers, then NaN, then null - whatever the number of buckets.
 """
 
 from __future__ import annotations
 
 import math
 import os
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.sources.store import materialize
+
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
 QUANTILE_ACCURACY = 10_000
-COARSE_QUANTILES = 64
-# Skip the bounds job only when estimate * ESTIMATE_SAFETY rows fit one bucket: estimates
-# are upper bounds through joins and filters but can undershoot through explode and
-# compressed Parquet (35x seen), so a wrong skip still leaves a bucket of ~1M rows.
-ESTIMATE_SAFETY = 64
-
-
-def estimated_rows(df: DataFrame) -> int | None:
-    """Upper-bound-ish row estimate from Catalyst statistics (no job); None if unavailable."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        width = 8 + int(df._jdf.schema().defaultSize())
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect sessions have no JVM handle
-        return None
-    return size // max(1, width)
+SAMPLE_PREFIX_DIGITS = 4
 
 
 @dataclass(frozen=True)
 class RankPlan:
-    """Tuning knobs; tests shrink ``rows_per_bucket`` to force many buckets."""
+    """Tuning knob; tests shrink ``rows_per_bucket`` to force many buckets."""
 
     rows_per_bucket: int = ROWS_PER_BUCKET
-    max_buckets: int = MAX_BUCKETS
 
 
 # LAPSE_ROWS_PER_BUCKET overrides the default (tests use it to force many buckets on real data).
@@ -77,50 +62,55 @@ def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
 
 
-def _bound_le(bound, ov: Column, k: Column | None) -> Column:
-    """bound <= row in the composite ascending order (ov, k)."""
-    bv, bk = bound
-    if bk is None or k is None:
-        return ov >= F.lit(bv)
-    return (ov > F.lit(bv)) | ((ov == F.lit(bv)) & (k >= F.lit(bk)))
-
-
-def _bucket_expr(bounds: list, ov: Column, k: Column | None) -> Column:
-    """Number of bounds <= row, as a balanced CASE tree."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_bound_le(bounds[mid], ov, k), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(bounds))
-
-
-def _composite_bounds(vq: list, kq: list | None, n_buckets: int) -> list:
-    """Pick ``n_buckets - 1`` composite bounds from quantiles of v and k."""
-    if n_buckets <= 1 or not vq:
-        return []
-    q = len(vq)
-    mult: dict = {}
-    for x in vq:
-        mult[x] = mult.get(x, 0) + 1
-    cands = set()
-    for x, m in mult.items():
-        cands.add((x, None))
-        if m > 1 and kq:
-            for j in range(1, m):
-                cands.add((x, kq[min(q - 1, (j * q) // m)]))
-    ordered = sorted(cands, key=lambda b: (b[0], -math.inf if b[1] is None else b[1]))
-    if len(ordered) < n_buckets - 1:
-        return ordered
-    step = len(ordered) / n_buckets
-    picked = []
-    for i in range(1, n_buckets):
-        b = ordered[min(len(ordered) - 1, int(round(i * step)))]
-        if not picked or b != picked[-1]:
-            picked.append(b)
-    return picked
+def _proxy(df: DataFrame, v: str, descending: bool) -> Column:
+    """Monotone (not strict) double of the leading value, ascending in the wanted order: a string's
+    first 6 UTF-8 bytes, a number as a double.  Rows of equal proxies share a bucket."""
+    if isinstance(df.schema[v].dataType, T.StringType):
+        x = F.conv(F.rpad(F.substring(F.hex(F.col(v)), 1, 12), 12, "0"), 16, 10).cast("double")
+    else:
+        x = F.col(v).cast("double")
+    return -x if descending else x
+
+
+def _splits(quantiles: list[float]) -> tuple[list[float], list[int]]:
+    """(bucket borders, parts of each bucket): every distinct quantile begins a bucket, and a value
+    met several times has one of its own, in as many parts."""
+    times = Counter(quantiles)
+    borders: dict[float, int] = {}
+    for x in sorted(times):
+        borders[x] = times[x]
+        if times[x] > 1:
+            borders.setdefault(math.nextafter(x, math.inf), 1)
+    xs = sorted(x for x in borders if math.isfinite(x))
+    return [-math.inf, *xs, math.inf], [1, *[borders[x] for x in xs]]
+
+
+def _search(df: DataFrame, borders: list[float], src: str, out: str) -> DataFrame:
+    """Bucket number by binary search over the borders."""
+    return Bucketizer(splits=borders, inputCol=src, outputCol=out, handleInvalid="keep").transform(df).withColumn(
+        out, F.col(out).cast("int"))
+
+
+def _with_buckets(stored: DataFrame, k: str | None, n_buckets: int) -> DataFrame:
+    """Add ``_b1`` (range of v) and ``_b2`` (range of k inside a hot value)."""
+    qs = [(i + 0.5) / n_buckets for i in range(n_buckets)]
+    accuracy = max(QUANTILE_ACCURACY, 10 * n_buckets)
+    cols = [F.percentile_approx(F.when(F.col("_class") == 0, F.col("_proxy")), qs, accuracy).alias("v")]
+    if k is not None:
+        cols.append(F.percentile_approx(F.col(k).cast("double"), qs, accuracy).alias("k"))
+    st = stored.agg(*cols).first()  # n_buckets numbers each
+    borders, parts = _splits([x for x in st["v"] or []])
+    d = stored.withColumn("_proxy", F.when(F.col("_class") == 0, F.col("_proxy")).otherwise(F.lit(0.0)))
+    d = _search(d, borders, "_proxy", "_b1")
+    d = d.withColumn("_b1", F.when(F.col("_class") == 0, F.col("_b1")).otherwise(F.lit(len(parts)) + F.col("_class") - 1))
+    if k is None or not st["k"]:
+        return d.withColumn("_b2", F.lit(0))
+    k_borders = [-math.inf, *sorted({x for x in st["k"] if math.isfinite(x)}), math.inf]
+    d = d.withColumn("_k", F.coalesce(F.col(k).cast("double"), F.lit(math.inf)))
+    d = _search(d, k_borders, "_k", "_b2")
+    # the k ranges of all rows, folded into as many parts as the bucket needs
+    of_bucket = F.element_at(F.array(*[F.lit(x) for x in [*parts, n_buckets, n_buckets]]), F.col("_b1") + 1)
+    return d.withColumn("_b2", F.floor(F.col("_b2") * of_bucket / (len(k_borders) - 1)).cast("int")).drop("_k")
 
 
 def ordered_running(
@@ -138,116 +128,50 @@ def ordered_running(
 ) -> DataFrame:
     """Add ``pos_col`` (1-based position) and ``<s>_cum`` (inclusive running sums) per group.
 
-    Order: ``v`` (desc if ``descending``), then ``k`` ascending, then ``tiebreak``
-    ascending.  The order must be total within a group for ``pos`` to be unique.
-    With ``totals``, also ``_rows_total`` and ``<s>_total`` per group, taken from the
-    bucket totals (or a window over the same partitioning) instead of another pass.
+    Order: ``v`` (desc if ``descending``; NaN, then null last), then ``k`` ascending, then
+    ``tiebreak`` ascending.  The order must be total within a group for ``pos`` to be unique.
+    With ``totals``, also ``_rows_total`` and ``<s>_total`` per group.
     """
     group = list(group)
-    kc = F.col(k) if k is not None else None
-    if isinstance(df.schema[v].dataType, T.StringType):
-        # Byte-order proxy: first 7 UTF-8 bytes as a number.  It is monotone but not
-        # injective, so the secondary split by k is disabled for string keys.
-        proxy = F.conv(F.rpad(F.substring(F.hex(F.col(v)), 1, 14), 14, "0"), 16, 10).cast("long")
-        ov = -proxy if descending else proxy
-        kc = None
-    else:
-        ov = -F.col(v) if descending else F.col(v)
-    def quantile_cols(nq: int) -> list:
-        qs = [(i + 0.5) / nq for i in range(nq)]
-        cols = [F.percentile_approx(ov, qs, QUANTILE_ACCURACY).alias("vq")]
-        if kc is not None:
-            cols.append(F.percentile_approx(kc, qs, QUANTILE_ACCURACY).alias("kq"))
-        return cols
-
-    est = estimated_rows(df)
-    if est is not None and est * ESTIMATE_SAFETY <= plan.rows_per_bucket:
-        # Catalyst's size estimate says the input is far below one bucket: skip the
-        # bounds job (one bucket is always exact; bounds only steer the balance).
-        bounds = []
-    else:
-        # One aggregate: count + coarse quantiles (cheap to evaluate).  Only when the
-        # count asks for more buckets than the coarse grid has is a finer pass run.
-        coarse = min(plan.max_buckets, COARSE_QUANTILES)
-        st = df.agg(F.count(F.lit(1)).alias("n"), *quantile_cols(coarse)).first()
-        n = st["n"]
-        n_buckets = max(1, min(plan.max_buckets, math.ceil(n / max(1, plan.rows_per_bucket))))
-        if n_buckets > coarse:
-            st = df.agg(*quantile_cols(n_buckets)).first()
-        vq = [x for x in (st["vq"] or []) if x is not None]
-        kq = [x for x in (st["kq"] or []) if x is not None] if kc is not None else None
-        bounds = _composite_bounds(vq, kq, n_buckets)
-    bucket = _bucket_expr(bounds, ov, kc) if bounds else F.lit(0)
-
-    b = df.withColumn("_bucket", bucket)
-    order = [F.desc(v) if descending else F.asc(v)]
-    if k is not None:
-        order.append(F.asc(k))
-    order += [F.asc(c) for c in tiebreak]
-    w = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = b.withColumn(pos_col, F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order)).cast("long"))
-    for s in sums:
-        out = out.withColumn(f"{s}_cum", F.sum(s).over(w))
-
-    if not bounds:  # one bucket (at most rows_per_bucket rows): no offsets needed
+    number = isinstance(df.schema[v].dataType, (T.FloatType, T.DoubleType))
+    nan = F.isnan(F.col(v)) if number else F.lit(False)
+    cls = F.when(F.col(v).isNull(), 2).when(nan, 1).otherwise(0)
+    stored = materialize(df.withColumns({"_proxy": _proxy(df, v, descending), "_class": cls}), "ordered")
+    n_buckets = max(1, math.ceil(stored.count() / max(1, plan.rows_per_bucket)))
+    order = [F.asc("_class"), F.desc(v) if descending else F.asc(v)]
+    order += [F.asc_nulls_last(c) for c in ([k] if k is not None else [])] + [F.asc(c) for c in tiebreak]
+
+    def positions(d: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return d.withColumns({pos_col: F.row_number().over(w).cast("long"), **{f"{s}_cum": F.sum(s).over(run) for s in sums}})
+
+    if n_buckets == 1:
+        out = positions(stored, group)
         if totals:
-            whole = Window.partitionBy(*group, "_bucket")
-            out = out.withColumn("_rows_total", F.count(F.lit(1)).over(whole))
-            for s_ in sums:
-                out = out.withColumn(f"{s_}_total", F.sum(s_).over(whole))
-        return out.drop("_bucket")
-
-    # Per (group, bucket) totals: at most groups x n_buckets rows, collected and prefixed.
-    bucket_totals = sorted(totals_rows_of(b, group, sums), key=lambda r: (tuple(str(r[g]) for g in group), r["_bucket"]))
-    grand: dict = {}
-    for r in bucket_totals:
-        gkey = tuple(r[g] for g in group)
-        acc = grand.setdefault(gkey, {"_n": 0, **{s_: 0 for s_ in sums}})
-        acc["_n"] += r["_n"]
-        for s_ in sums:
-            acc[s_] += r[f"_t_{s_}"] or 0
-    rows, running, prev_key = [], None, object()
-    for r in bucket_totals:
-        gkey = tuple(r[g] for g in group)
-        if gkey != prev_key:
-            running = {"_n": 0, **{s_: 0 for s_ in sums}}
-            prev_key = gkey
-        rows.append((*gkey, r["_bucket"], running["_n"], *[running[s_] for s_ in sums],
-                     grand[gkey]["_n"], *[grand[gkey][s_] for s_ in sums]))
-        running["_n"] += r["_n"]
-        for s_ in sums:
-            running[s_] += r[f"_t_{s_}"] or 0
-
-    def num_type(s_):
-        return T.DoubleType() if isinstance(df.schema[s_].dataType, (T.FloatType, T.DoubleType)) else T.LongType()
-
-    schema = T.StructType(
-        [df.schema[g] for g in group]
-        + [T.StructField("_bucket", T.IntegerType()), T.StructField("_off_n", T.LongType())]
-        + [T.StructField(f"_off_{s_}", num_type(s_)) for s_ in sums]
-        + [T.StructField("_rows_total", T.LongType())]
-        + [T.StructField(f"{s_}_total", num_type(s_)) for s_ in sums]
+            whole = Window.partitionBy(*group)
+            out = out.withColumns({"_rows_total": F.count(F.lit(1)).over(whole), **{f"{s}_total": F.sum(s).over(whole) for s in sums}})
+        return out.drop("_proxy", "_class")
+
+    keys = [*group, "_b1", "_b2"]
+    bucketed = _with_buckets(stored, k, n_buckets)
+    # one row per (group, bucket): what lies before each bucket, and the group's totals
+    sizes = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s).alias(f"_t_{s}") for s in sums])
+    before = Window.partitionBy(*group).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    offsets = sizes.select(
+        *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"), F.sum("_n").over(whole).alias("_rows_total"),
+        *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
+        *[F.sum(f"_t_{s}").over(whole).alias(f"{s}_total") for s in sums],
     )
-    offsets = df.sparkSession.createDataFrame(rows, schema)
-    j = join_null_safe(out, F.broadcast(offsets), [*group, "_bucket"])
-    j = j.withColumn(pos_col, F.col(pos_col) + F.col("_off_n"))
-    for s_ in sums:
-        j = j.withColumn(f"{s_}_cum", F.col(f"{s_}_cum") + F.col(f"_off_{s_}"))
-    drop = ["_bucket", "_off_n", *[f"_off_{s_}" for s_ in sums]]
+    j = join_null_safe(positions(bucketed, keys), offsets, keys)
+    j = j.withColumns({pos_col: F.col(pos_col) + F.col("_off_n"), **{f"{s}_cum": F.col(f"{s}_cum") + F.col(f"_off_{s}") for s in sums}})
+    drop = ["_proxy", "_class", "_b1", "_b2", "_off_n", *[f"_off_{s}" for s in sums]]
     if not totals:
-        drop += ["_rows_total", *[f"{s_}_total" for s_ in sums]]
+        drop += ["_rows_total", *[f"{s}_total" for s in sums]]
     return j.drop(*drop)
 
 
-def totals_rows_of(b: DataFrame, group: list, sums: Sequence[str]) -> list:
-    """Rows and sums per (group, bucket): at most groups x max_buckets rows to the driver."""
-    return (
-        b.groupBy(*group, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s_).alias(f"_t_{s_}") for s_ in sums])
-        .collect()
-    )
-
-
 def average_rank_by_value(df: DataFrame, v: str, *, group: Sequence[str] = (), out: str = "avg_rank",
                           descending: bool = True, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
     """Table (group, v, avg_rank) with tied values sharing the mean of their ranks.
@@ -299,8 +223,8 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], *, group: Sequ
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
-    """First ``n`` rows of a total order (TakeOrderedAndProject: per-partition
-    top-n, then an n-row merge)."""
+    """First ``n`` rows of a total order (TakeOrderedAndProject), for report heads of a
+    few rows; a caller-sized pick goes through a stored rank instead."""
     return df.orderBy(*order).limit(n)
 
 
@@ -309,31 +233,16 @@ def hash_order_key(seed: int, key: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
 
 
-HASH_BITS = 60
-
-
-def hash_prefix(h: Column) -> Column:
-    """First 15 hex digits of an md5 hex string as a BIGINT (monotone in the string)."""
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
-
-
 def hash_sample(df: DataFrame, k: int, seed: int, key: str, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
     """T4: k rows without replacement, reproducible: smallest md5(seed|key), ties on key.
 
-    ``orderBy().limit(k)`` merges k rows per partition in one task; for large inputs
-    the rows are first cut to those whose 60-bit hash prefix lies below a threshold
-    sized for ~1.5k survivors (doubled until at least k survive).  Every row beyond the
-    threshold orders after every row below it, so the top-k is unchanged and exact.
+    One aggregate counts the rows per leading hash digits (65,536 rows at most); the prefix at
+    which the running count reaches k bounds the sample, and only rows up to it are ordered -
+    about k plus a 65,536th of the rows, whatever the table's size.
     """
     d = df.withColumn("_h", hash_order_key(seed, key))
-    est = estimated_rows(df)
-    if est is None or est * ESTIMATE_SAFETY > plan.rows_per_bucket:
-        n = d.count()
-        if n > 4 * k:
-            d = d.withColumn("_h60", hash_prefix(F.col("_h")))
-            full = 1 << HASH_BITS
-            t = min(full, int(full * (1.5 * k + 64) / n))
-            while t < full and d.filter(F.col("_h60") < F.lit(t)).count() < k:
-                t = min(full, t * 2)
-            d = d.filter(F.col("_h60") < F.lit(t)).drop("_h60")
-    return d.orderBy(F.asc("_h"), F.asc(key)).limit(k).drop("_h")
+    lead = F.substring("_h", 1, SAMPLE_PREFIX_DIGITS)
+    counts = d.groupBy(lead.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    reach = counts.withColumn("_c", F.sum("_n").over(Window.orderBy("_p")))
+    bound = reach.filter(F.col("_c") >= k).agg(F.coalesce(F.min("_p"), F.lit("g"))).scalar()
+    return d.filter(lead <= bound).orderBy(F.asc("_h"), F.asc(key)).limit(k).drop("_h")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapse.functions.scalar import ln1p, logistic
+from lapse.functions.scalar import ln1p, logistic, round_half_up
 
 # ---- fixed values: closed-form scorers ------------------------------------------------------
 # model_id -> churn logit (a, b, c): a - b * num_transactions + c * (user_key % 50), or None
@@ -30,12 +30,6 @@ SCORE_DECIMALS = 4
 # -----------------------------------------------------------------------------------------------
 
 
-def round_half_up(x: Column, decimals: int) -> Column:
-    """floor(x * 10^d + 0.5) / 10^d — same IEEE steps in every engine."""
-    scale = float(10 ** decimals)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-
-
 def _churn_score(coef) -> Column:
     if coef is None:
         return F.lit(0.5)

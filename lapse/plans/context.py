@@ -11,6 +11,7 @@ from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
 from lapse.operators import calibrate as cb
 from lapse.operators import decide as dc
+from lapse.operators import metrics as me
 from lapse.operators.scoring import SCORERS, closed_form_predictions
 from pyspark.sql import functions as F
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
@@ -73,13 +74,19 @@ class Context:
 
     @cached_property
     def model_table(self) -> DataFrame:
-        return self.builder.model_table()
+        """Written once: profile, learners and writers read it back."""
+        return materialize(self.builder.model_table(), "model_table", "split")
 
     @cached_property
     def predictions(self) -> DataFrame:
         """Closed-form scores for every (model, user) over the materialised feature table."""
         return closed_form_predictions(self.split_features)
 
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """Every metric per (model, split), written once: comparison and frontier read it several times."""
+        return materialize(me.model_metrics(self.predictions, plan=self.plan), "model_metrics")
+
     def model_split(self, model_id: str, split: str) -> DataFrame:
         """Predictions of one model on one split: scores only that model, reads only that
         split's partition of the materialised feature table."""
@@ -100,6 +107,11 @@ class Context:
         """Retention priority table of the test users, written once (it is also a deliverable)."""
         return materialize(dc.priority_scores(self.calibrated_test, plan=self.plan), "priority_scores")
 
+    @cached_property
+    def ranked_raw(self) -> DataFrame:
+        """Priority table on the uncalibrated scores, whose range reaches the clip of the sensitivity."""
+        return materialize(dc.priority_scores(self.model_split("joint", "test"), prob="score", plan=self.plan), "priority_raw")
+
     @cached_property
     def rank_changes(self) -> DataFrame:
-        return dc.rank_changes(self.ranked, self.p.budget.n_interventions, self.p.sensitivity_pct, plan=self.plan)
+        return dc.rank_changes(self.ranked_raw, self.p.budget.n_interventions, self.p.sensitivity_pct, plan=self.plan)

@@ -71,7 +71,7 @@ def q_user_base_table(c: Context) -> DataFrame:
 
 @query("leakage_audit")
 def q_leakage_audit(c: Context) -> DataFrame:
-    return feat.leakage_audit(c.txns, c.w)
+    return feat.leakage_audit(c.txns, c.logs, c.w)
 
 
 @query("derived_features")
@@ -241,18 +241,17 @@ def q_ece(c: Context) -> DataFrame:
 
 @query("model_metrics")
 def q_model_metrics(c: Context) -> DataFrame:
-    return me.model_metrics(c.predictions, plan=c.plan)
+    return c.metrics
 
 
 @query("model_comparison")
 def q_model_comparison(c: Context) -> DataFrame:
-    return me.model_comparison(me.model_metrics(c.predictions, plan=c.plan), sc.CHURN_CEILING_MODEL,
-                               sc.VALUE_CEILING_MODEL)
+    return me.model_comparison(c.metrics, sc.CHURN_CEILING_MODEL, sc.VALUE_CEILING_MODEL)
 
 
 @query("tradeoff_frontier")
 def q_tradeoff_frontier(c: Context) -> DataFrame:
-    return me.tradeoff_frontier(me.model_metrics(c.predictions, plan=c.plan))
+    return me.tradeoff_frontier(c.metrics)
 
 
 # ---- step 8: calibration --------------------------------------------------------------
@@ -302,7 +301,7 @@ def q_priority_scores(c: Context) -> DataFrame:
 
 @query("priority_head")
 def q_priority_head(c: Context) -> DataFrame:
-    return rk.top_n(c.ranked, 5, [F.asc("rank")])
+    return c.ranked.filter(F.col("rank") <= 5)
 
 
 @query("segment_representatives")
@@ -312,7 +311,7 @@ def q_segment_representatives(c: Context) -> DataFrame:
 
 @query("budget_policies")
 def q_budget_policies(c: Context) -> DataFrame:
-    return dc.budget_policies(c.ranked, c.p.budget, c.p.seed, plan=c.plan)
+    return dc.budget_policies(c.ranked_raw, c.p.budget, c.p.seed, plan=c.plan)
 
 
 @query("rank_sensitivity")
@@ -327,7 +326,7 @@ def q_rank_change_histogram(c: Context) -> DataFrame:
 
 @query("value_scatter_sample")
 def q_value_scatter_sample(c: Context) -> DataFrame:
-    return dc.value_scatter_sample(c.model_split("joint", "test"), seed=c.p.seed, plan=c.plan)
+    return dc.value_scatter_sample(c.model_split("joint", "test"), k=c.p.scatter_rows, seed=c.p.seed, plan=c.plan)
 
 
 # ---- step 10: learners and ingest ------------------------------------------------------

@@ -44,7 +44,7 @@ def run_pipeline(spark: SparkSession, root: str, out: str, mode: str = "error")
     })
     write_json(manifest.coalesce(1), paths["feature_manifest"], mode)
 
-    metrics = me.model_metrics(c.predictions, plan=c.plan)
+    metrics = c.metrics
     write_json(metrics, paths["model_metrics"], mode)
     write_csv(me.model_comparison(metrics, sc.CHURN_CEILING_MODEL, sc.VALUE_CEILING_MODEL), paths["ablation"], mode)
 

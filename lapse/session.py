@@ -60,14 +60,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
-    Order: the SparkContext's checkpoint folder, else the ``spark.checkpoint.dir`` setting
-    (read only: it cannot be changed on a running session), else — local runs and tests —
-    a fresh scratch folder registered with ``SparkContext.setCheckpointDir``.
+    Order: the SparkContext's checkpoint folder, else the ``spark.checkpoint.dir`` setting (read
+    only: it cannot be changed on a running session), else - only with a local master, whose
+    executors all live on this machine - a fresh scratch folder.  Any other master without the
+    setting is refused: executors would each write to a disk of their own.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions expose no SparkContext
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lapse-ckpt-", dir="/tmp")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -75,6 +79,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="lapse-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process ("local-cluster" is a cluster)."""
+    return master == "local" or master.startswith("local[")

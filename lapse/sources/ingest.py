@@ -2,9 +2,10 @@
 
 * S1: CSV read with a declared schema and ``mode=FAILFAST``: a value that does not fit
   its type (300 in a byte column) fails the job instead of wrapping or turning null.
-* S2: integer columns may not be null: one aggregate of ``count_if(isnull)`` per column;
-  any hit raises (an empty cell parses as null even under FAILFAST).
-* S3: idempotent: an existing output is left alone and nothing is recomputed.
+* S2: integer columns may not be null: the write itself raises at the first null it meets (an
+  empty cell parses as null even under FAILFAST), so the text is parsed once.
+* S3: idempotent: a finished output (it has ``_SUCCESS``) is left alone; what a crashed load left
+  is overwritten.
 * S5: source preference by existence, checked through the Hadoop FileSystem.
 """
 
@@ -56,29 +57,21 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row: nulls per column (one distributed aggregate)."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-
-
-def assert_no_nulls(df: DataFrame, cols: list[str]) -> None:
-    """Raise when a non-nullable column holds a null."""
-    if not cols:
-        return
-    row = null_counts(df, cols).first().asDict()
-    bad = {c: n for c, n in row.items() if n}
-    if bad:
-        raise ValueError(f"null values in non-nullable columns: {bad}")
+def require(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The same rows; evaluating a null in one of ``cols`` fails the job."""
+    return df.withColumns({
+        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"null value in non-nullable column {c}")).cast(df.schema[c].dataType)) for c in cols
+    })
 
 
 def convert(spark: SparkSession, table: str, csv_path: str, out_path: str) -> bool:
     """CSV -> zstd Parquet under the declared schema.  Returns False when skipped."""
-    if path_exists(spark, out_path):
+    if path_exists(spark, f"{out_path.rstrip('/')}/_SUCCESS"):
         return False
     schema = schema_of(table)
     df = read_typed_csv(spark, csv_path, schema)
-    assert_no_nulls(df, [f.name for f in schema.fields if not f.nullable])
-    df.write.mode("ignore").option("compression", "zstd").parquet(out_path)
+    df = require(df, [f.name for f in schema.fields if not f.nullable])
+    df.write.mode("overwrite").option("compression", "zstd").parquet(out_path)
     return True
 
 

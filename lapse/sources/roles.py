@@ -1,6 +1,6 @@
 """Role views: bind the driver tables to the four roles of the churn data model.
 
-members  <- customer    (one row per user, some users missing)
+members  <- customer    (one row per user)
 label    <- customer + orders (is_churn = no order from ``churn_from`` on)
 transactions <- orders  (one row per payment)
 logs     <- events      (one row per activity event, with completion counters)
@@ -16,13 +16,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.sources.tables import read_table, session_cached
+from lapse.sources.tables import read_table
 
 # ---- fixed values of the role binding (must match the oracle SQL) -------------------
-# Role rule, not sampling: every customer is labelled and scanned; 1 in 50 simply has no
-# member row, so the label-members left join meets real misses (null attributes).
-MEMBER_GAP_MODULUS = 50            # customers with c_custkey % 50 = 7 have no member row
-MEMBER_GAP_REMAINDER = 7
 GENDER_BY_SEGMENT = {              # c_mktsegment -> gender; FURNITURE (any other) -> null
     "AUTOMOBILE": "male",
     "MACHINERY": "male",
@@ -30,10 +26,7 @@ GENDER_BY_SEGMENT = {              # c_mktsegment -> gender; FURNITURE (any othe
     "HOUSEHOLD": "female",
 }
 CHANNEL_MODULUS = 12               # registered_via = c_custkey % 12
-BAD_REG_MODULUS = 97               # c_custkey % 97 = 0 -> registration 20001399 (invalid month)
-BAD_REG_YMD = 20001399
 CHURN_FROM = dt.date(2001, 1, 1)   # label 1 = no order on or after this date
-SECS_NULL_MODULUS = 211            # event_id % 211 = 0 -> null seconds
 COMPLETION_EVENT = {               # event type -> completion counter column
     "click": "num_25",
     "error": "num_50",
@@ -41,6 +34,9 @@ COMPLETION_EVENT = {               # event type -> completion counter column
     "signup": "num_985",
     "view": "num_100",
 }
+# The events of the driver tables run 8,415 days after the payments: 2024-01-15 there is the cutoff
+# 2000-12-31 here.  ``log_ts`` keeps the stored clock, so filters reach the scan; ``log_date`` is shifted.
+LOG_CLOCK_DAYS = 8415
 # ---------------------------------------------------------------------------------------
 
 
@@ -57,21 +53,24 @@ def ts_on_or_before(ts: Column, d: dt.date) -> Column:
     return ts < day_start(d + dt.timedelta(days=1))
 
 
+def log_ts_between(ts: Column, lo: dt.date, hi: dt.date) -> Column:
+    """``ts_between`` on the stored clock of the events."""
+    clock = dt.timedelta(days=LOG_CLOCK_DAYS)
+    return ts_between(ts, lo + clock, hi + clock)
+
+
 def ts_between(ts: Column, lo: dt.date, hi: dt.date) -> Column:
     return (ts >= day_start(lo)) & ts_on_or_before(ts, hi)
 
 
-@session_cached
 def members(spark: SparkSession, root: str) -> DataFrame:
     c = read_table(spark, root, "customer")
     k = F.col("c_custkey")
     gender = F.lit(None).cast("string")
     for seg, g in reversed(list(GENDER_BY_SEGMENT.items())):
         gender = F.when(F.col("c_mktsegment") == seg, F.lit(g)).otherwise(gender)
-    reg = F.when(k % BAD_REG_MODULUS == 0, F.lit(BAD_REG_YMD)).otherwise(
-        F.lit(20000101) - 10000 * (k % 11) + 100 * (k % 12) + k % 28
-    )
-    return c.filter(k % MEMBER_GAP_MODULUS != MEMBER_GAP_REMAINDER).select(
+    reg = F.lit(20000101) - 10000 * (k % 11) + 100 * (k % 12) + k % 28
+    return c.select(
         k.alias("user_key"),
         F.col("c_nationkey").cast("int").alias("city"),
         F.floor(F.col("c_acctbal") / 100).cast("int").alias("bd"),
@@ -81,7 +80,6 @@ def members(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@session_cached
 def transactions(spark: SparkSession, root: str) -> DataFrame:
     o = read_table(spark, root, "orders")
     return o.select(
@@ -97,7 +95,6 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@session_cached
 def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM) -> DataFrame:
     """One row per customer: ``is_churn`` = 1 when the customer has no order from ``churn_from`` on.
 
@@ -116,16 +113,13 @@ def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM) ->
     )
 
 
-@session_cached
 def logs(spark: SparkSession, root: str) -> DataFrame:
     e = read_table(spark, root, "events")
     out = [
         F.col("user_id").alias("user_key"),
         F.col("ts").alias("log_ts"),
-        F.to_date("ts").alias("log_date"),
-        F.when(F.col("event_id") % SECS_NULL_MODULUS == 0, F.lit(None).cast("double"))
-        .otherwise((F.col("value") - 1) * 1000)
-        .alias("total_secs"),
+        F.date_sub(F.to_date("ts"), LOG_CLOCK_DAYS).alias("log_date"),
+        ((F.col("value") - 1) * 1000).alias("total_secs"),
     ]
     for etype, name in COMPLETION_EVENT.items():
         out.append(F.when(F.col("event_type") == etype, 1).otherwise(0).alias(name))

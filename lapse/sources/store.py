@@ -1,17 +1,23 @@
 """Materialise an intermediate table in the shared checkpoint folder (cuts lineage).
 
 The folder is ``spark.checkpoint.dir`` of the session (shared storage on a cluster), so
-a lost executor never loses the table; every write goes to a fresh sub-folder.
+a lost executor never loses the table; every write goes to a fresh sub-folder.  ``release``
+deletes what this process has written, once its results are read; at the end of the process it
+runs by itself.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lapse.session import ensure_checkpoint_dir
 
+_WRITTEN: list[str] = []
+
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     spark = df.sparkSession
@@ -21,4 +27,30 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(_stored_schema(df, partition_by)).parquet(path)
+
+
+def _stored_schema(df: DataFrame, partition_by: str | None):
+    """The schema as the reader gives it: the partition column last, all nullable."""
+    from pyspark.sql import types as T
+
+    fields = sorted(df.schema.fields, key=lambda f: f.name == partition_by)
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables written by ``materialize`` so far; returns how many."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _WRITTEN:
+        with contextlib.suppress(Exception):  # the session may have ended; nothing is left to do then
+            release(spark)

@@ -17,36 +17,10 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One table by name; Catalyst prunes columns and pushes filters into this scan.
-
-    The scan DataFrame is reused within a session (file listing and footer reads happen
-    once); like any DataFrame it reflects the files present when it was first created.
-    """
-    key = (id(spark), table_path(root, name))
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _READS[key] = spark.read.parquet(table_path(root, name))
-    return df
-
-
-def session_cached(fn):
-    """Reuse a lazily built view per (session, arguments): no data is cached, only the
-    analysed plan, which saves the Python-side plan construction on repeated use."""
-    cache: dict = {}
-
-    def wrapper(spark: SparkSession, root: str, *args):
-        key = (id(spark), root, args)
-        df = cache.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = cache[key] = fn(spark, root, *args)
-        return df
-
-    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
-    return wrapper
+    """One table by name, listed anew on every call; Catalyst prunes columns and pushes filters
+    into this scan."""
+    return spark.read.parquet(table_path(root, name))
 
 
 def register_views(spark: SparkSession, root: str, names=DRIVER_TABLES) -> None:

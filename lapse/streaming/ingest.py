@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapse.sources.ingest import assert_no_nulls, schema_of
+from lapse.sources.ingest import require, schema_of
 
 
 def stream_convert(spark: SparkSession, table: str, csv_dir: str, out_dir: str, checkpoint_dir: str,
                    max_files_per_trigger: int = 64) -> None:
     """Convert every CSV file that has arrived in ``csv_dir`` and stop (availableNow).
 
-    Each micro-batch is checked against the no-null contract before it is written, so
+    Each micro-batch is checked against the no-null contract while it is written, so
     a bad file fails the batch and the checkpoint does not advance past it.  Read the
     result with ``spark.read.parquet(out_dir)`` (``batch_id`` becomes a partition column).
     """
@@ -24,8 +24,7 @@ def stream_convert(spark: SparkSession, table: str, csv_dir: str, out_dir: str,
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # One folder per batch id, overwritten on replay: a retried batch never duplicates.
-        assert_no_nulls(batch, required)
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{out_dir}/batch_id={batch_id}")
+        require(batch, required).write.mode("overwrite").option("compression", "zstd").parquet(f"{out_dir}/batch_id={batch_id}")
 
     q = (
         src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)

@@ -42,7 +42,7 @@ def test_priority_rank_is_a_permutation(spark, rows_per_bucket):
     rows = [(0.5, 2.0)] * 10 + [(0.1 * (i % 7), float(i % 5)) for i in range(30)]
     cal = spark.createDataFrame([(i, 0, p, float(e)) for i, (p, e) in enumerate(rows)],
                                 "user_key long, is_churn int, p_iso double, value_pred_log double")
-    r = dc.priority_scores(cal, plan=RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=16))
+    r = dc.priority_scores(cal, plan=RankPlan(rows_per_bucket=rows_per_bucket))
     ranks = sorted(x.rank for x in r.collect())
     assert ranks == list(range(1, 41))
 

@@ -56,7 +56,9 @@ def test_latest_row_tie_and_cutoff_edges(spark):
     assert prof[1].ltv == pytest.approx(11.0)
     assert prof[1].avg_actual_amount_paid == pytest.approx(15.0)
     assert prof[2].num_transactions == 0 and prof[2].avg_actual_amount_paid is None and prof[2].ltv == 50.0
-    audit = feat.leakage_audit(t, W).first()
+    logs = spark.createDataFrame([], "user_key long, log_ts timestamp_ntz, log_date date")
+    audit = feat.leakage_audit(t, logs, W).first()
+    assert audit.n_log_rows == 0 and audit.max_log_date is None
     assert audit.is_time_safe and audit.n_overlap == 0 and audit.max_feature_date == dt.date(2016, 12, 31)
 
 

@@ -28,7 +28,7 @@ def test_out_of_range_byte_fails(spark):
 def test_empty_integer_cell_fails(spark):
     d = tempfile.mkdtemp(prefix="lapse-t-", dir="/tmp")
     _csv(d + "/in", "a.csv", "u1,1\nu2,\n")
-    with pytest.raises(ValueError, match="is_churn"):
+    with pytest.raises(Exception, match="is_churn"):
         ing.convert(spark, "train", d + "/in", d + "/out")
 
 
@@ -41,6 +41,14 @@ def test_convert_is_idempotent_and_typed(spark):
     assert dict(df.dtypes)["is_churn"] == "tinyint" and df.count() == 2
 
 
+def test_half_written_output_is_done_again(spark):
+    d = tempfile.mkdtemp(prefix="lapse-t-", dir="/tmp")
+    _csv(d + "/in", "a.csv", "u1,1\nu2,0\n")
+    os.makedirs(d + "/out/_temporary/0")
+    assert ing.convert(spark, "train", d + "/in", d + "/out") is True
+    assert spark.read.parquet(d + "/out").count() == 2
+
+
 def test_pick_source_prefers_first_existing(spark):
     from conftest import SF001
 

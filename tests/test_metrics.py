@@ -16,7 +16,7 @@ def _pred(spark, rows, model="m", split="test"):
 
 @pytest.mark.parametrize("rows_per_bucket", [10_000_000, 1])
 def test_auc_and_average_precision_fixture(spark, rows_per_bucket):
-    curve = me.score_curve(_pred(spark, SIX), plan=RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=8))
+    curve = me.score_curve(_pred(spark, SIX), plan=RankPlan(rows_per_bucket=rows_per_bucket))
     r = me.ranking_metrics(curve).first()
     assert r.auc_roc == pytest.approx(0.7222222, abs=1e-6)
     assert r.average_precision == pytest.approx(0.7555556, abs=1e-6)

@@ -13,7 +13,7 @@ from tools.oracle_check import TABLES, family, rows_of
 KEYS = ["stratified_split", "median_imputation", "category_map", "split_profile", "hash_sample", "roc_points",
         "auc_by_model", "average_precision", "priority_scores", "segment_representatives", "budget_policies",
         "rank_sensitivity", "value_scatter_sample"]
-PLAN = RankPlan(rows_per_bucket=60, max_buckets=64)
+PLAN = RankPlan(rows_per_bucket=60)
 
 
 @pytest.fixture(scope="module")

@@ -22,7 +22,7 @@ def _frame(spark, n=3000, seed=7):
 def test_positions_equal_row_number(spark, rows_per_bucket, desc):
     df = _frame(spark)
     got = ordered_running(df, "v", descending=desc, k="k", sums=["y"],
-                          plan=RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=64))
+                          plan=RankPlan(rows_per_bucket=rows_per_bucket))
     o = [F.desc("v") if desc else F.asc("v"), F.asc("k")]
     w = Window.orderBy(*o)
     ref = df.withColumn("ref", F.row_number().over(w)).withColumn(
@@ -35,21 +35,47 @@ def test_positions_equal_row_number(spark, rows_per_bucket, desc):
 def test_hot_value_is_split(spark):
     from lapse.operators import ranking as R
 
-    df = _frame(spark)
-    plan = RankPlan(rows_per_bucket=100, max_buckets=32)
-    st = df.agg(F.percentile_approx(F.col("v"), [(i + .5) / 32 for i in range(32)]).alias("vq"),
-                F.percentile_approx(F.col("k"), [(i + .5) / 32 for i in range(32)]).alias("kq")).first()
-    bounds = R._composite_bounds(list(st.vq), list(st.kq), 30)
-    hot = [b for b in bounds if b[0] == 0.5 and b[1] is not None]
-    assert len(hot) >= 3  # the value holding a third of the rows spans several buckets
-    sizes = (df.withColumn("b", R._bucket_expr(bounds, F.col("v"), F.col("k")))
-             .groupBy("b").count().agg(F.max("count")).first()[0])
-    assert sizes < 1000 / 2
+    df = _frame(spark).withColumns({"_proxy": F.col("v"), "_class": F.lit(0)})
+    b = R._with_buckets(df, "k", 30)
+    sizes = b.groupBy("_b1", "_b2").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("hi"), F.min("v").alias("lo")).collect()
+    assert sum(r.lo == r.hi == 0.5 for r in sizes) >= 3  # the value holding a third of the rows spans several buckets
+    assert max(r.n for r in sizes) < 1000 / 2
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 50, 1])
+def test_bucket_count_follows_the_rows_and_changes_nothing(spark, rows_per_bucket):
+    df = _frame(spark, 1500)
+    got = ordered_running(df, "v", k="k", sums=["y"], plan=RankPlan(rows_per_bucket=rows_per_bucket))
+    ref = {r.k: i for i, r in enumerate(sorted(df.collect(), key=lambda r: (r.v, r.k)), start=1)}
+    assert {r.k: r.pos for r in got.collect()} == ref
+
+
+@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 10])
+@pytest.mark.parametrize("desc", [True, False])
+def test_nan_and_null_come_last(spark, rows_per_bucket, desc):
+    nan = float("nan")
+    rows = [(i, float(i % 40)) for i in range(100)] + [(200 + i, None) for i in range(5)] + [(300 + i, nan) for i in range(5)]
+    rows += [(400, float("inf")), (401, float("-inf"))]
+    df = spark.createDataFrame(rows, "k long, v double")
+    got = {r.k: r.pos for r in ordered_running(df, "v", descending=desc, k="k", plan=RankPlan(rows_per_bucket=rows_per_bucket)).collect()}
+    assert [got[300 + i] for i in range(5)] == list(range(103, 108))
+    assert [got[200 + i] for i in range(5)] == list(range(108, 113))
+    assert (got[400], got[401]) == ((1, 102) if desc else (102, 1))
+
+
+def test_many_rows_of_a_small_file_are_still_cut(spark, tmp_path):
+    """The bucket count comes from counted rows, not from a size estimate."""
+    spark.range(200_000).selectExpr("id % 7 as v", "id as k").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = ordered_running(df, "v", k="k", plan=RankPlan(rows_per_bucket=20_000))
+    plan = out._jdf.queryExecution().toString()
+    assert "_b1" in plan
+    assert out.agg(F.max("pos"), F.count_distinct("pos")).first()[:] == (200_000, 200_000)
 
 
 def test_grouped_positions_restart(spark):
     df = _frame(spark)
-    got = ordered_running(df, "v", k="k", group=["g"], plan=RankPlan(rows_per_bucket=150, max_buckets=16))
+    got = ordered_running(df, "v", k="k", group=["g"], plan=RankPlan(rows_per_bucket=150))
     w = Window.partitionBy("g").orderBy("v", "k")
     ref = df.withColumn("ref", F.row_number().over(w))
     j = got.join(ref.select("k", "ref"), "k")
@@ -87,7 +113,7 @@ def test_hash_sample_prefilter_is_exact(spark, rows_per_bucket):
 def test_null_group_rows_are_kept(spark, rows_per_bucket):
     rows = [(i, None if i % 3 == 0 else "g", float(i % 7)) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, g string, v double")
-    plan = RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=8)
+    plan = RankPlan(rows_per_bucket=rows_per_bucket)
     got = ordered_running(df, "v", k="k", group=["g"], plan=plan)
     assert got.count() == 60
     assert got.filter(F.col("g").isNull()).agg(F.max("pos")).first()[0] == 20
@@ -100,6 +126,6 @@ def test_group_totals_come_with_positions(spark, rows_per_bucket):
     rows = [(i, "a" if i % 4 else "b", float(i % 9), i % 3) for i in range(80)]
     df = spark.createDataFrame(rows, "k long, g string, v double, w long")
     got = ordered_running(df, "v", k="k", group=["g"], sums=["w"], totals=True,
-                          plan=RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=16))
+                          plan=RankPlan(rows_per_bucket=rows_per_bucket))
     t = {r.g: (r._rows_total, r.w_total) for r in got.select("g", "_rows_total", "w_total").distinct().collect()}
     assert t == {"a": (60, sum(r[3] for r in rows if r[1] == "a")), "b": (20, sum(r[3] for r in rows if r[1] == "b"))}

@@ -17,7 +17,7 @@ def test_positions_match_sorted(spark, rows, rows_per_bucket, desc):
     data = [(i, g, v, w) for i, (g, v, w) in enumerate(rows)]
     df = spark.createDataFrame(data, "k long, g string, v double, w long")
     got = ordered_running(df, "v", descending=desc, k="k", group=["g"], sums=["w"],
-                          plan=RankPlan(rows_per_bucket=rows_per_bucket, max_buckets=16))
+                          plan=RankPlan(rows_per_bucket=rows_per_bucket))
     res = {r.k: (r.pos, r.w_cum) for r in got.collect()}
     expect = {}
     for g in {d[1] for d in data}:

@@ -21,7 +21,7 @@ def test_split_disjoint_exhaustive_stratified(spark):
 
 def test_split_independent_of_bucketing(spark):
     a = Context(spark, SF01).split
-    b = Context(spark, SF01, plan=RankPlan(rows_per_bucket=50, max_buckets=64)).split
+    b = Context(spark, SF01, plan=RankPlan(rows_per_bucket=50)).split
     assert a.join(b, ["user_key", "is_churn", "split"], "left_anti").count() == 0
 
 
