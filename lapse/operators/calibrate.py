@@ -79,6 +79,11 @@ def temperature_fit(val: DataFrame, score: str = "score", label: str = "is_churn
     return float("inf") if coef <= 0 else 1.0 / coef
 
 
+def rounded(temperature: float) -> float:
+    """The temperature at four significant digits, below which two optimisers may differ."""
+    return temperature if temperature == float("inf") else float(f"{temperature:.4g}")
+
+
 def temperature_apply(df: DataFrame, temperature: float, score: str = "score", out: str = "p_temp") -> DataFrame:
     if temperature == float("inf"):
         return df.withColumn(out, F.lit(0.5))

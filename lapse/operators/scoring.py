@@ -19,10 +19,10 @@ from lapse.functions.scalar import ln1p, logistic, round_half_up
 #          -> value log  (a, b): (a + b * (user_key % 8)) * ln(1 + avg_actual_amount_paid), or None
 # A missing churn head scores a constant 0.5; a missing value head predicts null.
 SCORERS = {
-    "churn_only": ((3.0, 0.45, 0.06), None),
+    "churn_only": ((5.0, 0.45, 0.06), None),
     "value_only": (None, (0.2, 0.1)),
-    "joint": ((3.0, 0.45, 0.06), (0.2, 0.1)),
-    "joint_alt": ((2.5, 0.40, 0.05), (0.25, 0.08)),
+    "joint": ((5.0, 0.45, 0.06), (0.2, 0.1)),
+    "joint_alt": ((4.5, 0.40, 0.05), (0.25, 0.08)),
 }
 CHURN_CEILING_MODEL = "churn_only"
 VALUE_CEILING_MODEL = "value_only"

@@ -11,11 +11,13 @@ from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
 from lapse.operators import calibrate as cb
 from lapse.operators import decide as dc
+from lapse.operators import learn as lr
 from lapse.operators import metrics as me
 from lapse.operators.scoring import SCORERS, closed_form_predictions
 from pyspark.sql import functions as F
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
 from lapse.sources import roles
+from lapse.sources.ingest import pick_source
 from lapse.sources.store import materialize
 
 
@@ -44,7 +46,8 @@ class Context:
 
     @cached_property
     def logs(self) -> DataFrame:
-        return roles.logs(self.spark, self.root)
+        """Activity logs from the preferred source that exists (later snapshots first)."""
+        return roles.logs(self.spark, self.root, pick_source(self.spark, self.root, roles.LOG_SOURCES))
 
     @cached_property
     def base(self) -> DataFrame:
@@ -93,6 +96,29 @@ class Context:
         part = self.split_features.filter(F.col("split") == split)
         return closed_form_predictions(part, {model_id: SCORERS[model_id]})
 
+    @cached_property
+    def manifest(self) -> DataFrame:
+        return materialize(mt.feature_manifest(self.builder.category_map()), "feature_manifest")
+
+    @cached_property
+    def learners(self) -> lr.Learners:
+        return lr.Learners(self.model_table, self.manifest, self.p.seed)
+
+    @cached_property
+    def learned(self) -> DataFrame:
+        """Prediction table of the learned model with both heads, written once."""
+        return materialize(self.learners.joint(), "learned_predictions", "split")
+
+    @cached_property
+    def learned_calibrated(self) -> DataFrame:
+        """Learned test scores, isotonically calibrated on validation."""
+        iso = cb.isotonic_fit(self.learned.filter(F.col("split") == "val"))
+        return materialize(cb.isotonic_apply(iso, self.learned.filter(F.col("split") == "test")), "learned_calibrated")
+
+    @cached_property
+    def learned_ranked(self) -> DataFrame:
+        return materialize(dc.priority_scores(self.learned_calibrated, plan=self.plan), "learned_priority")
+
     @cached_property
     def isotonic(self):
         """Isotonic calibrator of the joint model, fitted on validation."""

@@ -6,14 +6,16 @@ them.  Column names equal those of the matching SQL in ``lapse.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lapse.operators import calibrate as cb
 from lapse.operators import decide as dc
 from lapse.operators import explore as ex
-from lapse.operators import learn as lr
+from lapse.operators.learn import joint_heads
 from lapse.sources import ingest as ing
 from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
@@ -24,6 +26,7 @@ from lapse.functions.scalar import r6
 from pyspark.sql import functions as F
 from lapse.plans.context import Context
 from lapse.session import ensure_checkpoint_dir
+from lapse.sources.store import materialize
 from lapse.sources.tables import dataset_inventory
 
 REGISTRY: dict[str, Callable[[Context], DataFrame]] = {}
@@ -182,7 +185,7 @@ def q_model_table(c: Context) -> DataFrame:
 
 @query("feature_manifest")
 def q_feature_manifest(c: Context) -> DataFrame:
-    return mt.feature_manifest(c.builder.category_map())
+    return c.manifest
 
 
 @query("class_weight")
@@ -276,14 +279,14 @@ def q_final_model_metrics(c: Context) -> DataFrame:
 
 @query("temperature_scaled")
 def q_temperature_scaled(c: Context) -> DataFrame:
-    t = cb.temperature_fit(c.model_split("joint", "val"))
+    t = cb.rounded(cb.temperature_fit(c.model_split("joint", "val")))
     return cb.temperature_apply(c.model_split("joint", "test"), t).select(
         "user_key", "score", "p_temp", F.lit(t).alias("temperature"))
 
 
 @query("calibration_ece")
 def q_calibration_ece(c: Context) -> DataFrame:
-    t = cb.temperature_fit(c.model_split("joint", "val"))
+    t = cb.rounded(cb.temperature_fit(c.model_split("joint", "val")))
     test = cb.temperature_apply(c.calibrated_test, t)
     parts = [
         me.expected_calibration_error(test.withColumn("method", F.lit(m)), c.p.n_reliability_bins, prob=col,
@@ -332,41 +335,69 @@ def q_value_scatter_sample(c: Context) -> DataFrame:
 # ---- step 10: learners and ingest ------------------------------------------------------
 @query("churn_scorer")
 def q_churn_scorer(c: Context) -> DataFrame:
-    return lr.fit_churn_scorer(c.model_table)
+    return c.learners.churn_scorer()
 
 
 @query("value_regressor")
 def q_value_regressor(c: Context) -> DataFrame:
-    return lr.fit_value_regressor(c.model_table)
+    return c.learners.value_regressor()
 
 
 @query("interaction_scorer")
 def q_interaction_scorer(c: Context) -> DataFrame:
-    return lr.fit_interaction_scorer(c.model_table, seed=c.p.seed)
+    return c.learners.interaction_scorer()
+
+
+@query("interaction_regressor")
+def q_interaction_regressor(c: Context) -> DataFrame:
+    return c.learners.interaction_regressor()
 
 
 @query("learner_metrics")
 def q_learner_metrics(c: Context) -> DataFrame:
-    """Every metric per (learner, split) for the three MLlib learners (per-model evaluation)."""
-    mt_ = c.model_table
-    pred = (lr.fit_churn_scorer(mt_).unionByName(lr.fit_value_regressor(mt_))
-            .unionByName(lr.fit_interaction_scorer(mt_, seed=c.p.seed)))
-    return me.model_metrics(pred, plan=c.plan)
+    """Every metric per (learner, split): four single heads and the joined model."""
+    heads = [c.learners.churn_scorer(), c.learners.value_regressor(), c.learners.interaction_scorer(), c.learners.interaction_regressor()]
+    pred = reduce(DataFrame.unionByName, [*heads, joint_heads(heads[0], heads[1], "learned_joint")])
+    return me.model_metrics(materialize(pred, "learner_predictions"), plan=c.plan)
 
 
-@query("typed_ingest")
-def q_typed_ingest(c: Context) -> DataFrame:
-    """Orders -> raw transactions CSV -> declared-schema, FAILFAST, no-null-checked Parquet."""
-    import uuid
+@query("learned_priority")
+def q_learned_priority(c: Context) -> DataFrame:
+    """Learned heads -> isotonic calibration -> priority ranking of the test users."""
+    return c.learned_ranked
+
 
-    from lapse.session import ensure_checkpoint_dir
+@query("churn_by_gender_report")
+def q_churn_by_gender_report(c: Context) -> DataFrame:
+    """F8: the report form at one decimal."""
+    return ex.churn_by_gender(c.label, c.members, decimals=1)
 
+
+def _ingested(c: Context, table: str, write_csv) -> DataFrame:
     base = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/lapse-ingest-{uuid.uuid4().hex[:12]}"
-    ing.transactions_csv_from_orders(c.spark, c.root, f"{base}/csv")
-    ing.convert(c.spark, "transactions", f"{base}/csv", f"{base}/parquet")
+    write_csv(c.spark, c.root, f"{base}/csv")
+    ing.convert(c.spark, table, f"{base}/csv", f"{base}/parquet")
     return c.spark.read.parquet(f"{base}/parquet")
 
 
+@query("typed_ingest_members")
+def q_typed_ingest_members(c: Context) -> DataFrame:
+    """Customers -> raw members CSV (empty genders) -> declared-schema Parquet."""
+    return _ingested(c, "members", ing.members_csv_from_customer)
+
+
+@query("typed_ingest_user_logs")
+def q_typed_ingest_user_logs(c: Context) -> DataFrame:
+    """Events -> raw user_logs CSV (float seconds) -> declared-schema Parquet."""
+    return _ingested(c, "user_logs", ing.user_logs_csv_from_events)
+
+
+@query("typed_ingest")
+def q_typed_ingest(c: Context) -> DataFrame:
+    """Orders -> raw transactions CSV -> declared-schema, FAILFAST, no-null-checked Parquet."""
+    return _ingested(c, "transactions", ing.transactions_csv_from_orders)
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name]
 

@@ -4,8 +4,9 @@
     python -m lapse.plans.run --root /path/to/tables --query auc_by_model
 
 Stages: features -> split -> model table (Parquet per split) + manifest (JSON) ->
-prediction table -> metrics (JSON) and ablation table (CSV) -> isotonic calibration ->
-priority scores, segments and budget policies (CSV) -> rank sensitivity (JSON).
+closed-form metrics (JSON) and ablation table (CSV) -> learned heads, trained from the written model
+table and manifest -> isotonic calibration and its results -> priority scores, segments and budget
+policies (CSV) -> rank sensitivity and final metrics (JSON).
 Every output is written by the executors; nothing is collected to the driver.
 """
 
@@ -21,11 +22,12 @@ from lapse.operators import metrics as me
 from lapse.operators import modeltable as mt
 from lapse.operators import scoring as sc
 from lapse.plans.context import Context
-from lapse.sources.sinks import write_csv, write_json, write_model_table
+from lapse.sources.sinks import read_manifest, write_csv, write_json, write_model_table
+from lapse.sources.store import release
 
 OUTPUTS = (
     "model_table", "feature_manifest", "model_metrics", "ablation", "retention_priority_scores",
-    "segments", "budget_policies", "rank_sensitivity",
+    "segments", "budget_policies", "rank_sensitivity", "calibration_results", "final_model_metrics",
 )
 
 
@@ -35,7 +37,7 @@ def run_pipeline(spark: SparkSession, root: str, out: str, mode: str = "error")
     paths = {name: f"{out.rstrip('/')}/{name}" for name in OUTPUTS}
 
     write_model_table(c.model_table, paths["model_table"], mode)
-    manifest = mt.feature_manifest(c.builder.category_map()).withColumns({
+    manifest = c.manifest.withColumns({
         "feature_cutoff": F.lit(str(w.feature_cutoff)),
         "value_window": F.array(F.lit(str(w.value_start)), F.lit(str(w.value_end))),
         "engagement_window": F.array(F.lit(str(w.engagement_start)), F.lit(str(w.engagement_end))),
@@ -48,12 +50,18 @@ def run_pipeline(spark: SparkSession, root: str, out: str, mode: str = "error")
     write_json(metrics, paths["model_metrics"], mode)
     write_csv(me.model_comparison(metrics, sc.CHURN_CEILING_MODEL, sc.VALUE_CEILING_MODEL), paths["ablation"], mode)
 
-    ranked = c.ranked
+    # the learned model reads what was written, like a job of its own would
+    c.model_table, c.manifest = spark.read.parquet(paths["model_table"]), read_manifest(spark, paths["feature_manifest"])
+    cal, ranked = c.learned_calibrated, c.learned_ranked
+    write_json(me.calibration_summary(cal), paths["calibration_results"], mode)
+    final = cal.withColumns({"model_id": F.lit("learned_isotonic"), "score": F.col("p_iso")})
+    write_json(me.model_metrics(final, plan=c.plan), paths["final_model_metrics"], mode)
     write_csv(ranked, paths["retention_priority_scores"], mode)
     write_csv(dc.segment_representatives(ranked, plan=c.plan), paths["segments"], mode)
     write_csv(dc.budget_policies(ranked, c.p.budget, c.p.seed, plan=c.plan), paths["budget_policies"], mode)
-    write_json(dc.rank_sensitivity(c.rank_changes, c.p.budget.n_interventions, plan=c.plan),
-               paths["rank_sensitivity"], mode)
+    changes = dc.rank_changes(ranked, c.p.budget.n_interventions, c.p.sensitivity_pct, plan=c.plan)
+    write_json(dc.rank_sensitivity(changes, c.p.budget.n_interventions, plan=c.plan), paths["rank_sensitivity"], mode)
+    release(spark)
     return paths
 
 

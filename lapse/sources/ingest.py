@@ -103,3 +103,23 @@ def transactions_csv_from_orders(spark: SparkSession, root: str, out_csv: str) -
         F.date_format(F.date_add(d, plan_days), "yyyyMMdd").cast("int").alias("membership_expire_date"),
         F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("is_cancel"),
     ).write.option("header", True).csv(out_csv)
+
+
+def members_csv_from_customer(spark: SparkSession, root: str, out_csv: str) -> None:
+    """Write the driver ``customer`` as a raw members CSV: genders are empty where unknown."""
+    from lapse.sources.roles import members
+
+    m = members(spark, root)
+    m.select(F.col("user_key").cast("string").alias("msno"), "city", "bd", "gender", "registered_via", "registration_init_time").write.option(
+        "header", True).csv(out_csv)
+
+
+def user_logs_csv_from_events(spark: SparkSession, root: str, out_csv: str) -> None:
+    """Write the driver ``events`` as a raw user_logs CSV, one row per event."""
+    from lapse.sources.roles import logs
+
+    e = logs(spark, root)
+    e.select(
+        F.col("user_key").cast("string").alias("msno"), F.date_format("log_date", "yyyyMMdd").cast("int").alias("date"),
+        "num_25", "num_50", "num_75", "num_985", "num_100", F.lit(1).alias("num_unq"), F.col("total_secs").cast("float").alias("total_secs"),
+    ).write.option("header", True).csv(out_csv)

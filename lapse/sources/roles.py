@@ -37,6 +37,7 @@ COMPLETION_EVENT = {               # event type -> completion counter column
 # The events of the driver tables run 8,415 days after the payments: 2024-01-15 there is the cutoff
 # 2000-12-31 here.  ``log_ts`` keeps the stored clock, so filters reach the scan; ``log_date`` is shifted.
 LOG_CLOCK_DAYS = 8415
+LOG_SOURCES = ["events_v2", "events"]  # the first that exists is read
 # ---------------------------------------------------------------------------------------
 
 
@@ -113,8 +114,8 @@ def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM) ->
     )
 
 
-def logs(spark: SparkSession, root: str) -> DataFrame:
-    e = read_table(spark, root, "events")
+def logs(spark: SparkSession, root: str, source: str = "events") -> DataFrame:
+    e = read_table(spark, root, source)
     out = [
         F.col("user_id").alias("user_key"),
         F.col("ts").alias("log_ts"),

@@ -16,6 +16,11 @@ def read_model_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("split") == split)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The feature manifest (feature, column, cardinality, embedding_dim, unknown_index) as written."""
+    return spark.read.schema("feature string, column string, cardinality int, embedding_dim int, unknown_index int").json(path)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     """Small result tables (manifest, metrics) as JSON lines."""
     df.write.mode(mode).json(path)
