@@ -64,6 +64,6 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, CONV)
     want = {1: [("", "first"), ("user", "a"), ("user", "b"), ("assistant", "")], None: [("assistant", "x")], 2: [("assistant", "long " * 20_000)],
             3: [("user", ""), ("user", "")]}
-    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(chat.format_chats(df.withColumnRenamed("conv_id", "c").withColumn("conv_id", df.conv_id))).collect()}
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(chat.format_chats(df.withColumn("turns", df.turn).withColumn("formatted", df.text))).collect()}
     assert got == {k: digest(v) for k, v in want.items()}
     assert chat.read_back(chat.format_chats(df.limit(0))).collect() == []

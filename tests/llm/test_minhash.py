@@ -77,10 +77,13 @@ def test_star_bounds_the_pairs_of_a_hot_group(spark, monkeypatch):
     seen = []
     keep = minhash.materialize
     monkeypatch.setattr(minhash, "materialize", lambda df, name, **k: seen.append((name, keep(df, name, **k))) or seen[-1][1])
-    rows = [(i, t, "en", "a", 1) for i, t in enumerate(near_copies(150, 8))] + [(1000 + i, "the same text again and again", "en", "a", 1) for i in range(500)]
-    minhash.near_duplicates(spark.createDataFrame(rows, DOCS), shingle=2).count()
+    base = prose(200, 8, 3000)
+    rows = [(i, " ".join(base[: i % 200] + [f"x{i}"] + base[i % 200 + 1 :]), "en", "a", 1) for i in range(400)]  # all pairs: 79,800
+    rows += [(1000 + i, "the same text again and again", "en", "a", 1) for i in range(500)]
+    out = minhash.near_duplicates(spark.createDataFrame(rows, DOCS), shingle=2)
+    assert {r.component_id for r in out.select("component_id").distinct().collect()} == {0, 1000}
     first = next(df for name, df in seen if name == "minhash-candidates").count()
-    assert 0 < first < 10 * 150
+    assert 399 <= first < 20 * 400
 
 
 def test_dedup_keeps_one_row_per_group_and_all_columns(spark, odd):
