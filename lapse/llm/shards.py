@@ -14,7 +14,8 @@
 
 Shard sizes differ by one at most (law ``rows``).  Defined cases: null texts and ids are rows like
 others; repeated rows are shuffled one by one; fewer rows than shards leave the last shards
-empty; an empty table gives an empty result; all columns are carried through.
+empty; an empty table gives an empty result; all columns are carried through, but columns named
+``shard`` or ``slot`` are replaced.
 """
 
 from __future__ import annotations
@@ -100,6 +101,7 @@ def communication_matrix(parts: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 7, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``df`` plus ``shard`` (0 ..) and ``slot`` (0 .. without gaps in each shard)."""
+    df = df.drop("shard", "slot")
     named = [F.col(c).alias(f"_c{i}") for i, c in enumerate(df.columns)]
     rows = materialize(df.select(*named, F.monotonically_increasing_id().alias("_at")), "shards-input")
     rows = rows.withColumns({"part": F.shiftright("_at", PLACE_BITS).cast("int"),

@@ -42,6 +42,13 @@ def test_odd_rows_and_clashing_columns(spark, odd, bucket_rows):
     assert Counter(map(str, (r[: len(df.columns)] for r in rows))) == Counter(map(str, map(tuple, df.collect())))
 
 
+def test_columns_of_the_result_names_are_replaced(spark):
+    df = spark.range(6).selectExpr("id", "'mine' as shard", "id as slot")
+    out = shards.shuffle_into_shards(df, 2)
+    assert out.columns == ["id", "shard", "slot"]
+    check(out.collect(), 6, 2)
+
+
 def test_empty_and_fewer_rows_than_shards(spark):
     assert shards.shuffle_into_shards(spark.createDataFrame([], DOCS), 4).collect() == []
     check(shards.shuffle_into_shards(spark.range(3), 5).collect(), 3, 5)
