@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapse.session import ensure_checkpoint_dir
+from lapse.sources.store import materialize
 
 ARCHIVE_BYTES = 16 << 20
 URN = "urn:x-page:"
@@ -58,11 +59,13 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     one = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                        payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
                        base32_sha1(payload).alias("digest"))
-    # counted before the shuffle; only payloads met more than once take part in the join
-    top = (
+    # counted before the shuffle; only payloads met more than once take part in the join.  Their
+    # table is stored, so Spark plans the join by its real size: while it is small the payloads
+    # are not shuffled
+    top = materialize(
         one.filter(F.col("payload_bytes") >= min_bytes).groupBy("digest", "payload_bytes")
         .agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        .select(F.col("digest").alias("_d"), F.col("payload_bytes").alias("_b"), "top")
+        .select(F.col("digest").alias("_d"), F.col("payload_bytes").alias("_b"), "top"), "warc-repeated",
     )
     j = one.join(top, (F.col("digest") == F.col("_d")) & (F.col("payload_bytes") == F.col("_b")), "left")
     again = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
