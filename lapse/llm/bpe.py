@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapse.llm.words import slices
+from lapse.llm.words import ranges, slices
 
 WIDE = 64
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Unicode White_Space, as the pattern's \s reads it
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 STRETCH = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
@@ -244,14 +244,6 @@ class Bpe:
         return self.decimal[ids][np.arange(8) < n[:, None]], total[edges]
 
 
-def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """start[0], start[0] + 1, ... (n[0] values), start[1], ..."""
-    total = np.cumsum(n)
-    if not len(total) or not total[-1]:
-        return np.zeros(0, np.int64)
-    return np.repeat(start - (total - n), n) + np.arange(total[-1])
-
-
 @functools.lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
