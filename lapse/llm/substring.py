@@ -6,7 +6,8 @@ of a ``GRAM``-word run inside the window, a function of the window's words alone
 together as one row keyed by the anchor: equal windows have equal anchors.  After that single
 exchange Spark counts every (anchor, window hash); a window counted twice or more is repeated, at
 either of its places.  An anchor met once only, whose row holds no hash twice, has no repeats
-and is dropped before the rows are unfolded.  Repeated windows return per document as bit
+and is dropped before the rows are unfolded.  Equal rows of one slice of the input are combined before
+the exchange, with a list of their owners, so a group of copies sends a row per slice.  Repeated windows return per document as bit
 masks, and overlapping or touching ones merge into maximal removal intervals.
 
 Anchor and window hash together are 128 bits of the window's words.
@@ -24,14 +25,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapse.llm.words import Words, slices, split_words
+from lapse.llm.words import Words, ranges, slices, split_words
 
 WINDOW = 35
 GRAM = 8
+COMBINED_BYTES = 2 << 20  # text within which equal rows are combined
 RUN = 32  # windows in one row at most; a bit mask of a row fits a long
 
 
@@ -61,19 +64,40 @@ def window_runs(w: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarra
     fresh[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
     run_start = np.flatnonzero(fresh)
     inside = np.arange(len(at)) - np.repeat(run_start, np.diff(np.append(run_start, len(at))))
-    head = np.flatnonzero(inside % RUN == 0)
+    head = np.flatnonzero(inside % min(RUN, window) == 0)
     return doc[head], at[head] - w.first[doc[head]], anchor[head], np.append(head, len(at)), full
 
 
+OWNER = pa.struct([("kid", pa.int64()), ("khash", pa.int32()), ("first", pa.int32())])
+
+
 def _emit(window: int, gram: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, size=COMBINED_BYTES):
             doc, first, anchor, edges, full = window_runs(split_words(b.column("text")), window, gram)
+            if not len(doc):
+                continue
+            # a run has at most as many windows as a window has words: its first and its last window
+            # cover all its words, and with their number they name it
+            n = np.diff(edges)
+            ends = (n, full[edges[1:] - 1], full[edges[:-1]], anchor)
+            order = np.lexsort(ends)
+            head = np.ones(len(order), bool)
+            head[1:] = np.any([x[order[1:]] != x[order[:-1]] for x in ends], axis=0)
+            lead = order[head]
+            many = np.diff(np.append(np.flatnonzero(head), len(order)))
+            kid, khash = b.column("kid").take(pa.array(doc)), b.column("khash").take(pa.array(doc))
+            firsts = pa.array(first.astype(np.int32))
+            rest = pa.array(order[~head])  # the owners beside the first, group by group
+            more = pa.StructArray.from_arrays([kid.take(rest), khash.take(rest), firsts.take(rest)], fields=list(OWNER))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many - 1)]).astype(np.int32)), more)
+            hashes = full[ranges(edges[lead], n[lead])]
+            at = pa.array(lead)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), b.column("kid").take(pa.array(doc)), b.column("khash").take(pa.array(doc)),
-                 pa.array(first.astype(np.int32)),
-                 pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(full.view(np.int64)))],
-                names=["anchor", "kid", "khash", "first", "hashes"],
+                [pa.array(anchor[lead].view(np.int64)), kid.take(at), khash.take(at), firsts.take(at),
+                 pc.if_else(pa.array(many > 1), lists, pa.scalar(None, lists.type)),
+                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n[lead])]).astype(np.int32)), pa.array(hashes.view(np.int64)))],
+                names=["anchor", "kid", "khash", "first", "more", "hashes"],
             )
 
     return run
@@ -93,14 +117,23 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(kid, khash, spans): per text that has repeated windows, an array of (first, mask), where bit
     i of mask says that the window that starts at word ``first + i`` occurs elsewhere too."""
     src = keyed(docs, id_col, text_col)
-    rows = src.mapInArrow(_emit(window, gram), "anchor long, kid long, khash int, first int, hashes array<long>")
-    met = F.count(F.lit(1)).over(Window.partitionBy("anchor"))
+    rows = src.mapInArrow(_emit(window, gram), "anchor long, kid long, khash int, first int, "
+                          "more array<struct<kid:long,khash:int,first:int>>, hashes array<long>")
+    rows = rows.withColumn("owners", F.lit(1) + F.coalesce(F.size("more"), F.lit(0)))
+    met = F.sum("owners").over(Window.partitionBy("anchor"))
     rows = rows.withColumn("met", met).filter("met > 1 or size(array_distinct(hashes)) < size(hashes)")
-    one = rows.select("anchor", "kid", "khash", "first", F.posexplode("hashes").alias("i", "hash"))
-    times = F.count(F.lit(1)).over(Window.partitionBy("anchor", "hash"))
+    one = rows.select("anchor", "kid", "khash", "first", "more", "owners", F.size("hashes").alias("n"), F.posexplode("hashes").alias("i", "hash"))
+    one = one.withColumn("more", F.when(F.col("i") == 0, F.col("more")))
+    times = F.sum("owners").over(Window.partitionBy("anchor", "hash"))
     again = one.withColumn("times", times).filter("times > 1")
-    masks = again.groupBy("anchor", "kid", "khash", "first").agg(
-        F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")
+    # a row of one owner has its repeated windows; of a row of several all windows are, once for each owner
+    own = F.array(F.struct("kid", "khash", "first", F.expr("shiftleft(1L, i)").alias("mask")))
+    whole = F.expr("shiftrightunsigned(-1L, 64 - n)")
+    each = F.transform(F.concat(F.array(F.struct("kid", "khash", "first")), F.col("more")),
+                       lambda o: F.struct(o.kid.alias("kid"), o.khash.alias("khash"), o.first.alias("first"), whole.alias("mask")))
+    flags = F.when(F.col("owners") == 1, own).when(F.col("i") == 0, each)
+    masks = again.select("anchor", F.explode(flags).alias("f")).select("anchor", "f.*").groupBy("anchor", "kid", "khash", "first").agg(
+        F.bit_or("mask").alias("mask")
     )
     return masks.groupBy("kid", "khash").agg(F.collect_list(F.struct("first", "mask")).alias("spans"))
 

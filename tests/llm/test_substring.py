@@ -82,6 +82,19 @@ def test_runs_hold_every_window_once():
     assert (places == at).all()
 
 
+def test_equal_runs_are_combined_with_all_their_owners():
+    import pyarrow as pa
+
+    text = " ".join(prose(200, 4))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(50), pa.int64()), pa.array([1] * 50, pa.int32()), pa.array([text] * 49 + ["x " + text])], names=["kid", "khash", "text"])
+    out = next(substring._emit(35, 8)(iter([batch])))
+    more = out.column("more")
+    assert out.num_rows < 3 * 30 and sum(1 + (len(m) if m.is_valid else 0) for m in more) >= 49 * 7
+    windows = sum(len(h) * (1 + (len(m) if m.is_valid else 0)) for h, m in zip(out.column("hashes"), more))
+    assert windows == 49 * 166 + 167
+
+
 def test_sliding_min():
     x = np.random.default_rng(0).integers(0, 1000, 200).astype(np.uint64)
     for width in (1, 2, 3, 7, 28, 200):
