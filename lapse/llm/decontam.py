@@ -5,9 +5,14 @@ An item of n words is looked for with windows of its size class: the largest cla
 fingerprinted (64-bit SimHash of its 5-word shingles); in a document the windows that start at
 multiples of the class's stride are, so any run of ``w + stride - 1`` shared words holds an equal
 window on either side.  Fingerprints are cut into ``RADIUS + 1`` blocks: two within the radius
-agree on one block at least, so the block tables find all of them.  Each hit is then placed: the
-item-sized window around it must reach the similarity on the exact shingles, weighted by their
-counts (``sum of smaller counts / sum of larger counts``).
+agree on one block at least, so the block tables find all of them.
+
+Copies with words changed here and there have no unchanged run of that length, so an exact path
+stands beside the fingerprints: a window that reaches the similarity lacks at most
+``n_shingles - least shared`` of the item's shingles, so it holds one of any larger choice of them.
+Each item is looked up by such a choice, its rarest shingles in the benchmark.  Every item-sized
+window over a hit of either path is then verified on the exact shingles, weighted by their counts
+(``sum of smaller counts / sum of larger counts``); the best one, the first of equals, is reported.
 
 The benchmark is taken in chunks of at most ``CHUNK_WORDS`` words; each chunk's tables travel to the
 tasks and every chunk sees every document, whole.  Documents are neither shuffled nor collected.
@@ -31,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapse.llm.words import slices, split_words
+from lapse.llm.words import mix64, ranges, slices, split_words
 
 SHINGLE = 5
 PERCENT = 80
@@ -39,6 +44,7 @@ RADIUS = 3
 BLOCK_BITS = 64 // (RADIUS + 1)
 MIN_WORDS = 8
 CHUNK_WORDS = 2_000_000
+HEAD_BITS = 20
 BATCH_BYTES = 1 << 20
 
 
@@ -89,14 +95,50 @@ class Class:
 
 @dataclass
 class Index:
+    """Items, the fingerprints of their classes, and their shingles: ``keys`` are the sorted (item,
+    shingle) keys with their counts in ``want``, ``seeds`` the sorted shingles that items are looked up
+    by, ``seed_item`` their items."""
+
     ids: list[int]
     size: np.ndarray
-    counts: list[Counter]
     classes: list[Class]
+    keys: np.ndarray
+    want: np.ndarray
+    seeds: np.ndarray
+    seed_item: np.ndarray
+    seed_head: np.ndarray
+
+
+def item_key(item: np.ndarray, shingle: np.ndarray) -> np.ndarray:
+    return mix64(shingle ^ mix64(item.astype(np.uint64), 31), 32)
+
+
+def head(shingle: np.ndarray) -> np.ndarray:
+    return (shingle >> np.uint64(64 - HEAD_BITS)).astype(np.int64)
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    ids, sizes, counts, found = [], [], [], {}
+def least_shared(a, b, percent: int):
+    """Smallest number of shared shingles at which sets of a and b shingles reach the similarity."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def lookup(item: np.ndarray, shingle: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle, item) sorted by shingle: of each item its rarest shingles, as many as no window that
+    reaches the similarity can lack."""
+    values, at, often = np.unique(shingle, return_inverse=True, return_counts=True)
+    order = np.lexsort((shingle, often[at], item))
+    item, shingle = item[order], shingle[order]
+    size = np.bincount(item)
+    # the union holds the whole item, so percent of its shingles are shared by a shorter document too
+    lacks = size - -(-percent * size // 100)
+    place = np.arange(len(item)) - (np.cumsum(size) - size)[item]
+    seed = place <= lacks[item]
+    both = np.unique(np.stack([shingle[seed], item[seed].astype(np.uint64)]), axis=1)
+    return both[0], both[1].astype(np.int64)
+
+
+def build_index(items: list[tuple[int, str]], percent: int = PERCENT) -> Index:
+    ids, sizes, grams, found = [], [], [], {}
     for item_id, text in items:
         w = split_words(pc.utf8_lower(pa.array([text], pa.string())))
         n = len(w.start)
@@ -109,7 +151,7 @@ def build_index(items: list[tuple[int, str]]) -> Index:
         found.setdefault((window, stride), []).append((prints, np.full(len(starts), len(ids)), starts))
         ids.append(item_id)
         sizes.append(n)
-        counts.append(Counter(shingles[: n - SHINGLE + 1].tolist()))
+        grams.append(shingles[: n - SHINGLE + 1])
     classes = []
     for (window, stride), parts in sorted(found.items()):
         prints, item, offset = (np.concatenate(x) for x in zip(*parts))
@@ -119,7 +161,13 @@ def build_index(items: list[tuple[int, str]]) -> Index:
             order.append(np.argsort(block, kind="stable"))
             edges.append(np.concatenate([[0], np.cumsum(np.bincount(block, minlength=1 << BLOCK_BITS))]))
         classes.append(Class(window, stride, prints, item, offset, order, edges))
-    return Index(ids, np.array(sizes, np.int64), counts, classes)
+    item = np.repeat(np.arange(len(ids)), [len(g) for g in grams])
+    shingle = np.concatenate([np.zeros(0, np.uint64), *grams])
+    keys, want = np.unique(item_key(item, shingle), return_counts=True)
+    seeds, seed_item = lookup(item, shingle, percent)
+    seed_head = np.zeros(1 << HEAD_BITS, bool)
+    seed_head[head(seeds)] = True
+    return Index(ids, np.array(sizes, np.int64), classes, keys, want, seeds, seed_item, seed_head)
 
 
 def near_prints(c: Class, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +191,42 @@ def near_prints(c: Class, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(windows), np.concatenate(others)
 
 
-def similarity(a: Counter, b: Counter) -> float:
-    smaller = sum(min(n, b[s]) for s, n in a.items() if s in b)
-    return smaller / (sum(a.values()) + sum(b.values()) - smaller) if smaller else 0.0
+def seed_hits(shingles: np.ndarray, real: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """(position, item) of every shingle of the documents that an item is looked up by."""
+    at = np.flatnonzero(real & index.seed_head[head(shingles)])
+    lo, hi = (np.searchsorted(index.seeds, shingles[at], side) for side in ("left", "right"))
+    return np.repeat(at, hi - lo), index.seed_item[ranges(lo, hi - lo)]
+
+
+def best_window(keys: np.ndarray, want: np.ndarray, k: int, m: int, percent: int) -> tuple[int, int]:
+    """(shared shingles, start) of the best window of k shingles over the item's key at each position
+    (-1: not the item's), the first of equals; (0, 0) if none reaches the similarity with its m."""
+    least = least_shared(m, k, percent)
+    some = np.concatenate([[0], np.cumsum(keys >= 0)])
+    starts = np.flatnonzero(some[k:] - some[:-k] >= least)
+    if not len(starts):
+        return 0, 0
+    top, begin, last, shared = 0, 0, -1, 0
+    have: Counter = Counter()
+    row, wanted = keys.tolist(), want.tolist()
+    for s in starts.tolist():
+        if last < 0 or s - last >= k:
+            have.clear()
+            shared, gone, new = 0, (), row[s : s + k]
+        else:
+            gone, new = row[last:s], row[last + k : s + k]
+        for x in gone:
+            if x >= 0:
+                shared -= have[x] <= wanted[x]
+                have[x] -= 1
+        for x in new:
+            if x >= 0:
+                have[x] += 1
+                shared += have[x] <= wanted[x]
+        last = s
+        if shared > top:
+            top, begin = shared, s
+    return (top, begin) if top >= least else (0, 0)
 
 
 def find(texts: pa.Array, index: Index, percent: int = PERCENT) -> list[tuple[int, int, int, float]]:
@@ -158,40 +239,57 @@ def find(texts: pa.Array, index: Index, percent: int = PERCENT) -> list[tuple[in
     doc, first = w.doc, w.first
     place = np.arange(len(doc)) - first[doc]
     left = first[doc + 1] - np.arange(len(doc))
-    hits: set[tuple[int, int, int]] = set()
+    at, item = seed_hits(shingles, left >= SHINGLE, index)
+    hits = [(at, item)]
     for c in index.classes:
         starts = np.flatnonzero((place % c.stride == 0) & (left >= c.window))
         if not len(starts):
             continue
         window, other = near_prints(c, fingerprints(shingles, starts, c.window, sums))
-        at = starts[window]
-        hits.update(zip(doc[at].tolist(), c.item[other].tolist(), (place[at] - c.offset[other]).tolist()))
+        hits.append((starts[window], c.item[other]))
+    at, item = (np.concatenate(x) for x in zip(*hits))
+    if not len(at):
+        return []
+    at, item = np.unique(np.stack([at, item]), axis=1)
+    # the windows over the hits, as stretches of shingles; overlapping ones of a document and item are one
+    order = np.lexsort((at, item, doc[at]))
+    at, item = at[order], item[order]
+    row, m = doc[at], index.size[item] - SHINGLE + 1
+    grams = first[row + 1] - first[row] - SHINGLE + 1
+    ok = 100 * np.minimum(grams, m) >= percent * m
+    if not ok.any():
+        return []
+    at, item, row, m, grams = at[ok], item[ok], row[ok], m[ok], grams[ok]
+    lo, hi = np.maximum(at - m + 1, first[row]), np.minimum(at + m, first[row] + grams)
+    new = np.ones(len(at), bool)
+    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (lo[1:] > hi[:-1])
+    heads = np.flatnonzero(new)
+    ends = np.append(heads[1:], len(at)) - 1
     best: dict[tuple[int, int], tuple[float, int]] = {}
-    for row, item, begin in sorted(hits):
-        n, lo, hi = int(index.size[item]), int(first[row]), int(first[row + 1])
-        have = best.get((row, item), (0.0, 0))
-        for shift in sorted(range(-(n // 5), n // 5 + 1), key=abs):
-            if have[0] == 1.0:
-                break
-            s = max(0, min(begin + shift, hi - lo - n))
-            part = Counter(shingles[lo + s : max(lo + s, min(lo + s + n, hi) - SHINGLE + 1)].tolist())
-            value = similarity(index.counts[item], part)
-            if (value, -s) > (have[0], -have[1]):
-                have = (value, s)
-            elif shift and value < have[0]:
-                continue
-        best[row, item] = have
-    return [(r, i, s, v) for (r, i), (v, s) in best.items() if 100 * v >= percent]
-
-
-def indexes(benchmark: DataFrame, id_col: str, text_col: str, chunk_words: int) -> Iterator[Index]:
+    for r, i, a, b, size, whole in zip(*(x.tolist() for x in (row[heads], item[heads], lo[heads], hi[ends], m[heads], grams[heads]))):
+        part = item_key(np.full(b - a, i), shingles[a:b])
+        where = np.minimum(np.searchsorted(index.keys, part), len(index.keys) - 1)
+        keys = np.where(index.keys[where] == part, where, -1)
+        # the item's keys by small numbers, so that only their counts are looked at
+        mine, numbers = np.unique(keys, return_inverse=True)
+        if mine[0] < 0:
+            mine, numbers = mine[1:], numbers - 1
+        k = min(size, whole)
+        shared, start = best_window(numbers, index.want[mine], k, size, percent)
+        value = shared / (size + k - shared)
+        if shared and value > best.get((r, i), (0.0, 0))[0]:
+            best[r, i] = (value, int(a - first[r]) + start)
+    return [(r, i, s, v) for (r, i), (v, s) in best.items()]
+
+
+def indexes(benchmark: DataFrame, id_col: str, text_col: str, chunk_words: int, percent: int = PERCENT) -> Iterator[Index]:
     """The benchmark's index, in chunks of about ``chunk_words`` words."""
     items = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).filter("t is not null")
     total = items.agg(F.sum(F.length("t") - F.length(F.translate("t", " \t\n\x0b\x0c\r", "")) + 1)).first()[0] or 0
     n = max(1, math.ceil(total / chunk_words))
     for k in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        index = build_index(sorted((r.i if r.i is not None else -1, r.t) for r in part.collect()))
+        index = build_index(sorted((r.i if r.i is not None else -1, r.t) for r in part.collect()), percent)
         if index.ids:
             yield index
 
@@ -202,7 +300,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = "doc_id long, item_id long, first_word long, similarity double"
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for index in indexes(benchmark, item_id, item_text, chunk_words):
+    for index in indexes(benchmark, item_id, item_text, chunk_words, percent):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, size=BATCH_BYTES):
@@ -223,7 +321,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
                         percent: int = PERCENT, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
     out = docs
-    for index in indexes(benchmark, item_id, item_text, chunk_words):
+    for index in indexes(benchmark, item_id, item_text, chunk_words, percent):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for b in slices(batches, size=BATCH_BYTES):

@@ -95,3 +95,23 @@ def test_blocks_find_every_print_within_the_radius():
     w, o = d.near_prints(c, seen)
     want = {(i, k) for i in range(200) for k in range(200) if bin(int(seen[i] ^ prints[k])).count("1") <= d.RADIUS}
     assert set(zip(w.tolist(), o.tolist())) == want
+
+
+def test_words_changed_within_items():
+    """Copies with single words changed in the middle, at any place of a document, as brute force finds them."""
+    docs, items = [], []
+    for n, edits in ((50, 1), (60, 1), (80, 1), (100, 2), (200, 3), (50, 2), (30, 1)):
+        for k in range(12):
+            i = len(items)
+            item = prose(n, 1000 + i, 3000)
+            copy = list(item)
+            for e in range(edits):
+                copy[(e + 1) * n // (edits + 1) + k % 3] = f"changed{i}_{e}"
+            items.append((i, " ".join(item)))
+            docs.append((i, " ".join(prose(31 + 7 * k, 5000 + i, 3000) + copy + prose(40, 7000 + i, 3000))))
+    docs.append((len(docs), " ".join(prose(25, 8, 3000) + items[0][1].split()[1:] * 5)))
+    index = d.build_index(items)
+    got = {(r, i): round(v, 9) for r, i, _, v in d.find(pa.array([t for _, t in docs]), index)}
+    assert got == brute(docs, items)
+    assert set((i, i) for i in range(60)) <= set(got)
+    assert d.find(pa.array(["a b c", None]), index) == []
