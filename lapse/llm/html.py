@@ -60,6 +60,7 @@ WALL = frozenset("table ul ol dl td th article section div body html blockquote
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|$)|[^<]+|<", re.S)
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(.*?)(/?)>?$", re.S)
 MARK = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S | re.I)
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.I) for name in RAW}
 SPACE = re.compile(r"\s+")
 PUNCT = re.compile(r"[.,;:!?…、。，！？]")
 
@@ -88,7 +89,7 @@ def blocks_of(page: str) -> list[Block]:
     stack, count = [root], 0
     out: list[Block] = []
     open_block: Block | None = None
-    skip: str | None = None
+    pos = 0
 
     def close(n: int) -> None:
         nonlocal open_block
@@ -96,11 +97,10 @@ def blocks_of(page: str) -> list[Block]:
             open_block = None
         del stack[n:]
 
-    for m in TOKEN.finditer(page):
-        tok = m.group()
+    while pos < len(page):
+        m = TOKEN.match(page, pos)
+        tok, pos = m.group(), m.end()
         if tok[0] != "<" or tok == "<":
-            if skip or not tok:
-                continue
             if open_block is None:
                 if not tok.strip():
                     continue
@@ -117,10 +117,6 @@ def blocks_of(page: str) -> list[Block]:
         if tok.startswith(("<!", "<?")) or not t:
             continue
         end, name, rest, empty = t.group(1), t.group(2).lower(), t.group(3), t.group(4)
-        if skip:
-            if end and name == skip:
-                skip = None
-            continue
         if end:
             for n in range(len(stack) - 1, 0, -1):
                 if stack[n].tag == name:
@@ -132,7 +128,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in RAW:
             if not empty:
-                skip = name
+                # the content is not read as markup: a "<" in it starts no tag
+                close_tag = RAW_END[name].search(page, pos)
+                pos = close_tag.start() if close_tag else len(page)
             continue
         if name == "br":
             if open_block is not None:

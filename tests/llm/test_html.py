@@ -59,3 +59,12 @@ def test_columns(spark):
     assert out.columns == ["page_id", "url", "row", "text"]
     assert sorted((str(r.page_id), r.text) for r in out.collect()) == sorted([("1", "\n".join(P)), ("1", ""), ("None", "")])
     assert html.main_text(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("raw", [
+    "<script>for(var i=0;i<n;i++){f(i);}</script>", "<SCRIPT>if(a<b&&c)d='<p>no, no.</p>'</Script >", "<style>a<b{}</style>", "<script>x='<!--';i<n</script>",
+])
+def test_content_of_scripts_is_no_markup(raw):
+    page = f"<html><head>{raw}<title>t</title></head><body><article><h1>Title</h1>{raw}{BODY}</article>{raw}</body></html>"
+    assert html.extract(page) == "\n".join(["Title", *P])
+    assert html.extract(f"<article>{BODY}</article><script>i<n") == "\n".join(P)
