@@ -7,7 +7,9 @@ page order of the blocks, fused by their product, and cut at a threshold relativ
 blocks of the paths above it are content nodes.  The container that holds most of the content
 text is the article; its other blocks (titles, short paragraphs, list items, whose own ratios are
 low) belong to it unless their path runs through an element that is never article text, by its
-tag or by a word of its class, id or role, or is mostly links.
+tag or by a word of its class, id or role, or is mostly links.  Words of class, id and role are
+evidence only: an element they reject by a part of a name (``has-sidebar``) keeps its text if most of
+the page's prose is in it, and where they would leave a page without prose they are not used.
 
 Defined cases: null and empty pages and pages without text give the empty text; unclosed and
 stray end tags are tolerated (paragraphs, list items, cells and options close each other);
@@ -73,6 +75,8 @@ class Node:
     number: int
     parent: "Node | None"
     depth: int
+    #: what its class, id and role say: 0 nothing, 1 a word of BOILER as a part of a name, 2 a whole one
+    marked: int = 0
 
 
 @dataclass
@@ -86,7 +90,7 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """Blocks of text in page order."""
     root = Node("", "", False, 0, None, 0)
-    stack, count = [root], 0
+    stack, nodes = [root], [root]
     out: list[Block] = []
     open_block: Block | None = None
     pos = 0
@@ -147,15 +151,48 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or empty and name not in INLINE:
             continue
         up = stack[-1]
-        count += 1
         marks = " ".join(x for g in MARK.findall(rest) for x in g[1:] if x).lower() if "=" in rest else ""
-        never = up.never or name in NEVER or bool(marks and name not in ("html", "body", "main", "article") and BOILER.search(marks))
+        never = up.never or name in NEVER
+        marked = 0
+        if marks and name not in ("html", "body", "main", "article") and BOILER.search(marks):
+            marked = 2 if any(BOILER.fullmatch(x) for x in marks.split()) else 1
         if name == "header" and not any(x.tag in ("article", "main") for x in stack):
             never = True
-        stack.append(Node(name, f"{up.path}/{name}", never, count, up, up.depth + 1))
+        stack.append(Node(name, f"{up.path}/{name}", never, len(nodes), up, up.depth + 1, marked))
+        nodes.append(stack[-1])
     for b in out:
         b.text = SPACE.sub(" ", html.unescape("".join(b.parts))).strip()
-    return [b for b in out if b.text]
+    out = [b for b in out if b.text]
+    reject(out, nodes)
+    return out
+
+
+def reject(blocks: list[Block], nodes: list[Node]) -> None:
+    """Settle which elements their class, id and role reject, with all inside them."""
+    if any(x.marked for x in nodes):
+        above: list[list[Node]] = []
+        prose = [0 if b.node.never or 2 * b.linked > len(b.text) or not PUNCT.search(b.text) else len(b.text) for b in blocks]
+        inside: dict[int, int] = defaultdict(int)
+        for b, n in zip(blocks, prose):
+            above.append([])
+            at: Node | None = b.node if n else None
+            while at is not None:
+                if at.marked:
+                    above[-1].append(at)
+                    inside[at.number] += n
+                at = at.parent
+        # wrappers first: an element holds no more than those around it
+        for x in sorted((x for x in nodes if x.marked == 1 and 2 * inside[x.number] >= sum(prose)), key=lambda x: (-inside[x.number], x.number)):
+            beside = sum(n for n, up in zip(prose, above) if not any(y.marked for y in up))
+            if inside[x.number] and inside[x.number] >= 4 * beside:
+                x.marked = 0
+        for kind in (1, 2):
+            if any(n and not any(y.marked for y in up) for n, up in zip(prose, above)):
+                break
+            for x in nodes:
+                x.marked = 0 if x.marked == kind else x.marked
+    for x in nodes[1:]:
+        x.never = x.never or x.marked > 0 or x.parent.never
 
 
 def smooth(x: list[float]) -> list[float]:

@@ -68,3 +68,22 @@ def test_content_of_scripts_is_no_markup(raw):
     page = f"<html><head>{raw}<title>t</title></head><body><article><h1>Title</h1>{raw}{BODY}</article>{raw}</body></html>"
     assert html.extract(page) == "\n".join(["Title", *P])
     assert html.extract(f"<article>{BODY}</article><script>i<n") == "\n".join(P)
+
+
+@pytest.mark.parametrize("name", [
+    "has-sidebar", "no-sidebar", "post comments-open", "post tag-news", "entry social-science", "col with-toc", "sidebar",
+])
+def test_words_on_a_wrapper_reject_nothing(name):
+    page = (f"<body><nav><a href=x>Home</a></nav><div class='{name}'><div class='content'><h1>Title</h1>{BODY}</div>"
+            f"<div class='sidebar'><p>{P[1]}</p></div><div class='comments-area'><p>Nice, very nice.</p></div></div></body>")
+    inner = f"<body><nav><a href=x>Home</a></nav><div class='{name}'><h1>Title</h1>{BODY}</div></body>"
+    assert html.extract(inner) == "\n".join(["Title", *P])
+    if name != "sidebar":
+        assert html.extract(page) == "\n".join(["Title", *P])
+
+
+def test_long_comments_stay_out():
+    page = f"<body><div><h1>Title</h1><p>{P[0]}</p><p>{P[1]}</p></div><div class='comments-area'>" + "".join(f"<p>{p}</p>" for p in P[2:]) + "</div></body>"
+    assert html.extract(page) == "\n".join(["Title", P[0], P[1]])
+    posts = "".join(f"<div class='post tag-news'><p>{p}</p></div>" for p in P)
+    assert html.extract(f"<body><div>{posts}</div></body>") == "\n".join(P)
