@@ -7,7 +7,9 @@ page order of the blocks, fused by their product, and cut at a threshold relativ
 blocks of the paths above it are content nodes.  The container that holds most of the content
 text is the article; its other blocks (titles, short paragraphs, list items, whose own ratios are
 low) belong to it unless their path runs through an element that is never article text, by its
-tag or by a word of its class, id or role, or is mostly links.  Words of class, id and role are
+tag or by a word of its class, id or role.  Where no ``article`` or ``main`` element bounds the
+article, runs of links before its first and after its last prose are lists beside it and left out;
+all other linked text, headlines and lists of references included, is the article's.  Words of class, id and role are
 evidence only: an element they reject by a part of a name (``has-sidebar``) keeps its text if most of
 the page's prose is in it, and where they would leave a page without prose they are not used.
 
@@ -83,6 +85,8 @@ class Node:
 class Block:
     node: Node
     parts: list[str] = field(default_factory=list)
+    linked_parts: list[str] = field(default_factory=list)
+    link_numbers: set[int] = field(default_factory=set)
     linked: int = 0
     text: str = ""
 
@@ -114,8 +118,10 @@ def blocks_of(page: str) -> list[Block]:
                 open_block = Block(at)
                 out.append(open_block)
             open_block.parts.append(tok)
-            if any(x.tag == "a" for x in stack):
-                open_block.linked += len(tok.strip())
+            link = next((x for x in reversed(stack) if x.tag == "a"), None)
+            if link is not None:
+                open_block.linked_parts.append(tok)
+                open_block.link_numbers.add(link.number)
             continue
         t = TAG.match(tok)
         if tok.startswith(("<!", "<?")) or not t:
@@ -158,15 +164,23 @@ def blocks_of(page: str) -> list[Block]:
             marked = 2 if any(BOILER.fullmatch(x) for x in marks.split()) else 1
         if name == "header" and not any(x.tag in ("article", "main") for x in stack):
             never = True
+        if name == "a" and open_block is not None:
+            open_block.linked_parts.append(" ")
         stack.append(Node(name, f"{up.path}/{name}", never, len(nodes), up, up.depth + 1, marked))
         nodes.append(stack[-1])
     for b in out:
-        b.text = SPACE.sub(" ", html.unescape("".join(b.parts))).strip()
+        b.text = decoded(b.parts)
+        if b.linked_parts:
+            b.linked = min(len(decoded(b.linked_parts)), len(b.text))
     out = [b for b in out if b.text]
     reject(out, nodes)
     return out
 
 
+def decoded(parts: list[str]) -> str:
+    return SPACE.sub(" ", html.unescape("".join(parts))).strip()
+
+
 def reject(blocks: list[Block], nodes: list[Node]) -> None:
     """Settle which elements their class, id and role reject, with all inside them."""
     if any(x.marked for x in nodes):
@@ -266,14 +280,44 @@ def extract(page: str | None) -> str:
     # a container that is itself a block (one long paragraph, say) stands for its parent's blocks
     if home.tag not in ("article", "main", "body", "div", "section", "td") and home.parent is not None:
         home = home.parent
-    out = []
-    for b in blocks:
+    mine, content = [], []
+    for b, c in zip(blocks, chosen):
         at: Node | None = b.node
         while at is not None and at is not home:
             at = at.parent
-        if at is home and not b.node.never and 2 * b.linked <= len(b.text):
-            out.append(b.text)
-    return "\n".join(out)
+        if at is home and not b.node.never:
+            mine.append(b)
+            content.append(c)
+    beside = set() if home.tag in ("article", "main") else link_lists(mine, content, home)
+    return "\n".join(b.text for n, b in enumerate(mine) if n not in beside)
+
+
+def link_lists(blocks: list[Block], content: list[bool], home: Node) -> set[int]:
+    """Blocks of runs of two or more links before the first or after the last prose of ``home``; a list that
+    follows the prose as its sibling is the article's, unless ``home`` is the whole page."""
+    linked = [2 * b.linked > len(b.text) for b in blocks]
+    prose = [n for n, (b, c) in enumerate(zip(blocks, content)) if c and not linked[n]]
+    out: set[int] = set()
+    if not prose:
+        return out
+    whole = home.tag in ("", "html", "body")
+    run: list[int] = []
+    for n in range(len(blocks) + 1):
+        if n < len(blocks) and linked[n] and not re.fullmatch("h[1-6]", blocks[n].node.tag) and not prose[0] < n < prose[-1]:
+            if n < prose[0] or whole or not sibling(blocks[n].node, home):
+                run.append(n)
+                continue
+        if sum(len(blocks[k].link_numbers) for k in run) > 1:
+            out.update(run)
+        run = []
+    return out
+
+
+def sibling(node: Node, home: Node) -> bool:
+    """Whether a block's element, or the list it is an item of, stands in ``home`` itself."""
+    while node.tag in ("li", "dt", "dd") and node.parent is not None:
+        node = node.parent
+    return node.parent is home and node.tag in ("ul", "ol", "dl", "p")
 
 
 def main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

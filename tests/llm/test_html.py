@@ -87,3 +87,17 @@ def test_long_comments_stay_out():
     assert html.extract(page) == "\n".join(["Title", P[0], P[1]])
     posts = "".join(f"<div class='post tag-news'><p>{p}</p></div>" for p in P)
     assert html.extract(f"<body><div>{posts}</div></body>") == "\n".join(P)
+
+
+def test_linked_text_of_the_article_stays():
+    refs = "<ol><li><a href=a>First work, 1999</a><li><a href=b>Second work &amp; more</a></ol>"
+    want = "\n".join(["Title & more", *P, "One long link, on its own.", "é&é", "First work, 1999", "Second work & more"])
+    inner = f"<h1><a href=x>Title &amp; more</a></h1>{BODY}<p><a href=y>One long link, on its own.</a></p><p><a href=z>&eacute;</a>&amp;&eacute;</p>{refs}"
+    for tag in ("article", "main", "div"):
+        assert html.extract(f"<body><nav><a href=q>Home</a></nav><{tag}>{inner}</{tag}></body>") == want
+
+
+def test_link_lists_beside_the_article_stay_out():
+    menu = "<div><ul><li><a href=a>Home</a></li><li><a href=b>World &amp; news</a></li></ul></div>"
+    for page in (f"<body>{menu}<h1><a href=x>Title</a></h1>{BODY}{menu}</body>", f"<div>{menu}<h1>Title</h1>{BODY}<div><a href=a>l1</a> <a href=b>l2</a></div></div>"):
+        assert html.extract(page) == "\n".join(["Title", *P])
