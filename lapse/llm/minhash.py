@@ -7,9 +7,12 @@
 2. ``BANDS`` runs of ``BINS / BANDS`` bins are hashed to bucket keys.  Texts with equal sets
    share one class, so a group of copies enters the buckets once.
 3. Every bucket yields stars: its members are paired with its smallest class, its largest and two
-   that a hash picks, never with each other, so n classes give fewer than 4n candidates.
+   that a hash picks, so n classes give fewer than 4n candidates.
 4. Candidates are confirmed on the full shingle sets (``100 * |A n B| >= percent * |A u B|``)
    and linked into connected components.
+5. Buckets that still span several components get further hubs, twice as many each round, paired with
+   the members of other components only, until every two members of a bucket were compared or are
+   connected.
 
 Defined cases: null and wordless texts have the empty set and link with nothing; a text of
 fewer than k words has its word sequence as the one shingle; rows of one ``doc_id`` with
@@ -33,6 +36,8 @@ from lapse.sources.store import materialize
 
 BINS, BANDS = 240, 40
 PERCENT = 80
+#: hubs of a bucket after the first four, doubled each round; a hash of that many values picks them
+HUBS, PLACES = 8, 1 << 30
 U = np.uint64
 
 
@@ -143,6 +148,47 @@ def candidates(member: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("x.hub", "rep").alias("u"), F.greatest("x.hub", "rep").alias("v")).distinct()
 
 
+def several(member: DataFrame, labels: DataFrame, least: int) -> DataFrame:
+    """The rows of ``member`` with their component, in buckets of ``least`` classes or more that span several."""
+    label = labels.select(F.col("node").alias("rep"), "component")
+    m = member.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    spans = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return m.join(spans.filter(f"lo <> hi and n >= {least}").select("key", "n"), "key")
+
+
+def further_links(member: DataFrame, keys: DataFrame, labels: DataFrame, compared: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``labels`` after all pairs of the buckets of ``member`` (rep, n_shingles, key) that are neither
+    ``compared`` nor connected were compared; ``keys`` has all (rep, keys).
+
+    The hubs of a round are the classes of the lowest places, so those of later rounds include them; a
+    hub meets the classes of higher places.  A pair is taken in the first bucket the two share, and
+    there it comes up once.
+    """
+    place = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(PLACES))
+    # buckets of up to three classes were compared whole; the size of a bucket is that of the first round
+    cur = several(member, labels, 4).withColumn("place", place).withColumnRenamed("n", "size")
+    cur = materialize(cur.distinct(), "minhash-crowded").join(keys.distinct(), "rep").filter(F.array_contains("keys", F.col("key")))
+    hubs, before = HUBS, 0
+    while True:
+        cur = materialize(cur.drop("n"), "minhash-several")
+        largest = cur.agg(F.max("size")).first()[0]
+        if largest is None or before >= largest:
+            return labels
+        low, high = (F.col("place") * F.col("size") >= F.lit(x * PLACES).cast("long") for x in (before, hubs))
+        h = cur.filter(low & ~high).select("key", *[F.col(c).alias(f"h_{c}") for c in ("rep", "n_shingles", "keys", "component", "place")])
+        new = cur.join(h, "key").filter(
+            (F.col("component") != F.col("h_component")) & (F.struct("place", "rep") > F.struct("h_place", "h_rep"))
+            & (100 * F.least("n_shingles", "h_n_shingles") >= percent * F.greatest("n_shingles", "h_n_shingles"))
+            & (F.element_at(F.array_intersect("keys", "h_keys"), 1) == F.col("key")))
+        new = new.select(F.least("rep", "h_rep").alias("u"), F.greatest("rep", "h_rep").alias("v")).distinct()
+        new = materialize(new.join(compared, ["u", "v"], "left_anti"), "minhash-further")
+        links = materialize(confirm(new, texts, shingle, percent), "minhash-links")
+        if not links.isEmpty():
+            labels = connected_components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links))
+        before, hubs = hubs, 2 * hubs
+        cur = several(cur.drop("component"), labels, 2)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
                     percent: int = PERCENT, bins: int = BINS, bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``."""
@@ -154,10 +200,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "minhash-rows",
     )
     # one row per class and bucket; a null rep (no id in the class) has nothing to link by id
-    member = (
-        some.join(classes.filter("rep is not null"), ["s1", "s2"]).filter("doc_id = rep")
-        .select("rep", "n_shingles", F.explode("keys").alias("key"))
-    )
+    one = some.join(classes.filter("rep is not null"), ["s1", "s2"]).filter("doc_id = rep")
+    member = one.select("rep", "n_shingles", F.explode("keys").alias("key"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pairs = materialize(candidates(member, percent), "minhash-candidates")
     # rows of one id whose texts are in several classes join these classes
@@ -167,6 +211,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     same_id = rows.join(multi, "doc_id").select("u", F.col("rep").alias("v")).filter("u <> v")
     labels = connected_components(confirm(pairs, texts, shingle, percent).unionByName(same_id))
+    labels = further_links(member, one.select("rep", "keys"), labels, pairs, texts, shingle, percent)
     rep_label = labels.select(F.col("node").alias("rep"), "component")
     out = rows.join(rep_label, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")

@@ -126,3 +126,22 @@ def test_components_of_paths_stars_and_loops(spark):
             parent[hi] = lo
     assert got == {x: find(x) for x in parent}
     assert components.connected_components(df.limit(0)).collect() == []
+
+
+def test_twins_in_crowded_buckets(spark):
+    """Texts of one template, too far apart to be linked, and a nearer twin of each."""
+    base, texts = prose(400, 6, 10**6), []
+    for i in range(150):
+        rng = np.random.default_rng(i)
+        w = list(base)
+        for j in rng.choice(400, 14, replace=False):
+            w[j] = f"t{i}_{j}"
+        twin = list(w)
+        for j in rng.choice(400, 20, replace=False):
+            twin[j] = f"u{i}_{j}"
+        texts += [w, twin]
+    order = np.random.default_rng(5).permutation(300)
+    rows = [(int(k), " ".join(t), "en", "a", 1) for k, t in zip(order, texts)]
+    want = brute([r[:2] for r in rows], 2)
+    assert len({c for _, _, c, _ in want}) > 140
+    assert labels(spark.createDataFrame(rows, DOCS), shingle=2) == want
