@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.llm import bpe, chat, decontam, html, minhash, quality, shards, substring, tokens, warc
+from lapse.llm import bpe, chat, decontam, divergence, html, minhash, quality, secrets, shards, substring, tokens, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -165,3 +165,86 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tokens.token_counts(spark, path)
     number = F.concat_ws("-", F.regexp_extract("file", r"part-(\d+)-", 1), F.regexp_extract("file", r"file=(\d+)/", 1))
     return out.withColumn("file", number)
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (
+  SELECT rid, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+cells AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN kept ON w.lang = kept.lang AND w.term = kept.term GROUP BY ALL),
+size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+grp AS (
+  SELECT g.lang, g.source, coalesce(t.total, 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM cells GROUP BY ALL) t ON g.lang = t.lang AND g.source = t.source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT) // (g.total + 5 * s.v) AS p,
+         1 + (1000000000 * (k.n + 5)::HUGEINT) // (s.total + 5 * s.v) AS q
+  FROM grp g JOIN kept k ON g.lang = k.lang JOIN size s ON g.lang = s.lang
+  LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op12_trie"] = r"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+           sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(said ORDER BY pos) AS turns FROM t GROUP BY c),
+-- crc32 by bits: each byte is followed by eight shifts (256); its last two bits are what is needed
+crc AS (
+  SELECT c, turns, xor(list_reduce(list_concat([4294967295::UBIGINT], flatten(list_transform(string_split(c::VARCHAR, ''),
+             lambda ch: [ascii(ch)::UBIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))),
+           lambda a, x: CASE WHEN x < 256 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END), 4294967295::UBIGINT) % 4 AS h
+  FROM own),
+built AS (
+  SELECT a.c, list_concat(coalesce(b.turns, [])[1 : a.h], a.turns[a.h + 1 :]) AS turns
+  FROM crc a LEFT JOIN own b ON b.c = a.c - a.c % 20),
+pre AS (SELECT c, d, turns[1 : d] AS seq, len(turns) = d AS ends FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+node AS (
+  SELECT seq, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM pre GROUP BY seq, d),
+spot AS (SELECT pre.c, pre.d, node.conv_id FROM pre JOIN node ON pre.d = node.d AND pre.seq = node.seq),
+up AS (
+  SELECT n.conv_id, n.d, p.conv_id AS parent, n.n_convs, n.ends_sha256,
+         CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(n.seq[n.d].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM node n LEFT JOIN spot p ON p.c = n.conv_id AND p.d = n.d - 1),
+kids AS (SELECT parent, d - 1 AS d, count(*) AS n FROM up WHERE d > 0 GROUP BY ALL),
+full_node AS (SELECT up.*, coalesce(kids.n, 0) AS n_children FROM up LEFT JOIN kids ON kids.parent = up.conv_id AND kids.d = up.d),
+sums AS (
+  SELECT a.conv_id, a.d, count(*) FILTER (n.n_children = 0) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM full_node n JOIN spot a ON a.c = n.conv_id AND a.d <= n.d GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, n.parent AS parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_node n JOIN sums s ON s.conv_id = n.conv_id AND s.d = n.d"""
+
+
+@query
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_digest(table(spark, sf_dir, "documents"))
