@@ -7,9 +7,12 @@ partition and no cross join is needed.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapse.operators.daybits import active_days, day_span
 from lapse.functions.scalar import age_band, hours, r6, round_half_up, segment_label, valid_age, year_of_ymd
 
 PCT = 100.0
@@ -66,7 +69,7 @@ def churn_by_age_band(label: DataFrame, members: DataFrame, decimals: int = 6) -
 def latest_transaction_flags(txns: DataFrame, cutoff=None) -> DataFrame:
     """W1 over all columns needed: latest payment per user (optionally before ``cutoff``).
 
-    Two ``max_by`` over one packed BIGINT order key keep it a single HashAggregate.
+    Two ``max_by`` over one packed DECIMAL order key keep it a single HashAggregate.
     """
     from lapse.operators.features import latest_order_key
     from lapse.sources.roles import ts_on_or_before
@@ -93,12 +96,12 @@ def renew_cancel_signals(label: DataFrame, txns: DataFrame, cutoff=None, decimal
 def engagement_by_label(label: DataFrame, logs: DataFrame, decimals: int = 6) -> DataFrame:
     """A7 + J4: per-user active days and hours (all logs, unclipped), averaged per label.
 
-    Users without logs count in ``n`` but not in the averages (null after the left join).
+    Days are bitmaps over the span of all logs, so the logs shuffle once.  Users without logs count in
+    ``n`` but not in the averages (null after the left join).
     """
-    per_user = logs.groupBy("user_key").agg(
-        F.count_distinct("log_date").alias("active_days"),
-        hours(F.sum("total_secs")).alias("total_hours"),
-    )
+    span = day_span(logs, "log_date") or (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
+    per_user = active_days(logs, "user_key", "log_date", span, {"secs": F.col("total_secs")}, "active_days").select(
+        "user_key", "active_days", hours(F.col("secs")).alias("total_hours"))
     j = label.join(per_user, "user_key", "left")
     return j.groupBy("is_churn").agg(
         F.count(F.lit(1)).alias("n"),

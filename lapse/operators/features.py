@@ -24,6 +24,7 @@ from lapse.config import Windows
 from lapse.functions.scalar import (
     MAX_DAILY_SECS, clip, completion_rate, ln1p, r6, tenure_days, valid_age, ymd_to_date,
 )
+from lapse.operators.daybits import active_days
 from lapse.sources.roles import log_ts_between, ts_between, ts_on_or_before
 
 # fixed values: completion counters and the columns they sum to
@@ -95,18 +96,16 @@ def forward_value(txns: DataFrame, w: Windows) -> DataFrame:
 
 
 def engagement_window(logs: DataFrame, w: Windows) -> DataFrame:
-    """A3: distinct active days, clipped seconds and completion counters in the window.
+    """A3: distinct active days (a bitmap of the window's days), clipped seconds and completion counters.
 
     Seconds are clipped to [0, 86400] per row; a null (or NaN) becomes 86400 because
     ``least`` skips nulls — the documented behaviour of the original SQL.
     """
     win = logs.filter(log_ts_between(F.col("log_ts"), w.engagement_start, w.engagement_end))
-    aggs = [
-        F.count_distinct("log_date").alias("daily_active_days"),
-        r6(F.sum(clip(F.col("total_secs").cast("double"), 0.0, float(MAX_DAILY_SECS)))).alias("total_secs_sum"),
-    ]
-    aggs += [F.sum(src).alias(dst) for src, dst in COMPLETION_SUMS.items()]
-    return win.groupBy("user_key").agg(*aggs)
+    secs = clip(F.col("total_secs").cast("double"), 0.0, float(MAX_DAILY_SECS))
+    sums = {"total_secs_sum": secs, **{dst: F.col(src) for src, dst in COMPLETION_SUMS.items()}}
+    per_user = active_days(win, "user_key", "log_date", (w.engagement_start, w.engagement_end), sums, "daily_active_days")
+    return per_user.withColumn("total_secs_sum", r6(F.col("total_secs_sum")))
 
 
 # fixed values: columns of the user table, in order

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapse.functions.scalar import r6, standardise
-from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, exact_quantiles, hash_order_key, ordered_running
+from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, ordered_running
+from lapse.operators.selection import exact_quantiles, hash_order_key
 from lapse.sources.store import materialize
 
 # ---- fixed values: feature groups of the model table ------------------------------------
@@ -66,15 +67,15 @@ def attach_split(features: DataFrame, split: DataFrame, key: str = "user_key") -
 
 
 # ---- E4: median imputation -----------------------------------------------------------------
-def fit_medians(train: DataFrame, cols=IMPUTE_COLS, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
-    """Exact medians (null-skipping midpoint) of ``cols``, one distributed pass for all.
+def fit_medians(train: DataFrame, cols=IMPUTE_COLS) -> DataFrame:
+    """Exact medians (null-skipping midpoint) of ``cols``.
 
-    Columns are unpivoted to (feature, value) so one ordered pass serves every feature.
+    Columns are unpivoted to (feature, value), so the two passes of the bracket serve every feature.
     """
     long = train.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], list(cols), "feature", "value"
     )
-    q = exact_quantiles(long, "value", [0.5], group=["feature"], plan=plan)
+    q = exact_quantiles(long, "value", [0.5], group=["feature"])
     return q.select("feature", F.col("value").alias("median"))
 
 
@@ -160,7 +161,7 @@ def class_weight(train: DataFrame, label: str = "is_churn") -> DataFrame:
     return a.withColumn("pos_weight", r6(F.try_divide(F.col("n_neg").cast("double"), F.col("n_pos").cast("double"))))
 
 
-def split_profile(model_table: DataFrame, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
+def split_profile(model_table: DataFrame) -> DataFrame:
     """Per split rows, churn rate, exact LTV median and null cells (every split)."""
     cols = [c for c in MODEL_COLS if c != "user_key"]
     nulls = None
@@ -170,7 +171,7 @@ def split_profile(model_table: DataFrame, plan: RankPlan = DEFAULT_PLAN) -> Data
     base = model_table.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), r6(F.avg("is_churn")).alias("churn_rate"), nulls.alias("null_cells")
     )
-    med = exact_quantiles(model_table, "ltv", [0.5], group=["split"], plan=plan).select(
+    med = exact_quantiles(model_table, "ltv", [0.5], group=["split"]).select(
         "split", r6(F.col("value")).alias("ltv_median")
     )
     return base.join(med, "split", "left")
@@ -197,7 +198,7 @@ class ModelTableBuilder:
         self.train = split_features.filter(F.col("split") == "train")
 
     def medians(self) -> DataFrame:
-        return fit_medians(self.train, plan=self.plan)
+        return fit_medians(self.train)
 
     def imputed(self) -> DataFrame:
         vals = {r["feature"]: r["median"] for r in self.medians().collect()}  # 4 scalars

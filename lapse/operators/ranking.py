@@ -1,4 +1,4 @@
-"""Global order statistics without an unpartitioned window.
+"""Global positions without an unpartitioned window.
 
 ``ordered_running`` gives every row its exact 1-based position in a total order, and
 inclusive running sums of chosen columns, optionally restarting per group.  Steps:
@@ -34,7 +34,6 @@ from lapse.sources.store import materialize
 
 ROWS_PER_BUCKET = 2_000_000
 QUANTILE_ACCURACY = 10_000
-SAMPLE_PREFIX_DIGITS = 4
 
 
 @dataclass(frozen=True)
@@ -184,65 +183,3 @@ def average_rank_by_value(df: DataFrame, v: str, *, group: Sequence[str] = (), o
     return r.select(
         *group, v, (F.col("_c_cum") - F.col("_c") + (F.col("_c") + 1) / 2.0).cast("double").alias(out)
     )
-
-
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], *, group: Sequence[str] = (),
-                    plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
-    """Linear-interpolated quantiles (numpy's default), nulls skipped.
-
-    One row per (group, q).  Distinct values are counted (map-side combine), positioned
-    by ``ordered_running`` and the two order statistics around ``(n - 1) * q`` picked by
-    an interval test; no value-count map of the whole column is held in one task.
-    """
-    group = list(group)
-    vals = df.select(*group, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    dv = vals.groupBy(*group, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    r = ordered_running(dv, "_x", group=group, sums=["_c"], pos_col="_vpos", totals=True, plan=plan)
-    r = r.withColumnRenamed("_c_total", "_n")
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    # 0-based positions of the lower / upper order statistic for each q
-    r = r.select("*", F.explode(qarr).alias("q"))
-    hpos = (F.col("_n") - 1) * F.col("q")
-    lo = F.floor(hpos)
-    hi = F.least(lo + 1, F.col("_n") - 1)
-    first = F.col("_c_cum") - F.col("_c")  # 0-based position of the value's first row
-    last = F.col("_c_cum") - 1
-    r = r.withColumns({
-        "_has_lo": (lo >= first) & (lo <= last),
-        "_has_hi": (hi >= first) & (hi <= last),
-        "_frac": hpos - lo,
-    }).filter(F.col("_has_lo") | F.col("_has_hi"))
-    agg = r.groupBy(*group, "q").agg(
-        F.max(F.when(F.col("_has_lo"), F.col("_x"))).alias("_xlo"),
-        F.max(F.when(F.col("_has_hi"), F.col("_x"))).alias("_xhi"),
-        F.max("_frac").alias("_frac"),
-    )
-    return agg.select(
-        *group, "q", (F.col("_xlo") + (F.col("_xhi") - F.col("_xlo")) * F.col("_frac")).alias("value")
-    )
-
-
-def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
-    """First ``n`` rows of a total order (TakeOrderedAndProject), for report heads of a
-    few rows; a caller-sized pick goes through a stored rank instead."""
-    return df.orderBy(*order).limit(n)
-
-
-def hash_order_key(seed: int, key: str) -> Column:
-    """md5(seed|key): a reproducible pseudo-random order shared with the SQL oracle."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
-
-
-def hash_sample(df: DataFrame, k: int, seed: int, key: str, plan: RankPlan = DEFAULT_PLAN) -> DataFrame:
-    """T4: k rows without replacement, reproducible: smallest md5(seed|key), ties on key.
-
-    One aggregate counts the rows per leading hash digits (65,536 rows at most); the prefix at
-    which the running count reaches k bounds the sample, and only rows up to it are ordered -
-    about k plus a 65,536th of the rows, whatever the table's size.
-    """
-    d = df.withColumn("_h", hash_order_key(seed, key))
-    lead = F.substring("_h", 1, SAMPLE_PREFIX_DIGITS)
-    counts = d.groupBy(lead.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    reach = counts.withColumn("_c", F.sum("_n").over(Window.orderBy("_p")))
-    bound = reach.filter(F.col("_c") >= k).agg(F.coalesce(F.min("_p"), F.lit("g"))).scalar()
-    return d.filter(lead <= bound).orderBy(F.asc("_h"), F.asc(key)).limit(k).drop("_h")

@@ -19,14 +19,17 @@ from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
 from lapse.sources import roles
 from lapse.sources.ingest import pick_source
 from lapse.sources.store import materialize
+from lapse.sources.tables import Reader, read_table
 
 
 class Context:
-    def __init__(self, spark: SparkSession, root: str, params: Params = DEFAULT, plan: RankPlan = DEFAULT_PLAN):
+    def __init__(self, spark: SparkSession, root: str, params: Params = DEFAULT, plan: RankPlan = DEFAULT_PLAN,
+                 read: Reader = read_table):
         self.spark = spark
         self.root = root
         self.p = params
         self.plan = plan
+        self.read = read
 
     @property
     def w(self):
@@ -34,20 +37,20 @@ class Context:
 
     @cached_property
     def members(self) -> DataFrame:
-        return roles.members(self.spark, self.root)
+        return roles.members(self.spark, self.root, read=self.read)
 
     @cached_property
     def label(self) -> DataFrame:
-        return roles.labels(self.spark, self.root)
+        return roles.labels(self.spark, self.root, read=self.read)
 
     @cached_property
     def txns(self) -> DataFrame:
-        return roles.transactions(self.spark, self.root)
+        return roles.transactions(self.spark, self.root, read=self.read)
 
     @cached_property
     def logs(self) -> DataFrame:
         """Activity logs from the preferred source that exists (later snapshots first)."""
-        return roles.logs(self.spark, self.root, pick_source(self.spark, self.root, roles.LOG_SOURCES))
+        return roles.logs(self.spark, self.root, pick_source(self.spark, self.root, roles.LOG_SOURCES), read=self.read)
 
     @cached_property
     def base(self) -> DataFrame:
@@ -140,4 +143,5 @@ class Context:
 
     @cached_property
     def rank_changes(self) -> DataFrame:
-        return dc.rank_changes(self.ranked_raw, self.p.budget.n_interventions, self.p.sensitivity_pct, plan=self.plan)
+        """Rank changes of the picked users, written once: the summary and the histogram read them several times."""
+        return materialize(dc.rank_changes(self.ranked_raw, self.p.budget.n_interventions, self.p.sensitivity_pct, plan=self.plan), "rank_changes")

@@ -6,7 +6,6 @@ them.  Column names equal those of the matching SQL in ``lapse.plans.oracle``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,17 +15,18 @@ from lapse.operators import calibrate as cb
 from lapse.operators import decide as dc
 from lapse.operators import explore as ex
 from lapse.operators.learn import joint_heads
+from lapse.sources import buckets as bk
 from lapse.sources import ingest as ing
 from lapse.operators import features as feat
 from lapse.operators import modeltable as mt
 from lapse.operators import metrics as me
-from lapse.operators import ranking as rk
+from lapse.operators import selection as sl
 from lapse.operators import scoring as sc
 from lapse.functions.scalar import r6
 from pyspark.sql import functions as F
 from lapse.plans.context import Context
 from lapse.session import ensure_checkpoint_dir
-from lapse.sources.store import materialize
+from lapse.sources.store import materialize, new_folder
 from lapse.sources.tables import dataset_inventory
 
 REGISTRY: dict[str, Callable[[Context], DataFrame]] = {}
@@ -72,6 +72,14 @@ def q_user_base_table(c: Context) -> DataFrame:
     return c.base
 
 
+@query("user_base_table_bucketed")
+def q_user_base_table_bucketed(c: Context) -> DataFrame:
+    """The base table over copies bucketed on the user key: no exchange between the facts and the label."""
+    root = new_folder(c.spark, "bucketed")
+    bk.bucket_roles(c.spark, c.root, root)
+    return Context(c.spark, root, c.p, c.plan, bk.read_bucketed).base
+
+
 @query("leakage_audit")
 def q_leakage_audit(c: Context) -> DataFrame:
     return feat.leakage_audit(c.txns, c.logs, c.w)
@@ -150,12 +158,12 @@ def q_stratified_split(c: Context) -> DataFrame:
 
 @query("split_profile")
 def q_split_profile(c: Context) -> DataFrame:
-    return mt.split_profile(c.model_table, plan=c.plan)
+    return mt.split_profile(c.model_table)
 
 
 @query("hash_sample")
 def q_hash_sample(c: Context) -> DataFrame:
-    return rk.hash_sample(c.features.select("user_key", "is_churn", "ltv"), 100, c.p.seed, "user_key", c.plan)
+    return sl.hash_sample(c.features.select("user_key", "is_churn", "ltv"), 100, c.p.seed, "user_key")
 
 
 @query("median_imputation")
@@ -309,17 +317,17 @@ def q_priority_head(c: Context) -> DataFrame:
 
 @query("segment_representatives")
 def q_segment_representatives(c: Context) -> DataFrame:
-    return dc.segment_representatives(c.ranked, plan=c.plan)
+    return dc.segment_representatives(c.ranked)
 
 
 @query("budget_policies")
 def q_budget_policies(c: Context) -> DataFrame:
-    return dc.budget_policies(c.ranked_raw, c.p.budget, c.p.seed, plan=c.plan)
+    return dc.budget_policies(c.ranked_raw, c.p.budget, c.p.seed)
 
 
 @query("rank_sensitivity")
 def q_rank_sensitivity(c: Context) -> DataFrame:
-    return dc.rank_sensitivity(c.rank_changes, c.p.budget.n_interventions, plan=c.plan)
+    return dc.rank_sensitivity(c.rank_changes, c.p.budget.n_interventions)
 
 
 @query("rank_change_histogram")
@@ -329,7 +337,7 @@ def q_rank_change_histogram(c: Context) -> DataFrame:
 
 @query("value_scatter_sample")
 def q_value_scatter_sample(c: Context) -> DataFrame:
-    return dc.value_scatter_sample(c.model_split("joint", "test"), k=c.p.scatter_rows, seed=c.p.seed, plan=c.plan)
+    return dc.value_scatter_sample(c.model_split("joint", "test"), k=c.p.scatter_rows, seed=c.p.seed)
 
 
 # ---- step 10: learners and ingest ------------------------------------------------------
@@ -374,7 +382,7 @@ def q_churn_by_gender_report(c: Context) -> DataFrame:
 
 
 def _ingested(c: Context, table: str, write_csv) -> DataFrame:
-    base = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/lapse-ingest-{uuid.uuid4().hex[:12]}"
+    base = new_folder(c.spark, "ingest")
     write_csv(c.spark, c.root, f"{base}/csv")
     ing.convert(c.spark, table, f"{base}/csv", f"{base}/parquet")
     return c.spark.read.parquet(f"{base}/parquet")

@@ -57,10 +57,10 @@ def run_pipeline(spark: SparkSession, root: str, out: str, mode: str = "error")
     final = cal.withColumns({"model_id": F.lit("learned_isotonic"), "score": F.col("p_iso")})
     write_json(me.model_metrics(final, plan=c.plan), paths["final_model_metrics"], mode)
     write_csv(ranked, paths["retention_priority_scores"], mode)
-    write_csv(dc.segment_representatives(ranked, plan=c.plan), paths["segments"], mode)
-    write_csv(dc.budget_policies(ranked, c.p.budget, c.p.seed, plan=c.plan), paths["budget_policies"], mode)
+    write_csv(dc.segment_representatives(ranked), paths["segments"], mode)
+    write_csv(dc.budget_policies(ranked, c.p.budget, c.p.seed), paths["budget_policies"], mode)
     changes = dc.rank_changes(ranked, c.p.budget.n_interventions, c.p.sensitivity_pct, plan=c.plan)
-    write_json(dc.rank_sensitivity(changes, c.p.budget.n_interventions, plan=c.plan), paths["rank_sensitivity"], mode)
+    write_json(dc.rank_sensitivity(changes, c.p.budget.n_interventions), paths["rank_sensitivity"], mode)
     release(spark)
     return paths
 

@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapse.sources.tables import read_table
+from lapse.sources.tables import Reader, read_table
 
 # ---- fixed values of the role binding (must match the oracle SQL) -------------------
 GENDER_BY_SEGMENT = {              # c_mktsegment -> gender; FURNITURE (any other) -> null
@@ -64,8 +64,8 @@ def ts_between(ts: Column, lo: dt.date, hi: dt.date) -> Column:
     return (ts >= day_start(lo)) & ts_on_or_before(ts, hi)
 
 
-def members(spark: SparkSession, root: str) -> DataFrame:
-    c = read_table(spark, root, "customer")
+def members(spark: SparkSession, root: str, read: Reader = read_table) -> DataFrame:
+    c = read(spark, root, "customer")
     k = F.col("c_custkey")
     gender = F.lit(None).cast("string")
     for seg, g in reversed(list(GENDER_BY_SEGMENT.items())):
@@ -81,8 +81,8 @@ def members(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, root: str) -> DataFrame:
-    o = read_table(spark, root, "orders")
+def transactions(spark: SparkSession, root: str, read: Reader = read_table) -> DataFrame:
+    o = read(spark, root, "orders")
     return o.select(
         F.col("o_custkey").alias("user_key"),
         F.col("o_orderkey").alias("txn_id"),
@@ -96,15 +96,15 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM) -> DataFrame:
+def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM, read: Reader = read_table) -> DataFrame:
     """One row per customer: ``is_churn`` = 1 when the customer has no order from ``churn_from`` on.
 
     Active keys are reduced to one row per user (map-side partial aggregate) before the
     join, so a user with a third of all orders still ships one row per map task.
     """
-    users = read_table(spark, root, "customer").select(F.col("c_custkey").alias("user_key"))
+    users = read(spark, root, "customer").select(F.col("c_custkey").alias("user_key"))
     active = (
-        read_table(spark, root, "orders")
+        read(spark, root, "orders")
         .filter(F.col("o_orderdate") >= day_start(churn_from))
         .groupBy(F.col("o_custkey").alias("user_key"))
         .agg(F.lit(1).alias("_active"))
@@ -114,8 +114,8 @@ def labels(spark: SparkSession, root: str, churn_from: dt.date = CHURN_FROM) ->
     )
 
 
-def logs(spark: SparkSession, root: str, source: str = "events") -> DataFrame:
-    e = read_table(spark, root, source)
+def logs(spark: SparkSession, root: str, source: str = "events", read: Reader = read_table) -> DataFrame:
+    e = read(spark, root, source)
     out = [
         F.col("user_id").alias("user_key"),
         F.col("ts").alias("log_ts"),

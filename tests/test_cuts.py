@@ -80,12 +80,26 @@ def test_release_deletes_stored_tables(spark):
     from lapse.sources import store
 
     df = materialize(spark.range(3), "t")
-    path = store._WRITTEN[-1]
+    path = store._PROCESS.paths[-1]
     assert df.count() == 3 and release(spark) >= 1
     with pytest.raises(Exception):
         spark.read.parquet(path)
 
 
+def test_a_scope_deletes_its_own_tables_only(spark):
+    from lapse.sources.store import scope
+
+    mine = materialize(spark.range(3), "mine")
+    with scope(spark) as outer:
+        theirs = materialize(spark.range(4), "theirs")
+        with scope(spark):
+            materialize(spark.range(5), "inner")
+        assert len(outer.paths) == 1 and theirs.count() == 4
+    assert mine.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+        theirs.count()
+
+
 def _payments(spark, late_date):
     rows = [(1, 1, dt.datetime(2000, 5, 1), dt.date(2000, 5, 1)), (1, 2, dt.datetime(2001, 1, 5), dt.date(2001, 1, 5)), (2, 3, dt.datetime(2000, 12, 1), late_date)]
     return spark.createDataFrame(rows, "user_key long, txn_id long, txn_ts timestamp_ntz, txn_date date")

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lapse.operators.ranking import RankPlan, average_rank_by_value, exact_quantiles, ordered_running
+from lapse.operators.ranking import RankPlan, average_rank_by_value, ordered_running
+from lapse.operators.selection import exact_quantiles
 
 
 def _frame(spark, n=3000, seed=7):
@@ -88,25 +89,23 @@ def test_average_rank_with_ties(spark):
     assert got == {5.0: 1.5, 3.0: 3.0}
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 2])
-def test_exact_quantiles_numpy_linear(spark, rows_per_bucket):
+def test_exact_quantiles_numpy_linear(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (9.0,), (None,)], "x double")
     got = {round(r.q, 2): r.value for r in
-           exact_quantiles(df, "x", [0.33, 0.5, 0.67], plan=RankPlan(rows_per_bucket=rows_per_bucket)).collect()}
+           exact_quantiles(df, "x", [0.33, 0.5, 0.67]).collect()}
     assert got[0.5] == pytest.approx(3.0)
     assert got[0.33] == pytest.approx(1.99)
     assert got[0.67] == pytest.approx(4.05)
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10_000_000, 10])
-def test_hash_sample_prefilter_is_exact(spark, rows_per_bucket):
-    from lapse.operators.ranking import hash_order_key, hash_sample
+def test_hash_sample_prefilter_is_exact(spark):
+    from lapse.operators.selection import hash_order_key, hash_sample
 
     df = spark.range(5000).withColumnRenamed("id", "user_key")
-    got = [r.user_key for r in hash_sample(df, 37, 42, "user_key", RankPlan(rows_per_bucket=rows_per_bucket)).collect()]
+    got = [r.user_key for r in hash_sample(df, 37, 42, "user_key").collect()]
     ref = [r.user_key for r in df.withColumn("_h", hash_order_key(42, "user_key"))
            .orderBy("_h", "user_key").limit(37).collect()]
-    assert got == ref
+    assert sorted(got) == sorted(ref)  # a sample has no order
 
 
 @pytest.mark.parametrize("rows_per_bucket", [10_000_000, 5])
@@ -117,7 +116,7 @@ def test_null_group_rows_are_kept(spark, rows_per_bucket):
     got = ordered_running(df, "v", k="k", group=["g"], plan=plan)
     assert got.count() == 60
     assert got.filter(F.col("g").isNull()).agg(F.max("pos")).first()[0] == 20
-    q = exact_quantiles(df, "v", [0.5], group=["g"], plan=plan).collect()
+    q = exact_quantiles(df, "v", [0.5], group=["g"]).collect()
     assert len(q) == 2
 
 
