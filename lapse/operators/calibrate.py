@@ -41,12 +41,6 @@ def isotonic_apply(model: IsotonicRegressionModel, df: DataFrame, score: str = "
     return model.transform(x).withColumn(out, p).drop("_x", "_p")
 
 
-def isotonic_knots(model: IsotonicRegressionModel, spark) -> DataFrame:
-    """The fitted step function as a table (boundary, prediction)."""
-    b, p = model.boundaries.toArray().tolist(), model.predictions.toArray().tolist()
-    return spark.createDataFrame([(float(x), float(y)) for x, y in zip(b, p)], "boundary double, prediction double")
-
-
 def logit(p) -> F.Column:
     """ln(p / (1 - p)) of p moved into [LOGIT_EPS, 1 - LOGIT_EPS]; null stays null."""
     c = F.col(p) if isinstance(p, str) else p

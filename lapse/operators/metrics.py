@@ -37,7 +37,7 @@ def score_curve(pred: DataFrame, *, group: Sequence[str] = GROUP, score: str = "
     )
     r = ordered_running(d, score, descending=True, group=group, sums=["tp", "fp"], pos_col="_spos", totals=True,
                         plan=plan)
-    return r.withColumnRenamed("tp_total", "n_pos").withColumnRenamed("fp_total", "n_neg").drop("_spos", "_rows_total")
+    return r.withColumnRenamed("tp_total", "n_pos").withColumnRenamed("fp_total", "n_neg").drop("_rows_total")
 
 
 def ranking_metrics(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
@@ -57,32 +57,31 @@ def ranking_metrics(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame
     )
 
 
+def _with_end(curve: DataFrame, group: list[str], point: list[Column], end: list[Column]) -> DataFrame:
+    """A point per distinct score, and one end point beside the first score of each group."""
+    both = F.when(F.col("_spos") == 1, F.array(F.struct(*point), F.struct(*end))).otherwise(F.array(F.struct(*point)))
+    return curve.select(*group, F.explode(both).alias("_p")).select(*group, "_p.*")
+
+
 def roc_points(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """M4: one (fpr, tpr) row per distinct score plus the (0, 0) start at threshold +inf."""
-    group = list(group)
-    pts = curve.select(
-        *group, F.col("score").cast("double").alias("threshold"),
+    point = [
+        F.col("score").cast("double").alias("threshold"),
         r6(F.try_divide(F.col("fp_cum").cast("double"), F.col("n_neg"))).alias("fpr"),
         r6(F.try_divide(F.col("tp_cum").cast("double"), F.col("n_pos"))).alias("tpr"),
-    )
-    start = curve.select(*group).distinct().select(
-        *group, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return pts.unionByName(start)
+    ]
+    return _with_end(curve, list(group), point, [F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")])
 
 
 def pr_points(curve: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """M5: one (recall, precision) row per distinct score plus the (0, 1) end point."""
-    group = list(group)
-    pts = curve.select(
-        *group, F.col("score").cast("double").alias("threshold"),
+    point = [
+        F.col("score").cast("double").alias("threshold"),
         r6(F.try_divide(F.col("tp_cum").cast("double"), F.col("n_pos"))).alias("recall"),
         r6(F.col("tp_cum").cast("double") / (F.col("tp_cum") + F.col("fp_cum"))).alias("precision"),
-    )
-    end = curve.select(*group).distinct().select(
-        *group, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision")
-    )
-    return pts.unionByName(end)
+    ]
+    end = [F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision")]
+    return _with_end(curve, list(group), point, end)
 
 
 # ---- M6: calibration bins -----------------------------------------------------------------
@@ -134,6 +133,18 @@ def calibration_summary(cal: DataFrame, raw: str = "score", calibrated: str = "p
     )
 
 
+def calibration_results(cal: DataFrame, methods: dict[str, str], temperature: float, n_bins: int = 10,
+                        label: str = "is_churn") -> DataFrame:
+    """One row per method (name -> probability column): error before and after calibration, distinct values and mean
+    prediction against the truth, and the temperature of the method that has one."""
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(c).cast("double").alias("p")) for m, c in methods.items()]))
+    long = cal.select(F.col(label), each.alias("e")).select(label, "e.*")
+    facts = long.groupBy("method").agg(
+        F.count_distinct("p").alias("n_distinct"), r6(F.avg("p")).alias("mean_prediction"), r6(F.avg(F.col(label).cast("double"))).alias("churn_rate"))
+    ece = expected_calibration_error(long, n_bins, prob="p", label=label, group=["method"])
+    return ece.join(facts, "method").withColumn("temperature", F.when(F.col("method") == "temperature", F.lit(float(temperature))))
+
+
 def expected_calibration_error(pred: DataFrame, n_bins: int = 10, prob: str = "score", label: str = "is_churn",
                                group: Sequence[str] = GROUP) -> DataFrame:
     """ECE per group: sum over bins of n_b / N * |avg_conf - avg_acc|; N counts every row,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.config import Windows
 from lapse.functions.scalar import r6, standardise
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan, ordered_running
 from lapse.operators.selection import exact_quantiles, hash_order_key
@@ -189,6 +190,18 @@ def feature_manifest(cmap: DataFrame) -> DataFrame:
     )
 
 
+def full_manifest(cmap: DataFrame, w: Windows) -> DataFrame:
+    """The manifest with the time windows and numeric columns that training obeys."""
+    day = lambda d: F.lit(d).cast("date")
+    return feature_manifest(cmap).withColumns({
+        "feature_cutoff": day(w.feature_cutoff),
+        "value_window": F.array(day(w.value_start), day(w.value_end)),
+        "engagement_window": F.array(day(w.engagement_start), day(w.engagement_end)),
+        "numerical_scaled": F.array(*[F.lit(x) for x in SCALED_COLS]),
+        "numerical_unscaled": F.array(*[F.lit(x) for x in UNSCALED_COLS]),
+    })
+
+
 class ModelTableBuilder:
     """Fits imputation, encoding and scaling on train and applies them to every split."""
 

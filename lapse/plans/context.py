@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from lapse.operators.ranking import DEFAULT_PLAN, RankPlan
 from lapse.sources import roles
 from lapse.sources.ingest import pick_source
+from lapse.sources.sinks import Manifest
 from lapse.sources.store import materialize
-from lapse.sources.tables import Reader, read_table
+from lapse.sources.tables import Reader, read_table, register_views
 
 
 class Context:
@@ -35,6 +36,15 @@ class Context:
     def w(self):
         return self.p.windows
 
+    def sql(self, statement: str) -> DataFrame:
+        """A Spark SQL statement over the tables of the root and the roles ``members``, ``label``,
+        ``transactions`` and ``user_logs``.  Schemas are declared, so no job is run before the statement's own; it is
+        resolved here, and views that another context registers later do not change it."""
+        register_views(self.spark, self.root)
+        for name, role in (("members", self.members), ("label", self.label), ("transactions", self.txns), ("user_logs", self.logs)):
+            role.createOrReplaceTempView(name)
+        return self.spark.sql(statement)
+
     @cached_property
     def members(self) -> DataFrame:
         return roles.members(self.spark, self.root, read=self.read)
@@ -101,11 +111,17 @@ class Context:
 
     @cached_property
     def manifest(self) -> DataFrame:
-        return materialize(mt.feature_manifest(self.builder.category_map()), "feature_manifest")
+        """The feature manifest with windows and numeric columns, as it is written."""
+        return materialize(mt.full_manifest(self.builder.category_map(), self.w), "feature_manifest")
 
     @cached_property
     def learners(self) -> lr.Learners:
-        return lr.Learners(self.model_table, self.manifest, self.p.seed)
+        return lr.Learners(self.model_table, Manifest.of(self.manifest).check(self.w), self.p.seed)
+
+    @cached_property
+    def learned_heads(self) -> DataFrame:
+        """Predictions of every learned head and the joined model, written once."""
+        return materialize(lr.all_heads(self.learners), "learned_heads", "split")
 
     @cached_property
     def learned(self) -> DataFrame:

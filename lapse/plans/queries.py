@@ -7,14 +7,13 @@ them.  Column names equal those of the matching SQL in ``lapse.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lapse.config import CHECKED
 from lapse.operators import calibrate as cb
 from lapse.operators import decide as dc
 from lapse.operators import explore as ex
-from lapse.operators.learn import joint_heads
 from lapse.sources import buckets as bk
 from lapse.sources import ingest as ing
 from lapse.operators import features as feat
@@ -26,7 +25,7 @@ from lapse.functions.scalar import r6
 from pyspark.sql import functions as F
 from lapse.plans.context import Context
 from lapse.session import ensure_checkpoint_dir
-from lapse.sources.store import materialize, new_folder
+from lapse.sources.store import new_folder
 from lapse.sources.tables import dataset_inventory
 
 REGISTRY: dict[str, Callable[[Context], DataFrame]] = {}
@@ -193,7 +192,7 @@ def q_model_table(c: Context) -> DataFrame:
 
 @query("feature_manifest")
 def q_feature_manifest(c: Context) -> DataFrame:
-    return c.manifest
+    return c.manifest.select("feature", "column", "cardinality", "embedding_dim", "unknown_index")
 
 
 @query("class_weight")
@@ -364,9 +363,7 @@ def q_interaction_regressor(c: Context) -> DataFrame:
 @query("learner_metrics")
 def q_learner_metrics(c: Context) -> DataFrame:
     """Every metric per (learner, split): four single heads and the joined model."""
-    heads = [c.learners.churn_scorer(), c.learners.value_regressor(), c.learners.interaction_scorer(), c.learners.interaction_regressor()]
-    pred = reduce(DataFrame.unionByName, [*heads, joint_heads(heads[0], heads[1], "learned_joint")])
-    return me.model_metrics(materialize(pred, "learner_predictions"), plan=c.plan)
+    return me.model_metrics(c.learned_heads, plan=c.plan)
 
 
 @query("learned_priority")
@@ -406,12 +403,41 @@ def q_typed_ingest(c: Context) -> DataFrame:
     return _ingested(c, "transactions", ing.transactions_csv_from_orders)
 
 
+RAW_WRITERS = {"members": ing.members_csv_from_customer, "transactions": ing.transactions_csv_from_orders,
+               "user_logs": ing.user_logs_csv_from_events}
+
+
+@query("ingest_report")
+def q_ingest_report(c: Context) -> DataFrame:
+    """Rows, nulls per column and bytes of the loads of all raw tables, the bytes against the files that a
+    reader of the output sees."""
+    base = new_folder(c.spark, "ingest-report")
+    for table, write in RAW_WRITERS.items():
+        write(c.spark, c.root, f"{base}/csv/{table}")
+    reports = ing.load_all(c.spark, f"{base}/csv", f"{base}/parquet", list(RAW_WRITERS))
+    seen = dataset_inventory(c.spark, f"{base}/parquet", list(RAW_WRITERS)).select(
+        F.col("table_name"), F.col("n_bytes").alias("_bytes"), F.col("n_rows").alias("_rows"))
+    return ing.report_rows(c.spark, reports).join(seen, "table_name").select(
+        "table_name", "column_name", "n_rows", "n_nulls", (F.col("n_bytes") == F.col("_bytes")).alias("bytes_seen"),
+        (F.col("n_rows") == F.col("_rows")).alias("rows_seen"))
+
+
+@query("churn_by_city_sql")
+def q_churn_by_city_sql(c: Context) -> DataFrame:
+    """Spark SQL over the registered views: churn and forward payments by city."""
+    return c.sql("""
+        SELECT m.city, count(*) AS n, sum(l.is_churn) AS n_churned, count(p.user_key) AS n_paying
+        FROM label l JOIN members m USING (user_key)
+        LEFT JOIN (SELECT DISTINCT user_key FROM transactions WHERE is_cancel = 0) p ON p.user_key = l.user_key
+        GROUP BY m.city""")
+
+
 def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = REGISTRY[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
-        return fn(Context(spark, sf_dir))
+        return fn(Context(spark, sf_dir, CHECKED))
 
     run.__name__ = f"q_{name}"
     return run

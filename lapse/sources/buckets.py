@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapse.sources.files import stored_bytes
 from lapse.sources.tables import read_table, table_path
 
 # fixed values: the user key of each table
@@ -49,12 +50,6 @@ def bucket_count(input_bytes: int, at_least: int = 1, bucket_bytes: int = 256 <<
     return 1 << (n - 1).bit_length()
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of a table's files, from the file system's summary."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
-
 def _layout_path(path: str) -> str:
     return f"{path.rstrip('/')}/_layout"
 

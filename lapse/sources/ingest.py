@@ -2,19 +2,26 @@
 
 * S1: CSV read with a declared schema and ``mode=FAILFAST``: a value that does not fit
   its type (300 in a byte column) fails the job instead of wrapping or turning null.
-* S2: integer columns may not be null: the write itself raises at the first null it meets (an
-  empty cell parses as null even under FAILFAST), so the text is parsed once.
-* S3: idempotent: a finished output (it has ``_SUCCESS``) is left alone; what a crashed load left
-  is overwritten.
+* S2: integer columns may not be null (an empty cell parses as null even under FAILFAST).  Rows and nulls per
+  column are observed by the write itself, so the text is parsed once; a load with nulls where none may be is
+  refused with its counts and leaves no finished output.
+* S3: idempotent: a finished output (it has ``_SUCCESS``, written after the checks, which holds the load's report)
+  is left alone; what a crashed or refused load left is overwritten.
+* S6: the report has rows, nulls per column and bytes of the load.
 * S5: source preference by existence, checked through the Hadoop FileSystem.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.sources.files import path_exists, read_text, stored_bytes, write_text
+
 # ---- fixed values: raw table schemas ---------------------------------------------------------
 _B, _S, _I, _F, _STR = T.ByteType(), T.ShortType(), T.IntegerType(), T.FloatType(), T.StringType()
 RAW_SCHEMAS: dict[str, list[tuple[str, T.DataType]]] = {
@@ -38,12 +45,6 @@ def schema_of(table: str) -> T.StructType:
     return T.StructType([T.StructField(n, t, (shape, n) in NULLABLE) for n, t in RAW_SCHEMAS[shape]])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def pick_source(spark: SparkSession, root: str, names: list[str]) -> str:
     """The first table name whose Parquet path exists under ``root``."""
     for n in names:
@@ -64,27 +65,74 @@ def require(df: DataFrame, cols: list[str]) -> DataFrame:
     })
 
 
-def convert(spark: SparkSession, table: str, csv_path: str, out_path: str) -> bool:
-    """CSV -> zstd Parquet under the declared schema.  Returns False when skipped."""
-    if path_exists(spark, f"{out_path.rstrip('/')}/_SUCCESS"):
-        return False
+@dataclass(frozen=True)
+class LoadReport:
+    """What a load has read and written."""
+
+    table: str
+    n_rows: int
+    nulls: dict[str, int]
+    n_bytes: int
+
+
+def load(spark: SparkSession, table: str, csv_path: str, out_path: str) -> tuple[LoadReport, bool]:
+    """CSV -> zstd Parquet under the declared schema; its report and whether it ran now.
+
+    A finished output is left alone and its report read back."""
+    done = f"{out_path.rstrip('/')}/_SUCCESS"
+    if (known := read_text(spark, done)) is not None:
+        return (LoadReport(**json.loads(known)) if known else _counted(spark, table, out_path)), False
     schema = schema_of(table)
-    df = read_typed_csv(spark, csv_path, schema)
-    df = require(df, [f.name for f in schema.fields if not f.nullable])
-    df.write.mode("overwrite").option("compression", "zstd").parquet(out_path)
-    return True
+    seen = Observation(f"load {table}")
+    # a session that has observed something is no longer serialisable, and MLlib models carry their session's summary
+    # into tasks (Spark 4.1): so the load observes in a session of its own
+    df = read_typed_csv(spark.newSession(), csv_path, schema).observe(
+        seen, F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in schema.fields])
+    (df.write.mode("overwrite").option("compression", "zstd")
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(out_path))
+    got = seen.get
+    nulls = {f.name: got[f.name] for f in schema.fields}
+    bad = {f.name: nulls[f.name] for f in schema.fields if nulls[f.name] and not f.nullable}
+    if bad:
+        raise ValueError(f"{table}: null values in non-nullable columns, of {got['n_rows']} rows: {bad}")
+    report = LoadReport(table, got["n_rows"], nulls, stored_bytes(spark, out_path))
+    write_text(spark, done, json.dumps(asdict(report)))
+    return report, True
+
+
+def _counted(spark: SparkSession, table: str, out_path: str) -> LoadReport:
+    """The report of an output that has none (another writer made it): counted from its rows."""
+    schema = schema_of(table)
+    r = spark.read.schema(schema).parquet(out_path).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(f.name).isNull()).alias(f.name) for f in schema.fields]).first()
+    return LoadReport(table, r.n_rows, {f.name: r[f.name] for f in schema.fields}, stored_bytes(spark, out_path))
+
+
+def convert(spark: SparkSession, table: str, csv_path: str, out_path: str) -> bool:
+    """``load`` without its report.  Returns False when skipped."""
+    return load(spark, table, csv_path, out_path)[1]
+
+
+def load_all(spark: SparkSession, csv_root: str, out_root: str, tables: list[str]) -> list[LoadReport]:
+    """Load ``<csv_root>/<table>`` (a CSV file or folder) to ``<out_root>/<table>.parquet`` for every
+    table, skipping outputs that exist."""
+    return [load(spark, t, f"{csv_root.rstrip('/')}/{t}", f"{out_root.rstrip('/')}/{t}.parquet")[0] for t in tables]
 
 
 def ingest_all(spark: SparkSession, csv_root: str, out_root: str, tables: list[str]) -> DataFrame:
-    """Convert ``<csv_root>/<table>`` (a CSV file or folder) to ``<out_root>/<table>.parquet``
-    for every table, skipping outputs that exist, then report rows and bytes per table."""
+    """``load_all``, then rows and bytes per table as a reader sees them."""
     from lapse.sources.tables import dataset_inventory
 
-    for t in tables:
-        convert(spark, t, f"{csv_root.rstrip('/')}/{t}", f"{out_root.rstrip('/')}/{t}.parquet")
+    load_all(spark, csv_root, out_root, tables)
     return dataset_inventory(spark, out_root, tables)
 
 
+def report_rows(spark: SparkSession, reports: list[LoadReport]) -> DataFrame:
+    """(table_name, column_name, n_rows, n_nulls, n_bytes): one row per column of every load."""
+    rows = [(r.table, c, r.n_rows, n, r.n_bytes) for r in reports for c, n in r.nulls.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, n_rows bigint, n_nulls bigint, n_bytes bigint")
+
+
 def transactions_csv_from_orders(spark: SparkSession, root: str, out_csv: str) -> None:
     """Write the driver ``orders`` as a raw transactions CSV (test input for the ingest path)."""
     from lapse.sources.tables import read_table

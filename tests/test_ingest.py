@@ -91,3 +91,32 @@ def test_ingest_all_reports_rows_and_bytes(spark):
     inv = {r.table_name: r for r in ing.ingest_all(spark, d + "/csv", d + "/pq", ["train", "train_v2"]).collect()}
     assert inv["train"].n_rows == 2 and inv["train_v2"].n_rows == 1
     assert inv["train"].n_bytes > 0
+
+
+def test_report_counts_the_load(spark, tmp_path):
+    d = str(tmp_path)
+    os.makedirs(d + "/in")
+    with open(d + "/in/a.csv", "w") as f:
+        f.write("msno,city,bd,gender,registered_via,registration_init_time\na,1,20,,3,20000101\nb,2,30,male,3,20000101\nc,2,31,,3,20000102\n")
+    report, ran = ing.load(spark, "members", d + "/in", d + "/out")
+    assert ran and report.n_rows == 3 and report.nulls == {
+        "msno": 0, "city": 0, "bd": 0, "gender": 2, "registered_via": 0, "registration_init_time": 0}
+    assert report.n_bytes == sum(os.path.getsize(os.path.join(d, "out", x)) for x in os.listdir(d + "/out") if x.startswith("part-"))
+    again, ran = ing.load(spark, "members", d + "/in", d + "/out")
+    assert not ran and again == report
+
+
+def test_refused_load_tells_its_nulls_and_is_not_finished(spark, tmp_path):
+    d = str(tmp_path)
+    _csv(d + "/in", "a.csv", "u1,\nu2,\nu3,1\n")
+    with pytest.raises(ValueError, match=r"of 3 rows: {'is_churn': 2}"):
+        ing.load(spark, "train", d + "/in", d + "/out")
+    assert not os.path.exists(d + "/out/_SUCCESS")
+    _csv(d + "/in", "a.csv", "u1,0\n")
+    assert ing.load(spark, "train", d + "/in", d + "/out")[0].n_rows == 1
+
+
+def test_output_of_another_writer_is_counted(spark, tmp_path):
+    spark.createDataFrame([("u1", 1), ("u2", 0)], "msno string, is_churn byte").write.parquet(str(tmp_path / "out"))
+    report, ran = ing.load(spark, "train", "nowhere", str(tmp_path / "out"))
+    assert not ran and report.n_rows == 2 and report.nulls == {"msno": 0, "is_churn": 0} and report.n_bytes > 0

@@ -8,6 +8,8 @@ from conftest import SF001
 from lapse.operators import calibrate as cb
 from lapse.operators import learn as lr
 from lapse.operators import metrics as me
+from lapse.config import CHECKED, Windows
+from lapse.sources.sinks import Manifest
 from lapse.operators.modeltable import ENC_COLS, SCALED_COLS, UNSCALED_COLS
 from lapse.plans.context import Context
 
@@ -27,7 +29,7 @@ def planted(spark):
     cols = ["user_key", "is_churn", "log1p_ltv", "ltv", *ENC_COLS, *SCALED_COLS, *UNSCALED_COLS, "split"]
     types = ["long", "int", "double", "double"] + ["int"] * len(ENC_COLS) + ["double"] * (len(SCALED_COLS) + len(UNSCALED_COLS)) + ["string"]
     table = spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in zip(cols, types)))
-    manifest = spark.createDataFrame([(c, 4) for c in ENC_COLS], "column string, cardinality int")
+    manifest = Manifest({c: 4 for c in ENC_COLS}, tuple(SCALED_COLS), tuple(UNSCALED_COLS), Windows())
     return lr.Learners(table, manifest)
 
 
@@ -93,9 +95,29 @@ def test_decision_keys_can_fail(spark):
     from conftest import SF01
     from lapse.plans.queries import REGISTRY
 
-    c = Context(spark, SF01)
+    c = Context(spark, SF01, CHECKED)
     revenue = {r.policy: r.expected_revenue for r in REGISTRY["budget_policies"](c).collect()}
     assert len(set(revenue.values())) == 3 and revenue["model_priority"] == max(revenue.values())
     s = REGISTRY["rank_sensitivity"](c).first()
     assert s.n_top == c.p.budget.n_interventions < c.ranked_raw.count() and s.median_rank_change > 0
     assert REGISTRY["value_scatter_sample"](c).count() < c.ranked_raw.count()
+
+
+@pytest.mark.parametrize("weight, pair", [(1.0, (1, 1)), (1.4395, (3, 2)), (0.3, (2, 7)), (14.6, (15, 1)), (0.01, (1, 100)), (2.5, (5, 2)), (0.0, (1, 1)), (float("inf"), (1, 1))])
+def test_replication_is_near_the_weight(weight, pair):
+    assert lr.replication(weight) == pair
+
+
+@pytest.mark.parametrize("share", [0.15, 0.41, 0.75])
+def test_weighted_classes_move_the_intercept(spark, share):
+    """Unweighted, the intercept of a machine without signal is the log odds; weighted, it is near 0."""
+    from pyspark.ml.classification import FMClassifier
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(int(i < 1000 * share), Vectors.dense([0.0])) for i in range(1000)]
+    df = spark.createDataFrame(rows, ["is_churn", "features"])
+    ratio = (1 - share) / share
+    fit = lambda d: FMClassifier(featuresCol="features", labelCol="is_churn", factorSize=1, maxIter=300, stepSize=0.1, seed=1).fit(d).intercept
+    plain, weighted = fit(df), fit(lr.replicated(df, ratio))
+    assert plain == pytest.approx(np.log(share / (1 - share)), abs=0.1)
+    assert abs(weighted) < 0.1 < abs(plain)

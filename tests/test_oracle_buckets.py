@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from conftest import SF01
+from lapse.config import CHECKED
 from lapse.operators.ranking import RankPlan
 from lapse.plans.context import Context
 from lapse.plans.oracle import SQL
@@ -26,7 +27,7 @@ def con():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_many_buckets_match_oracle(spark, con, key):
-    df = REGISTRY[key](Context(spark, SF01, plan=PLAN))
+    df = REGISTRY[key](Context(spark, SF01, CHECKED, PLAN))
     s_types = {f.name: family(f.dataType.simpleString()) for f in df.schema.fields}
     s_rows = [r.asDict() for r in df.collect()]
     rel = con.sql(SQL[key])
