@@ -10,9 +10,10 @@
    that a hash picks, so n classes give fewer than 4n candidates.
 4. Candidates are confirmed on the full shingle sets (``100 * |A n B| >= percent * |A u B|``)
    and linked into connected components.
-5. Buckets that still span several components get further hubs, twice as many each round, paired with
-   the members of other components only, until every two members of a bucket were compared or are
-   connected.
+5. Buckets that still span several components are compared whole, without pairs as rows: buckets that share
+   classes form clusters, a cluster's classes are dealt into blocks of bounded size (its largest component apart
+   from the others), and one task takes two blocks and counts all shared shingles of their members at once.  The
+   largest component is not compared with itself, so a class moves once per block of the others.
 
 Defined cases: null and wordless texts have the empty set and link with nothing; a text of
 fewer than k words has its word sequence as the one shingle; rows of one ``doc_id`` with
@@ -23,6 +24,7 @@ further columns are ignored by the labels and carried through by ``dedup``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.llm.components import connected_components
-from lapse.llm.words import mix64, shingle_sets, slices
+from lapse.llm.words import mix64, ranges, shingle_sets, slices
 from lapse.sources.store import materialize
 
 BINS, BANDS = 240, 40
 PERCENT = 80
-#: hubs of a bucket after the first four, doubled each round; a hash of that many values picks them
-HUBS, PLACES = 8, 1 << 30
+#: classes and shingles of a block: what a task holds of a crowded cluster is two of them
+BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 2_000_000
+DENSE_COLUMNS, SPARSE_PAIRS, DENSE_SHARE = 2048, 1 << 22, 50
 U = np.uint64
 
 
@@ -101,7 +104,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 names=["doc_id", "n_shingles", "s1", "s2", "keys"],
             )
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>")
 
 
@@ -156,37 +159,113 @@ def several(member: DataFrame, labels: DataFrame, least: int) -> DataFrame:
     return m.join(spans.filter(f"lo <> hi and n >= {least}").select("key", "n"), "key")
 
 
-def further_links(member: DataFrame, keys: DataFrame, labels: DataFrame, compared: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``labels`` after all pairs of the buckets of ``member`` (rep, n_shingles, key) that are neither
-    ``compared`` nor connected were compared; ``keys`` has all (rep, keys).
+def shared_counts(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], n: int, m: int) -> np.ndarray:
+    """(n x m) sizes of the intersections of two lists of sets, each given as (set number, hash) of its elements.
+
+    Hashes that many sets of both sides hold are columns of a matrix product, the others are expanded."""
+    tokens = np.intersect1d(a[1], b[1])
+    out = np.zeros(n * m, np.float32)
+    if not len(tokens):
+        return out.reshape(n, m).astype(np.int64)
+    sides = []
+    for owner, h in (a, b):
+        at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
+        hit = tokens[at] == h
+        owner, at = owner[hit], at[hit]
+        order = np.argsort(at, kind="stable")
+        sides.append((owner[order], at[order], np.bincount(at, minlength=len(tokens))))
+    (oa, ta, fa), (ob, tb, fb) = sides
+    many = fa * fb > n * m // DENSE_SHARE
+    column = np.cumsum(many) - 1
+    for k in range(0, int(many.sum()), DENSE_COLUMNS):
+        parts = []
+        for owner, t, rows in ((oa, ta, n), (ob, tb, m)):
+            use = many[t] & (column[t] >= k) & (column[t] < k + DENSE_COLUMNS)
+            x = np.zeros((rows, DENSE_COLUMNS), np.float32)
+            x[owner[use], column[t[use]] - k] = 1
+            parts.append(x)
+        out += (parts[0] @ parts[1].T).ravel()
+    few = ~many[ta]
+    oa, ta = oa[few], ta[few]
+    first = np.cumsum(fb) - fb
+    total = np.cumsum(fb[ta])
+    at = 0
+    while at < len(ta):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SPARSE_PAIRS, side="right")))
+        t = ta[at:to]
+        cell = np.repeat(oa[at:to] * m, fb[t]) + ob[ranges(first[t], fb[t])]
+        out += np.bincount(cell, minlength=n * m)
+        at = to
+    return out.reshape(n, m).astype(np.int64)
+
+
+def _block_links(percent: int):
+    """Of two blocks (or one with itself), a link for every two components that one of its pairs joins."""
+
+    def run(table):
+        side = table["side"].to_numpy()
+        rep, component = table["rep"].to_numpy(), table["component"].to_numpy()
+        hashes = table["hashes"].combine_chunks()
+        size = np.diff(hashes.offsets.to_numpy())
+        owner, h = np.repeat(np.arange(len(rep)), size), hashes.flatten().to_numpy()
+        left = np.flatnonzero(side <= 1)    # 0: both sides, 1: left, 2: right
+        right = np.flatnonzero(side != 1)
+        number = np.zeros((2, len(rep)), np.int64)
+        number[0, left], number[1, right] = np.arange(len(left)), np.arange(len(right))
+        of = lambda k, mine: (number[k, owner[mine]], h[mine])
+        both = shared_counts(of(0, side[owner] <= 1), of(1, side[owner] != 1), len(left), len(right))
+        union = size[left][:, None] + size[right][None, :] - both
+        ok = (both > 0) & (100 * both >= percent * union) & (component[left][:, None] != component[right][None, :])
+        x, y = np.nonzero(ok)
+        u, v = rep[left[x]], rep[right[y]]
+        joined = np.sort(np.stack([component[left[x]], component[right[y]]], axis=1), axis=1)
+        _, one = np.unique(joined, axis=0, return_index=True)
+        return pa.table({"u": u[one], "v": v[one]})
+
+    return run
 
-    The hubs of a round are the classes of the lowest places, so those of later rounds include them; a
-    hub meets the classes of higher places.  A pair is taken in the first bucket the two share, and
-    there it comes up once.
-    """
-    place = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(PLACES))
-    # buckets of up to three classes were compared whole; the size of a bucket is that of the first round
-    cur = several(member, labels, 4).withColumn("place", place).withColumnRenamed("n", "size")
-    cur = materialize(cur.distinct(), "minhash-crowded").join(keys.distinct(), "rep").filter(F.array_contains("keys", F.col("key")))
-    hubs, before = HUBS, 0
-    while True:
-        cur = materialize(cur.drop("n"), "minhash-several")
-        largest = cur.agg(F.max("size")).first()[0]
-        if largest is None or before >= largest:
-            return labels
-        low, high = (F.col("place") * F.col("size") >= F.lit(x * PLACES).cast("long") for x in (before, hubs))
-        h = cur.filter(low & ~high).select("key", *[F.col(c).alias(f"h_{c}") for c in ("rep", "n_shingles", "keys", "component", "place")])
-        new = cur.join(h, "key").filter(
-            (F.col("component") != F.col("h_component")) & (F.struct("place", "rep") > F.struct("h_place", "h_rep"))
-            & (100 * F.least("n_shingles", "h_n_shingles") >= percent * F.greatest("n_shingles", "h_n_shingles"))
-            & (F.element_at(F.array_intersect("keys", "h_keys"), 1) == F.col("key")))
-        new = new.select(F.least("rep", "h_rep").alias("u"), F.greatest("rep", "h_rep").alias("v")).distinct()
-        new = materialize(new.join(compared, ["u", "v"], "left_anti"), "minhash-further")
-        links = materialize(confirm(new, texts, shingle, percent), "minhash-links")
-        if not links.isEmpty():
-            labels = connected_components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links))
-        before, hubs = hubs, 2 * hubs
-        cur = several(cur.drop("component"), labels, 2)
+
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            _, h, size = shingle_sets(b.column("text"), shingle)
+            edge = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            kept = [i for i, name in enumerate(b.schema.names) if name != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(i) for i in kept], pa.ListArray.from_arrays(pa.array(edge), pa.array(h.view(np.int64)))],
+                names=[*[b.schema.names[i] for i in kept], "hashes"])
+
+    return run
+
+
+def crowded_links(crowded: DataFrame, texts: DataFrame, shingle: int, percent: int,
+                  block_classes: int = BLOCK_CLASSES, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """Links (u, v) between the components of the buckets ``crowded`` (rep, n_shingles, key, component): every two
+    classes of one bucket and different components are compared on their full sets."""
+    hub = crowded.groupBy("key").agg(F.min("rep").alias("hub"))
+    edges = crowded.join(hub, "key").select(F.col("rep").alias("u"), F.col("hub").alias("v")).filter("u <> v").distinct()
+    cluster = connected_components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    who = materialize(crowded.select("rep", "component", "n_shingles").distinct().join(cluster, "rep"), "minhash-clusters")
+    parts = who.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    whole = parts.groupBy("cluster").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.struct("n", "component", "s")).alias("big"))
+    blocks = lambda n, s: F.greatest(F.ceil(n / block_classes), F.ceil(s / block_shingles)).cast("int")
+    plan = whole.select("cluster", F.col("big.component").alias("largest"), blocks(F.col("big.n"), F.col("big.s")).alias("n_big"),
+                        blocks(F.col("n") - F.col("big.n"), F.col("s") - F.col("big.s")).alias("n_rest")).filter("n_rest > 0")
+    in_big = F.col("component") == F.col("largest")
+    block = F.pmod(F.xxhash64("rep", F.lit(9)), F.when(in_big, F.col("n_big")).otherwise(F.col("n_rest"))).cast("int")
+    placed = who.join(plan, "cluster").select("rep", "component", "cluster", "n_big", "n_rest", in_big.alias("in_big"), block.alias("block"))
+    sets = placed.join(texts, F.col("rep") == F.col("doc_id")).drop("doc_id").mapInArrow(
+        _sets(shingle), "rep long, component long, cluster long, n_big int, n_rest int, in_big boolean, block int, hashes array<long>")
+    # the others' blocks meet each other and every block of the largest component
+    to = lambda i, j, kind, side: F.struct(i.alias("i"), j.alias("j"), F.lit(kind).alias("kind"), side.alias("side"))
+    up_to = lambda n: F.sequence(F.lit(0), n - 1)
+    b = F.col("block")
+    rest = F.concat(
+        F.transform(up_to(F.col("n_rest")), lambda x: to(F.least(b, x), F.greatest(b, x), 0, F.when(x == b, 0).when(b < x, 1).otherwise(2))),
+        F.transform(up_to(F.col("n_big")), lambda x: to(b, x, 1, F.lit(1))))
+    big = F.transform(up_to(F.col("n_rest")), lambda x: to(x, b, 1, F.lit(2)))
+    rows = sets.withColumn("to", F.explode(F.when(F.col("in_big"), big).otherwise(rest))).select("rep", "component", "hashes", "cluster", "to.*")
+    return rows.groupBy("cluster", "i", "j", "kind").applyInArrow(_block_links(percent), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
@@ -211,7 +290,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     same_id = rows.join(multi, "doc_id").select("u", F.col("rep").alias("v")).filter("u <> v")
     labels = connected_components(confirm(pairs, texts, shingle, percent).unionByName(same_id))
-    labels = further_links(member, one.select("rep", "keys"), labels, pairs, texts, shingle, percent)
+    # buckets of up to three classes were compared whole by their stars
+    crowded = materialize(several(member, labels, 4).select("rep", "n_shingles", "key", "component"), "minhash-crowded")
+    if not crowded.isEmpty():
+        links = materialize(crowded_links(crowded, texts, shingle, percent), "minhash-links")
+        labels = connected_components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links))
     rep_label = labels.select(F.col("node").alias("rep"), "component")
     out = rows.join(rep_label, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
@@ -228,15 +311,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     row stays, the one with the smallest text.  Texts without words are never duplicates.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, **how)
-    lost = (
-        found.filter("doc_id is not null and not kept").select("doc_id")
-        .distinct().withColumn("_gone", F.lit(True))
-    )
-    # a component whose only rows of this id are others' copies; ids in several classes keep one
-    key = "_minhash_id"
-    left = docs.withColumn(key, F.col(id_col).cast("long"))
-    out = left.join(lost.withColumnRenamed("doc_id", key), key, "left").filter("_gone is null").drop("_gone")
+    # of ids in several classes the one kept row is that of the smallest text
+    gone, key = "_minhash_gone_" + uuid.uuid4().hex[:8], "_minhash_id_" + uuid.uuid4().hex[:8]
+    lost = found.filter("doc_id is not null and not kept").select(F.col("doc_id").alias(key)).distinct().withColumn(gone, F.lit(True))
+    left = docs.withColumn(key, F.col(f"`{id_col}`").cast("long"))
+    out = left.join(lost, key, "left").filter(F.col(gone).isNull()).drop(gone)
     twice = found.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not twice.isEmpty():
         out = out.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(out.filter(F.col(key).isNull()))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

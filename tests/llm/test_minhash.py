@@ -2,6 +2,8 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from lapse.llm import components, minhash
 from lapse.llm.queries import QUERIES
@@ -145,3 +147,42 @@ def test_twins_in_crowded_buckets(spark):
     want = brute([r[:2] for r in rows], 2)
     assert len({c for _, _, c, _ in want}) > 140
     assert labels(spark.createDataFrame(rows, DOCS), shingle=2) == want
+
+
+def test_shared_counts_equal_intersections(monkeypatch):
+    """Common hashes (matrix product) and rare ones (expanded) together give every intersection."""
+    monkeypatch.setattr(minhash, "DENSE_COLUMNS", 16)
+    monkeypatch.setattr(minhash, "SPARSE_PAIRS", 40)
+    rng = np.random.default_rng(4)
+    sets = [set(rng.choice(60, rng.integers(0, 40), replace=False).tolist()) | set(rng.choice(10**6, 25).tolist()) for _ in range(30)]
+    sets += [set(range(30)), set(), set(range(15, 80))]
+    flat = lambda xs: (np.array([i for i, x in enumerate(xs) for _ in x], np.int64), np.array([h for x in xs for h in sorted(x)], np.int64))
+    a, b = sets[:20], sets[12:]
+    got = minhash.shared_counts(flat(a), flat(b), len(a), len(b))
+    assert got.tolist() == [[len(x & y) for y in b] for x in a]
+    assert minhash.shared_counts(flat([set()]), flat(b), 1, len(b)).tolist() == [[0] * len(b)]
+
+
+@pytest.mark.parametrize("block", [5, 64])
+def test_blocks_of_a_crowded_cluster_compare_all_its_pairs(spark, block):
+    """All classes in one bucket, a third of them one component: the links join exactly the components that all
+    pairs join, whatever the size of the blocks."""
+    texts = near_copies(40, 3) + near_copies(25, 4) + near_copies(12, 9)[::3]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    component = {i: (0 if i < 25 else i) for i in range(len(texts))}
+    crowded = spark.createDataFrame([(i, 100, 7 + i % 2 if i else k, component[i]) for i in component for k in ((7, 8) if i == 0 else (0,))],
+                                    "rep long, n_shingles long, key long, component long")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    links = minhash.crowded_links(crowded, df, 2, 80, block_classes=block, block_shingles=2000 * block).collect()
+    shingles = lambda t: set(zip(t.split(), t.split()[1:]))
+    sets = [shingles(t) for t in texts]
+    close = lambda i, j: 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+    want = {tuple(sorted((component[i], component[j]))) for i in component for j in component if component[i] != component[j] and close(i, j)}
+    assert all(close(r.u, r.v) for r in links)
+    assert {tuple(sorted((component[r.u], component[r.v]))) for r in links} == want and want
+
+
+def test_dedup_with_names_of_its_own_columns(spark, odd):
+    df = odd[0].withColumn("_gone", F.lit(1)).withColumn("a.b", F.lit(2)).withColumn("_minhash_id", F.lit(3))
+    out = minhash.dedup(df, shingle=5)
+    assert out.columns == df.columns and out.count() == minhash.dedup(odd[0], shingle=5).count()
