@@ -15,7 +15,7 @@ from .test_substring import kept_words
 
 def test_registration():
     names = list(entry.queries())
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{k}" for k in range(1, 11)] and "pipeline" in names
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{k}" for k in range(1, 14)] and "pipeline" in names
     assert [n for n, _ in C.STAGES] == ["quality rules", "MinHash near-dedup", "substring dedup", "benchmark decontamination", "byte-level BPE"]
 
 
