@@ -3,10 +3,13 @@
 Base features are counted over every whole text.  Four ratios of the rows that pass the base
 rules go into mergeable quantile sketches, one per (lang, source): log-linear histograms whose
 buckets hold integers to a relative width of 1/16, so merging is adding counts and quantiles do
-not depend on the order of merging.  A group of fewer than ``MIN_ROWS`` rows takes the merged
-sketch of its language, a language of fewer than that the sketch of all rows.  The fences of a
-ratio are ``median -+ (SPREADS * (median - decile) + slack)``, with the lower decile as the scale
-because junk sits in the upper tail; rows outside are rejected by a join on (lang, source).
+not depend on the order of merging.  The lower decile, median and upper decile of a language are drawn
+towards those of all rows, and a group's towards its language's: the parent counts as ``MIN_ROWS`` further rows, so
+small groups lean on it and large ones have their own.  The fences of a ratio lie
+``SPREADS * (upper decile - median) + floor`` above and ``SPREADS * (median - decile) + floor`` below the
+group's median.  A spread counts up to twice its language's plus half the floor, so that a group
+in which more than a tenth is junk does not widen its own fence.  Rows outside are rejected by a join
+on (lang, source).
 
 Defined cases: a null or wordless text has zero words and fails the base rules; null languages
 and sources are groups of their own; further columns (also ones named like a feature) are
@@ -18,18 +21,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapse.llm.names import quoted, unused
 from lapse.sources.store import materialize
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_ROWS = 200
-SPREADS = 4
-#: ratio -> (numerator, denominator, units per one, slack above, slack below or None for no lower fence)
+SPREADS = 2
+#: ratio -> (numerator, denominator, units per one, least room above, least room below or None for no lower fence)
 RATIOS = {
-    "symbols": ("n_symbols", "n_words", 1000, 100, None),
-    "length": ("word_chars", "n_words", 100, 200, 200),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 350, None),
-    "repeats": ("n_repeat_words", "n_words", 1000, 200, None),
+    "symbols": ("n_symbols", "n_words", 1000, 60, None),
+    "length": ("word_chars", "n_words", 100, 100, 100),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, None),
+    "repeats": ("n_repeat_words", "n_words", 1000, 150, None),
 }
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -98,32 +102,35 @@ def sketches(rows: DataFrame, lang: str, source: str, prefix: str = "") -> DataF
 
 
 def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, ratio, total, decile, median) of the sketches merged to ``keys``."""
+    """(keys, ratio, total, decile, median, upper) of the sketches merged to ``keys``."""
     merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*keys, "ratio")
     cum = merged.withColumns({"cum": F.sum("n").over(w.orderBy("bucket")), "total": F.sum("n").over(w)})
     at = lambda tenths: bucket_low(F.min(F.when(10 * F.col("cum") >= tenths * F.col("total"), F.col("bucket"))))
-    return cum.groupBy(*keys, "ratio").agg(F.max("total").alias("total"), at(1).alias("decile"), at(5).alias("median"))
+    return cum.groupBy(*keys, "ratio").agg(
+        F.max("total").alias("total"), at(1).alias("decile"), at(5).alias("median"), at(9).alias("upper"))
 
 
 def fences(sketch: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """(lang, source, <ratio>_low, <ratio>_high): one row per group met in the sketch."""
     own, by_lang, all_rows = quantiles(sketch, ["lang", "source"]), quantiles(sketch, ["lang"]), quantiles(sketch, [])
-    pick = lambda c: (
-        F.when(F.col("o.total") >= min_rows, F.col(f"o.{c}")).when(F.col("l.total") >= min_rows, F.col(f"l.{c}"))
-        .otherwise(F.col(f"a.{c}")).alias(c))
+    drawn = lambda child, parent, c: F.expr(
+        f"({child}.total * {child}.{c} + {min_rows}L * {parent}) div ({child}.total + {min_rows}L)")
+    marks = ("decile", "median", "upper")
     j = (
         own.alias("o")
         .join(by_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.ratio") == F.col("l.ratio")))
         .join(all_rows.alias("a"), F.col("o.ratio") == F.col("a.ratio"))
-        .select("o.lang", "o.source", "o.ratio", pick("decile"), pick("median"))
+        .select("o.*", *[drawn("l", f"a.{c}", c).alias(f"l_{c}") for c in marks]).alias("o")
+        .select("lang", "source", "ratio", "l_decile", "l_median", "l_upper", *[drawn("o", f"l_{c}", c).alias(c) for c in marks])
     )
     out = []
     for r, (_, _, _, above, below) in RATIOS.items():
-        room = SPREADS * (F.col("median") - F.col("decile"))
-        out.append(F.max(F.when(F.col("ratio") == r, F.col("median") + room + above)).alias(f"{r}_high"))
+        spread = F.least(F.col("upper") - F.col("median"), 2 * (F.col("l_upper") - F.col("l_median")) + above // 2)
+        out.append(F.max(F.when(F.col("ratio") == r, F.col("median") + SPREADS * spread + above)).alias(f"{r}_high"))
         if below is not None:
-            out.append(F.max(F.when(F.col("ratio") == r, F.col("median") - room - below)).alias(f"{r}_low"))
+            spread = F.least(F.col("median") - F.col("decile"), 2 * (F.col("l_median") - F.col("l_decile")) + below // 2)
+            out.append(F.max(F.when(F.col("ratio") == r, F.col("median") - SPREADS * spread - below)).alias(f"{r}_low"))
     return j.groupBy("lang", "source").agg(*out)
 
 
@@ -134,9 +141,9 @@ def judged(docs: DataFrame, text_col: str = "text", lang: str = "lang", source:
     Features are counted once and written to the checkpoint folder; sketches and filter read them back.
     """
     carry = docs.columns if carry is None else carry
-    named = [F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)]
-    base = docs.select(*named, F.col(lang).cast("string").alias("_lang"), F.col(source).cast("string").alias("_source"),
-                       F.col(text_col).alias("_body"))
+    named = [quoted(c).alias(f"_c{i}") for i, c in enumerate(carry)]
+    base = docs.select(*named, quoted(lang).cast("string").alias("_lang"), quoted(source).cast("string").alias("_source"),
+                       quoted(text_col).alias("_body"))
     rows = features(base, "_body", "_f_").drop("_body")
     rows = materialize(rows, "quality-rows")
     fence = fences(sketches(rows, "_lang", "_source", "_f_"), min_rows)
@@ -156,5 +163,6 @@ def judged(docs: DataFrame, text_col: str = "text", lang: str = "lang", source:
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source", min_rows: int = MIN_ROWS) -> DataFrame:
     """``docs`` without the rejected rows."""
-    out = judged(docs, text_col, lang, source, prefix="_quality_", min_rows=min_rows)
-    return out.filter("_quality_kept").select(*docs.columns)
+    prefix = unused("_quality_", docs.columns)
+    out = judged(docs, text_col, lang, source, prefix=prefix, min_rows=min_rows)
+    return out.filter(F.col(f"{prefix}kept")).select(*[quoted(c) for c in docs.columns])

@@ -115,20 +115,28 @@ cum AS (
   SELECT 'a', NULL, NULL, ratio, bucket, sum(n) OVER (PARTITION BY ratio ORDER BY bucket), sum(n) OVER (PARTITION BY ratio)
   FROM (SELECT ratio, bucket, sum(n) AS n FROM k GROUP BY ALL)),
 q AS (
-  SELECT level, lang, source, ratio, max(total) AS total, min(bucket) FILTER (10 * c >= total) AS b1, min(bucket) FILTER (10 * c >= 5 * total) AS b5
+  SELECT level, lang, source, ratio, max(total)::BIGINT AS total, min(bucket) FILTER (10 * c >= total) AS b1,
+         min(bucket) FILTER (10 * c >= 5 * total) AS b5, min(bucket) FILTER (10 * c >= 9 * total) AS b9
   FROM cum GROUP BY ALL),
 ql AS (
-  SELECT * REPLACE ((b1 - 16 * greatest(b1 // 16 - 1, 0)) * pow(2, greatest(b1 // 16 - 1, 0)) AS b1,
-                    (b5 - 16 * greatest(b5 // 16 - 1, 0)) * pow(2, greatest(b5 // 16 - 1, 0)) AS b5) FROM q),
+  SELECT * REPLACE (((b1 - 16 * greatest(b1 // 16 - 1, 0)) * pow(2, greatest(b1 // 16 - 1, 0)))::BIGINT AS b1,
+                    ((b5 - 16 * greatest(b5 // 16 - 1, 0)) * pow(2, greatest(b5 // 16 - 1, 0)))::BIGINT AS b5,
+                    ((b9 - 16 * greatest(b9 // 16 - 1, 0)) * pow(2, greatest(b9 // 16 - 1, 0)))::BIGINT AS b9) FROM q),
+lq AS (
+  SELECT l.lang, l.ratio, (l.total * l.b1 + 200 * a.b1) // (l.total + 200) AS d, (l.total * l.b5 + 200 * a.b5) // (l.total + 200) AS m,
+         (l.total * l.b9 + 200 * a.b9) // (l.total + 200) AS u
+  FROM ql l JOIN ql a ON a.level = 'a' AND l.ratio = a.ratio WHERE l.level = 'l'),
+oq AS (
+  SELECT o.lang, o.source, o.ratio, lq.d AS ld, lq.m AS lm, lq.u AS lu, (o.total * o.b1 + 200 * lq.d) // (o.total + 200) AS d,
+         (o.total * o.b5 + 200 * lq.m) // (o.total + 200) AS m, (o.total * o.b9 + 200 * lq.u) // (o.total + 200) AS u,
+         CASE o.ratio WHEN 'symbols' THEN 60 WHEN 'length' THEN 100 WHEN 'dup_lines' THEN 300 ELSE 150 END AS room
+  FROM ql o JOIN lq ON o.lang IS NOT DISTINCT FROM lq.lang AND o.ratio = lq.ratio WHERE o.level = 'o'),
 p AS (
-  SELECT o.lang, o.source, o.ratio,
-         CASE WHEN o.total >= 200 THEN o.b1 WHEN l.total >= 200 THEN l.b1 ELSE a.b1 END AS decile,
-         CASE WHEN o.total >= 200 THEN o.b5 WHEN l.total >= 200 THEN l.b5 ELSE a.b5 END AS median
-  FROM ql o JOIN ql l ON l.level = 'l' AND o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio
-  JOIN ql a ON a.level = 'a' AND o.ratio = a.ratio WHERE o.level = 'o'),
+  SELECT lang, source, ratio, m + 2 * least(u - m, 2 * (lu - lm) + room // 2) + room AS high,
+         CASE WHEN ratio = 'length' THEN m - 2 * least(m - d, 2 * (lm - ld) + room // 2) - room END AS low
+  FROM oq),
 verdict AS (
-  SELECT v.rid, bool_and(v.v <= median + 4 * (median - decile) + CASE p.ratio WHEN 'symbols' THEN 100 WHEN 'length' THEN 200 WHEN 'dup_lines' THEN 350 ELSE 200 END
-                  AND (p.ratio <> 'length' OR v.v >= median - 4 * (median - decile) - 200)) AS inside
+  SELECT v.rid, bool_and(v.v <= high AND (low IS NULL OR v.v >= low)) AS inside
   FROM v JOIN p ON v.ratio = p.ratio AND v.lang IS NOT DISTINCT FROM p.lang AND v.source IS NOT DISTINCT FROM p.source GROUP BY v.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(inside, false) AS kept
 FROM b LEFT JOIN verdict USING (rid)"""

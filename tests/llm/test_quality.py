@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lapse.llm import quality as q
 from lapse.llm.queries import QUERIES, SQL
+from lapse.sources.store import materialize
 
 from .conftest import DOCS, SF001, WORD, prose
 
@@ -99,3 +100,43 @@ def test_clashing_columns_and_empty_table(spark):
 def test_no_python_in_the_plan(spark, documents):
     plan = q.judged(documents[0])._jdf.queryExecution().toString() + q.features(documents[0])._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_fences_are_the_groups_own(spark):
+    """Most groups have fences that no other group has, and repeats are cut below the base limit."""
+    docs = spark.read.parquet(f"{SF001.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    rows = q.fences(q.sketches(materialize(q.features(docs), "test-features"), "lang", "source")).collect()
+    seen = [tuple(v for k, v in r.asDict().items() if k not in ("lang", "source")) for r in rows]
+    assert len({s for s in seen if seen.count(s) == 1}) > len(rows) / 2
+    assert all(r.repeats_high < 200 for r in rows)
+
+
+def test_every_rule_rejects(spark):
+    """One row beyond each fence and within the base rules, in a group that is large enough to have its own."""
+    rows = [(i, "\n".join(" ".join(prose(12, 20 * i + k)) for k in range(5)), "en", "a", 1) for i in range(60)]
+    lines = rows[0][1].split("\n")
+    words = " ".join(prose(100, 9000)).split()
+    odd = [
+        (900, " ".join(w + ("#" if k % 10 == 0 else "") for k, w in enumerate(words)), "en", "a", 1),
+        (901, " ".join(w + "long" for w in words), "en", "a", 1),
+        (902, " ".join(chr(0x4E00 + k) for k in range(100)), "en", "a", 1),
+        (903, "\n".join([*lines, "one", "one", "one", "one", "one"]), "en", "a", 1),
+        (904, " ".join(words[:91] + words[:9]), "en", "a", 1),
+    ]
+    out = {r.doc_id: r for r in q.judged(spark.createDataFrame(rows + odd, DOCS), carry=["doc_id"], min_rows=20).collect()}
+    assert sorted(k for k, r in out.items() if not r.kept) == [900, 901, 902, 903, 904]
+    assert not any(r.base_failed for r in out.values())
+
+
+def test_junk_does_not_widen_its_own_fence(spark):
+    """A fifth of one group is junk: the fence follows the language, not the junk."""
+    rows = [(i, " ".join(prose(60, i)), "en", f"s{i % 4}", 1) for i in range(200)]
+    rows += [(1000 + i, " ".join(w + "##" for w in prose(60, 3000 + i)), "en", "s0", 1) for i in range(12)]
+    out = q.judged(spark.createDataFrame(rows, DOCS), carry=["doc_id"], min_rows=20).collect()
+    assert sorted(r.doc_id for r in out if not r.kept) == list(range(1000, 1012))
+
+
+def test_any_column_name_is_carried(spark):
+    df = corpus(spark).withColumn("a.b", F.lit(1)).withColumn("_quality_kept", F.lit("x")).withColumn("_QUALITY_n_words", F.lit(3))
+    out = q.keep_good(df, min_rows=30)
+    assert out.columns == df.columns and out.count() == 80
