@@ -1,24 +1,25 @@
 """Operator 2: benchmark decontamination by SimHash windows and exact verification.
 
-An item of n words is looked for with windows of its size class: the largest class w for which
-``w + stride - 1`` words fit into four fifths of the item.  Every run of w words of the item is
-fingerprinted (64-bit SimHash of its 5-word shingles); in a document the windows that start at
-multiples of the class's stride are, so any run of ``w + stride - 1`` shared words holds an equal
+Words changed, put in or taken out break an item that is still at the similarity into few runs: each
+place costs four shingles or more, so at least one run of ``shared_run`` words stays as it was.  An
+item is looked for with windows of the largest size class w for which ``w + stride - 1`` words fit
+into that run.  Every run of w words of the item is fingerprinted (64-bit SimHash of its 5-word shingles);
+in a document the windows that start at multiples of the class's stride are, so the run holds an equal
 window on either side.  Fingerprints are cut into ``RADIUS + 1`` blocks: two within the radius
-agree on one block at least, so the block tables find all of them.
+agree on one block at least, so the block tables find all of them.  (Windows of an item's own length
+would need a radius of 15 of 64 bits at a similarity of 0.8, in blocks of four bits, which select nothing.)
 
-Copies with words changed here and there have no unchanged run of that length, so an exact path
-stands beside the fingerprints: a window that reaches the similarity lacks at most
-``n_shingles - least shared`` of the item's shingles, so it holds one of any larger choice of them.
-Each item is looked up by such a choice, its rarest shingles in the benchmark.  Every item-sized
-window over a hit of either path is then verified on the exact shingles, weighted by their counts
-(``sum of smaller counts / sum of larger counts``); the best one, the first of equals, is reported.
+An exact path stands beside the fingerprints, for words in another order: a window that reaches the
+similarity lacks at most ``n_shingles - least shared`` of the item's shingles, so it holds one of any larger
+choice of them.  Each item is looked up by such a choice, its rarest shingles in the benchmark.  Every
+item-sized window over a hit of either path is then verified on the exact shingles, weighted by their counts
+(``sum of smaller counts / sum of larger counts``); the best one, the first of equals, is reported.  Items
+of fewer than ``MIN_WORDS`` words are found as the very sequence of their words.
 
 The benchmark is taken in chunks of at most ``CHUNK_WORDS`` words; each chunk's tables travel to the
 tasks and every chunk sees every document, whole.  Documents are neither shuffled nor collected.
 
-Defined cases: null and empty texts or items match nothing; items of fewer than ``MIN_WORDS`` words
-are too short to be evidence and are not looked for; letters are lower-cased; an empty benchmark
+Defined cases: null and empty texts or items match nothing, so do items without words; letters are lower-cased; an empty benchmark
 leaves every document; equal items are all reported; further columns are carried through.
 """
 
@@ -36,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapse.llm.words import mix64, ranges, slices, split_words
+from lapse.llm.names import quoted
+from lapse.llm.words import Words, mix64, ranges, slices, split_words
 
 SHINGLE = 5
 PERCENT = 80
@@ -48,27 +50,45 @@ HEAD_BITS = 20
 BATCH_BYTES = 1 << 20
 
 
-def size_class(n: int) -> tuple[int, int]:
-    """(window, stride) of an item of n words: classes 6, 8, 12, 16, 24, 32, 48, ..."""
-    best, w = (6, 1), 6
-    while w + w // 4 - 1 <= max(6, 4 * n // 5):
+def shared_run(n: int, percent: int = PERCENT) -> int:
+    """Words of an item of n that the longest run left alone has in any window at the similarity: a window of
+    k shingles lacks at most ``k - least shared`` of them, four or more at each place."""
+    m = n - SHINGLE + 1
+    runs = []
+    for k in range(max(1, -(-percent * m // 100)), m + 1):
+        shared = least_shared(m, k, percent)
+        runs.append(-(-shared // ((k - shared) // (SHINGLE - 1) + 1)))
+    return min(runs) + SHINGLE - 1
+
+
+def size_class(n: int, percent: int = PERCENT) -> tuple[int, int]:
+    """(window, stride) of an item of n words: classes 6, 8, 12, 16, 24, ... up to 128."""
+    best, w, run = (6, 1), 6, shared_run(n, percent)
+    while w <= 128 and w + w // 4 - 1 <= max(6, run):
         best = (w, max(1, w // 4))
         w = w * 4 // 3 if w.bit_count() == 2 else w * 3 // 2
     return best
 
 
-def fingerprints(shingles: np.ndarray, starts: np.ndarray, window: int, sums: np.ndarray) -> np.ndarray:
-    """SimHash of the window's shingles at each start, from running bit counts."""
-    m = window - SHINGLE + 1
-    ones = sums[starts + m] - sums[starts]
-    return np.packbits(2 * ones.astype(np.int32) > m, axis=1).view(np.uint64)[:, 0]
-
-
-def bit_sums(shingles: np.ndarray) -> np.ndarray:
-    """Running counts (modulo 2^16) of each of the 64 bits."""
-    bits = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1)
-    out = np.zeros((len(shingles) + 1, 64), np.uint16)
-    np.cumsum(bits, axis=0, dtype=np.uint16, out=out[1:])
+def fingerprints(sums: list[np.ndarray], starts: np.ndarray, window: int) -> np.ndarray:
+    """SimHash of the window's shingles at each start: counts of its power-of-two parts, added."""
+    m, at = window - SHINGLE + 1, starts
+    ones = np.zeros((len(starts), 64), np.uint8)
+    for k, part in enumerate(sums):
+        if m >> k & 1:
+            ones += part[at]
+            at = at + (1 << k)
+    return np.packbits(ones > m // 2, axis=1).view(np.uint64)[:, 0]
+
+
+def bit_sums(shingles: np.ndarray, window: int) -> list[np.ndarray]:
+    """Counts of each of the 64 bits over 1, 2, 4, ... shingles from each on, for windows of up to ``window``
+    words (at most 255 shingles)."""
+    out = [np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1)]
+    k = 1
+    while 2 * k <= window - SHINGLE + 1:
+        out.append(out[-1][:-k] + out[-1][k:])
+        k *= 2
     return out
 
 
@@ -97,7 +117,7 @@ class Class:
 class Index:
     """Items, the fingerprints of their classes, and their shingles: ``keys`` are the sorted (item,
     shingle) keys with their counts in ``want``, ``seeds`` the sorted shingles that items are looked up
-    by, ``seed_item`` their items."""
+    by, ``seed_item`` their items; ``short`` has (words, sorted sequence hashes, their items) of the short items."""
 
     ids: list[int]
     size: np.ndarray
@@ -107,6 +127,7 @@ class Index:
     seeds: np.ndarray
     seed_item: np.ndarray
     seed_head: np.ndarray
+    short: list[tuple[int, np.ndarray, np.ndarray]]
 
 
 def item_key(item: np.ndarray, shingle: np.ndarray) -> np.ndarray:
@@ -125,6 +146,8 @@ def least_shared(a, b, percent: int):
 def lookup(item: np.ndarray, shingle: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(shingle, item) sorted by shingle: of each item its rarest shingles, as many as no window that
     reaches the similarity can lack."""
+    if not len(item):
+        return shingle, item
     values, at, often = np.unique(shingle, return_inverse=True, return_counts=True)
     order = np.lexsort((shingle, often[at], item))
     item, shingle = item[order], shingle[order]
@@ -138,16 +161,22 @@ def lookup(item: np.ndarray, shingle: np.ndarray, percent: int) -> tuple[np.ndar
 
 
 def build_index(items: list[tuple[int, str]], percent: int = PERCENT) -> Index:
-    ids, sizes, grams, found = [], [], [], {}
+    ids, sizes, grams, found, brief = [], [], [], {}, {}
     for item_id, text in items:
         w = split_words(pc.utf8_lower(pa.array([text], pa.string())))
         n = len(w.start)
+        if not n:
+            continue
         if n < MIN_WORDS:
+            brief.setdefault(n, []).append((w.windows(w.hashes(), n)[1][0], len(ids)))
+            ids.append(item_id)
+            sizes.append(n)
+            grams.append(np.zeros(0, np.uint64))
             continue
         shingles = all_shingles(w.hashes(), w)
-        window, stride = size_class(n)
+        window, stride = size_class(n, percent)
         starts = np.arange(n - window + 1)
-        prints = fingerprints(shingles, starts, window, bit_sums(shingles))
+        prints = fingerprints(bit_sums(shingles, window), starts, window)
         found.setdefault((window, stride), []).append((prints, np.full(len(starts), len(ids)), starts))
         ids.append(item_id)
         sizes.append(n)
@@ -167,7 +196,11 @@ def build_index(items: list[tuple[int, str]], percent: int = PERCENT) -> Index:
     seeds, seed_item = lookup(item, shingle, percent)
     seed_head = np.zeros(1 << HEAD_BITS, bool)
     seed_head[head(seeds)] = True
-    return Index(ids, np.array(sizes, np.int64), classes, keys, want, seeds, seed_item, seed_head)
+    short = []
+    for n, some in sorted(brief.items()):
+        some.sort()
+        short.append((n, np.array([h for h, _ in some], np.uint64), np.array([i for _, i in some], np.int64)))
+    return Index(ids, np.array(sizes, np.int64), classes, keys, want, seeds, seed_item, seed_head, short)
 
 
 def near_prints(c: Class, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,6 +231,18 @@ def seed_hits(shingles: np.ndarray, real: np.ndarray, index: Index) -> tuple[np.
     return np.repeat(at, hi - lo), index.seed_item[ranges(lo, hi - lo)]
 
 
+def short_hits(hashes: np.ndarray, w: Words, index: Index) -> list[tuple[int, int, int, float]]:
+    """(row, item number, first word, 1.0): the first place of each short item in each text."""
+    out = []
+    for n, sequences, items in index.short:
+        at, h = w.windows(hashes, n)
+        lo, hi = (np.searchsorted(sequences, h, side) for side in ("left", "right"))
+        row, item, at = np.repeat(w.doc[at], hi - lo), items[ranges(lo, hi - lo)], np.repeat(at, hi - lo)
+        _, lead = np.unique(row * len(index.ids) + item, return_index=True)
+        out += [(r, i, p, 1.0) for r, i, p in zip(row[lead].tolist(), item[lead].tolist(), (at - w.first[row])[lead].tolist())]
+    return out
+
+
 def best_window(keys: np.ndarray, want: np.ndarray, k: int, m: int, percent: int) -> tuple[int, int]:
     """(shared shingles, start) of the best window of k shingles over the item's key at each position
     (-1: not the item's), the first of equals; (0, 0) if none reaches the similarity with its m."""
@@ -234,22 +279,26 @@ def find(texts: pa.Array, index: Index, percent: int = PERCENT) -> list[tuple[in
     w = split_words(pc.utf8_lower(texts))
     if not len(w.start):
         return []
-    shingles = all_shingles(w.hashes(), w)
-    sums = bit_sums(shingles)
+    hashes = w.hashes()
+    exact = short_hits(hashes, w, index)
+    if not len(index.keys):
+        return exact
+    shingles = all_shingles(hashes, w)
+    sums = bit_sums(shingles, max(c.window for c in index.classes))
     doc, first = w.doc, w.first
     place = np.arange(len(doc)) - first[doc]
     left = first[doc + 1] - np.arange(len(doc))
     at, item = seed_hits(shingles, left >= SHINGLE, index)
     hits = [(at, item)]
     for c in index.classes:
-        starts = np.flatnonzero((place % c.stride == 0) & (left >= c.window))
+        starts = np.flatnonzero((place & (c.stride - 1) == 0 if c.stride.bit_count() == 1 else place % c.stride == 0) & (left >= c.window))
         if not len(starts):
             continue
-        window, other = near_prints(c, fingerprints(shingles, starts, c.window, sums))
+        window, other = near_prints(c, fingerprints(sums, starts, c.window))
         hits.append((starts[window], c.item[other]))
     at, item = (np.concatenate(x) for x in zip(*hits))
     if not len(at):
-        return []
+        return exact
     at, item = np.unique(np.stack([at, item]), axis=1)
     # the windows over the hits, as stretches of shingles; overlapping ones of a document and item are one
     order = np.lexsort((at, item, doc[at]))
@@ -258,7 +307,7 @@ def find(texts: pa.Array, index: Index, percent: int = PERCENT) -> list[tuple[in
     grams = first[row + 1] - first[row] - SHINGLE + 1
     ok = 100 * np.minimum(grams, m) >= percent * m
     if not ok.any():
-        return []
+        return exact
     at, item, row, m, grams = at[ok], item[ok], row[ok], m[ok], grams[ok]
     lo, hi = np.maximum(at - m + 1, first[row]), np.minimum(at + m, first[row] + grams)
     new = np.ones(len(at), bool)
@@ -279,12 +328,12 @@ def find(texts: pa.Array, index: Index, percent: int = PERCENT) -> list[tuple[in
         value = shared / (size + k - shared)
         if shared and value > best.get((r, i), (0.0, 0))[0]:
             best[r, i] = (value, int(a - first[r]) + start)
-    return [(r, i, s, v) for (r, i), (v, s) in best.items()]
+    return exact + [(r, i, s, v) for (r, i), (v, s) in best.items()]
 
 
 def indexes(benchmark: DataFrame, id_col: str, text_col: str, chunk_words: int, percent: int = PERCENT) -> Iterator[Index]:
     """The benchmark's index, in chunks of about ``chunk_words`` words."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).filter("t is not null")
+    items = benchmark.select(quoted(id_col).cast("long").alias("i"), quoted(text_col).cast("string").alias("t")).filter("t is not null")
     total = items.agg(F.sum(F.length("t") - F.length(F.translate("t", " \t\n\x0b\x0c\r", "")) + 1)).first()[0] or 0
     n = max(1, math.ceil(total / chunk_words))
     for k in range(n):
@@ -298,7 +347,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_text: str = "text", percent: int = PERCENT, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """(doc_id, item_id, first_word, similarity): one row per document row and item found in it."""
     schema = "doc_id long, item_id long, first_word long, similarity double"
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     out = None
     for index in indexes(benchmark, item_id, item_text, chunk_words, percent):
 
@@ -329,8 +378,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
                 clean[[g[0] for g in find(b.column("text"), index, percent)]] = False
                 yield b.select(["row"]).filter(pa.array(clean))
 
-        row = F.struct(*docs.columns).alias("row")
-        kept = out.select(row, F.col(text_col).cast("string").alias("text")).mapInArrow(
+        row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
+        kept = out.select(row, quoted(text_col).cast("string").alias("text")).mapInArrow(
             run, T.StructType([T.StructField("row", docs.schema)]))
         out = kept.select("row.*")
     return out

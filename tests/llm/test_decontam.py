@@ -20,7 +20,11 @@ def brute(docs, items, percent=80):
         have = set(grams(w))
         for item_id, item in items:
             b = low(item)
-            if len(b) < d.MIN_WORDS or not have & set(grams(b)):
+            if len(b) < d.MIN_WORDS:
+                if b and any(w[p : p + len(b)] == b for p in range(len(w) - len(b) + 1)):
+                    out[doc_id, item_id] = 1.0
+                continue
+            if not have & set(grams(b)):
                 continue
             want, best = grams(b), 0.0
             for p in range(max(1, len(w) - len(b) + 1)):
@@ -115,3 +119,41 @@ def test_words_changed_within_items():
     assert got == brute(docs, items)
     assert set((i, i) for i in range(60)) <= set(got)
     assert d.find(pa.array(["a b c", None]), index) == []
+
+
+def test_fingerprints_alone_find_edited_items():
+    """Recall of the SimHash path without the other one: copies at the similarity with words changed, put in or taken out."""
+    import random
+
+    rng, docs, items = random.Random(5), [], []
+    for n in (12, 20, 30, 50, 80, 120, 200):
+        for _ in range(30):
+            i = len(items)
+            item = prose(n, 20_000 + i, 3000)
+            copy = list(item)
+            for e in range(rng.randint(0, max(1, n // 45))):
+                at, how = rng.randrange(len(copy)), rng.randrange(3)
+                copy[at : at + (how != 1)] = [] if how == 2 else [f"new{i}_{e}"]
+            items.append((i, " ".join(item)))
+            docs.append((i, " ".join(prose(rng.randint(0, 90), 30_000 + i, 3000) + copy + prose(40, 40_000 + i, 3000))))
+    index = d.build_index(items)
+    want = {(r, i) for r, i, _, _ in d.find(pa.array([t for _, t in docs]), index)}
+    index.seed_head[:] = False
+    got = {(r, i) for r, i, _, _ in d.find(pa.array([t for _, t in docs]), index)}
+    assert len(want) > 150 and want == set(brute(docs, items)) and got <= want and len(got) >= 0.98 * len(want)
+
+
+def test_short_items_are_found_as_sequences():
+    items = [(1, "Five short words in all"), (2, "five short words in all"), (3, "seven words are one less than eight"), (4, "one two"), (5, " ")]
+    docs = [(0, "here FIVE short words\nin all and five short words in all"), (1, "five short words at all one"), (2, "two one two"),
+            (3, "x seven words are one less than eight y"), (4, "one"), (5, None), (6, "two five short words in")]
+    got = d.find(pa.array([t for _, t in docs], pa.string()), d.build_index(items))
+    assert {(r, [1, 2, 3, 4, 5][i]): v for r, i, _, v in got} == brute(docs, items)
+    assert sorted((r, i, s) for r, i, s, _ in got) == [(0, 0, 1), (0, 1, 1), (2, 3, 1), (3, 2, 1)]
+
+
+def test_any_column_name_is_carried(spark):
+    docs, bench = planted(spark)
+    other = docs.withColumnRenamed("lang", "a.b").withColumnRenamed("source", "c`d")
+    out = d.remove_contaminated(other, bench)
+    assert out.columns == other.columns and out.count() == 4
