@@ -121,17 +121,38 @@ class Bad(Exception):
     """A failed check."""
 
 
-def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
+class Marks:
+    """Next places of byte strings in an archive; what lies between a search and its finding is not searched again."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = data
+        self.known: dict[bytes, tuple[int, int]] = {}
+
+    def next(self, mark: bytes, at: int) -> int:
+        """First place of the mark at or after a position; the length of the data if there is none."""
+        since, place = self.known.get(mark, (0, -1))
+        if not since <= at <= place:
+            place = self.data.find(mark, at)
+            since, place = at, place if place >= 0 else len(self.data)
+            self.known[mark] = (since, place)
+        return place
+
+
+def parse_record(data: bytes, at: int, marks: Marks | None = None) -> tuple[dict[str, str], bytes, int]:
     """(headers, block, end) of the record at a position; raises Bad with the failed check."""
+    marks = marks or Marks(data)
     m = VERSION.match(data, at)
     if not m:
         raise Bad("version line")
-    stop = data.find(b"\r\n\r\n", m.end() - 2)
-    if stop < 0:
+    stop = marks.next(b"\r\n\r\n", m.end() - 2)
+    if stop == len(data):
         raise Bad("headers without end")
     head: dict[str, str] = {}
-    for raw in data[m.end() : stop].split(b"\r\n"):
-        key, colon, value = raw.partition(b":")
+    line = m.end()
+    while line <= stop:  # line by line: damaged headers fail long before their end
+        line_end = min(marks.next(b"\r\n", line), stop)
+        key, colon, value = data[line:line_end].partition(b":")
+        line = line_end + 2
         if not colon or not key.strip():
             raise Bad("header line")
         name = key.strip().decode("latin-1").lower()
@@ -158,21 +179,24 @@ def sha1_base32(data: bytes) -> str:
 
 
 def inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at a position."""
-    d = zlib.decompressobj(31)
+    """(content, end) of the gzip member at a position, read in growing pieces so that a member costs its own size."""
+    d, out, view, piece = zlib.decompressobj(31), [], memoryview(data), 1 << 10
     try:
-        out = d.decompress(data[at:])
+        while not d.eof and at < len(data):
+            out.append(d.decompress(view[at : at + piece]))
+            at = min(at + piece, len(data))
+            piece = min(2 * piece, 1 << 20)
     except zlib.error as e:
         raise Bad("gzip member") from e
     if not d.eof:
         raise Bad("gzip member without end")
-    return out, len(data) - len(d.unused_data)
+    return b"".join(out), at - len(d.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str], bytes]]:
     """("record", start, end, headers, block) and ("gap", start, end, {"check": ...}, b"") in order;
     together they cover every byte."""
-    at, lost, why = 0, -1, ""
+    at, lost, why, marks = 0, -1, "", Marks(data)
     while at < len(data):
         try:
             if data.startswith(MEMBER, at):
@@ -181,11 +205,11 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str], bytes]
                 if used != len(inner):
                     raise Bad("bytes after the record in its member")
             else:
-                head, block, end = parse_record(data, at)
+                head, block, end = parse_record(data, at, marks)
         except Bad as bad:
             if lost < 0:
                 lost, why = at, str(bad)
-            at = _next_start(data, at + 1)
+            at = min(marks.next(b"WARC/", at + 1), marks.next(MEMBER, at + 1))
             continue
         if lost >= 0:
             yield GAP, lost, at, {"check": why}, b""
@@ -196,13 +220,6 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str], bytes]
         yield GAP, lost, len(data), {"check": why}, b""
 
 
-def _next_start(data: bytes, at: int) -> int:
-    """The next version line or gzip member at or after a position."""
-    line, member = data.find(b"WARC/", at), data.find(MEMBER, at)
-    found = [x for x in (line, member) if x >= 0]
-    return min(found) if found else len(data)
-
-
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record or gap: (file, kind, start, end, type, id, refers_to, url, payload,
     payload_bytes, payload_digest, failed_check).  A revisit has its payload's size and digest from

@@ -129,3 +129,25 @@ def test_gaps_are_logged_by_the_reader(spark, tmp_path):
     n = len(recs[0])
     assert sorted((r.start, r.end, r.failed_check) for r in warc.gaps(read).collect()) == [
         (n, n + 4, "version line"), (n + 4 + len(recs[1]), n + 4 + len(recs[1]) + len(recs[2]) - 9, "length or closing blank lines")]
+
+
+def _plain(i: int, body: bytes) -> bytes:
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:{i}>\r\nContent-Length: {len(body)}\r\n\r\n"
+    return head.encode() + body + b"\r\n\r\n"
+
+
+def test_salvage_takes_linear_time():
+    """Many members, many damaged records and records without any blank line: seconds, not minutes."""
+    import gzip
+    import time
+
+    from lapse.llm import warc
+
+    whole = b"".join(gzip.compress(_plain(i, b"x" * 20), 1) for i in range(40_000))
+    damaged = b"".join(_plain(i, b"y" * 400).replace(b"Content-Length: 400", b"Content-Length: 401") for i in range(30_000))
+    for data, kinds in ((whole, {"record": 40_000}), (damaged, {"gap": 1}), (damaged.replace(b"\r\n\r\n", b"\r\n"), {"gap": 1})):
+        begin = time.process_time()
+        rows = [(kind, start, end) for kind, start, end, _, _ in warc.salvage(data)]
+        assert time.process_time() - begin < 5
+        assert {k: sum(r[0] == k for r in rows) for k in kinds} == kinds and len(rows) == sum(kinds.values())
+        assert [r[1] for r in rows] == [0, *(r[2] for r in rows[:-1])] and rows[-1][2] == len(data)
