@@ -4,19 +4,26 @@ A page is read once into blocks of text, each with its root-to-leaf path of tags
 container each stands in).  Per path the lengths of all its texts, their punctuation and the share
 inside links are added up.  Two ratios, text per node and punctuation per node, are smoothed over the
 page order of the blocks, fused by their product, and cut at a threshold relative to their spread:
-blocks of the paths above it are content nodes.  The container that holds most of the content
-text is the article; its other blocks (titles, short paragraphs, list items, whose own ratios are
-low) belong to it unless their path runs through an element that is never article text, by its
-tag or by a word of its class, id or role.  Where no ``article`` or ``main`` element bounds the
-article, runs of links before its first and after its last prose are lists beside it and left out;
-all other linked text, headlines and lists of references included, is the article's.  Words of class, id and role are
-evidence only: an element they reject by a part of a name (``has-sidebar``) keeps its text if most of
-the page's prose is in it, and where they would leave a page without prose they are not used.
+blocks of the paths above it are content nodes.  Their text and their scores choose the article:
+an ``article`` or ``main`` element that holds half of their text, else the element around the headline
+whose paths score above all content outside it, else the one that holds nearly all.  Its other blocks
+(titles, short paragraphs, list items, whose own ratios are low) belong to it unless their path runs
+through an element that is never article text, by its tag or by a word of its class, id or role.
+Where no ``article`` or ``main`` element bounds the article, runs of links before its first and after
+its last prose are lists beside it and left out; all other linked text, headlines and lists of
+references included, is the article's.  Words of class, id and role are evidence only: names are
+split at hyphens and capitals; an element they reject by a part of a name (``has-sidebar``) keeps its
+text if most of the page's prose is in it; a paragraph, headline or item is rejected only by a name
+that says notice or advert and nothing else; and where words would leave a page without prose they
+are not used.
 
 Defined cases: null and empty pages and pages without text give the empty text; unclosed and
 stray end tags are tolerated (paragraphs, list items, cells and options close each other);
-comments, scripts, styles and unfinished tags are markup; pages are independent rows, so ties and
-repeated rows do not matter; further columns are carried through.
+comments (closed by ``-->`` or ``--!>``, at once in ``<!-->``), scripts, styles, drawings and unfinished
+tags are markup, and so is a tag up to its first ``>`` if a quote in it stays open; text of formulas
+and of objects, films and canvases is text.  Time and memory grow in proportion to the page, however
+deep or unclosed its elements are.  Pages are independent rows, so ties and repeated rows do not
+matter; further columns are carried through.
 """
 
 from __future__ import annotations
@@ -33,18 +40,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.llm.names import quoted
 from lapse.llm.words import slices
 
 #: elements without content
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: elements whose content is no text
-RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg math canvas object audio video".split())
+RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg annotation annotation-xml".split())
 #: elements that never hold article text
 NEVER = frozenset("nav aside footer form button select option label input dialog menu fieldset datalist head".split())
 #: elements inside a line of text
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr".split())
+    "a abbr acronym audio b bdi bdo big br canvas cite code data del dfn em font i img ins kbd mark math object q rp rt ruby s samp small span "
+    "strike strong sub sup time tt u var video wbr".split())
+#: elements that are a text and not a container: a word of BOILER says how they look, only words of NOTICE reject them
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figure figcaption caption tr tbody".split()) | INLINE
+#: all words in the name of a text that is a notice or an advert
+NOTICE = frozenset(
+    "ad ads advert advertisement adsense banner promo sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal newsletter "
+    "subscribe box bar text label message msg".split())
 #: words of a class, id or role that say the same as NEVER
 BOILER = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|comments?|commentlist|replies|respond|disqus|cookies?|consent|gdpr|"
@@ -61,24 +75,35 @@ CLOSED_BY = {
 }
 #: a start tag does not close elements beyond these
 WALL = frozenset("table ul ol dl td th article section div body html blockquote button object".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|$)|[^<]+|<", re.S)
+#: the other way round: the open elements that a start tag closes
+CLOSES = {name: [t for t in CLOSED_BY if name in CLOSED_BY[t]] for name in frozenset().union(*CLOSED_BY.values())}
+#: a quote opens a value only after "=", and only if white space or the tag's end follows its closing quote
+TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|$))|<[!?][^>]*(?:>|$)|"
+    r"</?[a-zA-Z](?>=\s*(?:\"[^\"]*\"(?=[\s/>])|'[^']*'(?=[\s/>]))|[^>])*+(?:>|$)|[^<]+|<", re.S)
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(.*?)(/?)>?$", re.S)
 MARK = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S | re.I)
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.I) for name in RAW}
 SPACE = re.compile(r"\s+")
+LONG = 120  # a text of so many characters is prose without punctuation too
 PUNCT = re.compile(r"[.,;:!?…、。，！？]")
 
 
 @dataclass
 class Node:
     tag: str
-    path: str
+    path: int  # number of the tag path from the root
     never: bool
     number: int
     parent: "Node | None"
     depth: int
     #: what its class, id and role say: 0 nothing, 1 a word of BOILER as a part of a name, 2 a whole one
     marked: int = 0
+    inline: bool = False
+    home: bool = False  # an article or main element, or inside one
+    block: "Node | None" = None  # the nearest element around it, itself included, that is not inline
+    link: "Node | None" = None  # the nearest link
 
 
 @dataclass
@@ -91,19 +116,40 @@ class Block:
     text: str = ""
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks of text in page order."""
-    root = Node("", "", False, 0, None, 0)
+def mark(name: str, rest: str, up: Node) -> int:
+    """What class, id and role of a start tag say (``Node.marked``)."""
+    if name in ("html", "body", "main") or name == "article" and not up.home:
+        return 0
+    names = " ".join(CAMEL.sub("-", x) for g in MARK.findall(rest) for x in g[1:] if x).lower()
+    if name in TEXT:
+        parts = (re.split("[_-]+", x) for x in names.split())
+        return 2 if any(NOTICE.issuperset(x) and BOILER.search(" ".join(x)) for x in parts) else 0
+    if not BOILER.search(names):
+        return 0
+    return 2 if any(BOILER.fullmatch(x) for x in names.split()) else 1
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
+    """Blocks of text in page order, and all elements, each after its parent."""
+    root = Node("", 0, False, 0, None, 0)
+    root.block = root
     stack, nodes = [root], [root]
+    paths: dict[tuple[int, str], int] = {}
+    places: dict[str, list[int]] = defaultdict(list)  # where on the stack the open elements of a tag are
+    walls = [0]
     out: list[Block] = []
     open_block: Block | None = None
     pos = 0
 
     def close(n: int) -> None:
         nonlocal open_block
-        if any(x.tag not in INLINE for x in stack[n:]):
-            open_block = None
-        del stack[n:]
+        while len(stack) > n:
+            x = stack.pop()
+            places[x.tag].pop()
+            if x.tag in WALL:
+                walls.pop()
+            if not x.inline:
+                open_block = None
 
     while pos < len(page):
         m = TOKEN.match(page, pos)
@@ -112,13 +158,10 @@ def blocks_of(page: str) -> list[Block]:
             if open_block is None:
                 if not tok.strip():
                     continue
-                at = stack[-1]
-                while at.parent is not None and at.tag in INLINE:
-                    at = at.parent
-                open_block = Block(at)
+                open_block = Block(stack[-1].block)
                 out.append(open_block)
             open_block.parts.append(tok)
-            link = next((x for x in reversed(stack) if x.tag == "a"), None)
+            link = stack[-1].link
             if link is not None:
                 open_block.linked_parts.append(tok)
                 open_block.link_numbers.add(link.number)
@@ -127,14 +170,14 @@ def blocks_of(page: str) -> list[Block]:
         if tok.startswith(("<!", "<?")) or not t:
             continue
         end, name, rest, empty = t.group(1), t.group(2).lower(), t.group(3), t.group(4)
+        up = stack[-1]
+        formula = up.inline and bool(places["math"])
+        inline = name in INLINE or formula
         if end:
-            for n in range(len(stack) - 1, 0, -1):
-                if stack[n].tag == name:
-                    close(n)
-                    break
-            else:
-                if name not in INLINE:
-                    open_block = None
+            if places[name]:
+                close(places[name][-1])
+            elif not inline:
+                open_block = None
             continue
         if name in RAW:
             if not empty:
@@ -146,34 +189,39 @@ def blocks_of(page: str) -> list[Block]:
             if open_block is not None:
                 open_block.parts.append(" ")
             continue
-        for n in range(len(stack) - 1, 0, -1):
-            if name in CLOSED_BY.get(stack[n].tag, ()):
-                close(n)
-                break
-            if stack[n].tag in WALL:
-                break
-        if name not in INLINE:
+        nearest = max((places[x][-1] for x in CLOSES.get(name, ()) if places[x]), default=0)
+        if nearest and nearest >= walls[-1]:
+            close(nearest)
+            up = stack[-1]
+        if not inline:
             open_block = None
-        if name in VOID or empty and name not in INLINE:
+        if name in VOID or empty and (formula or not inline):
             continue
-        up = stack[-1]
-        marks = " ".join(x for g in MARK.findall(rest) for x in g[1:] if x).lower() if "=" in rest else ""
-        never = up.never or name in NEVER
-        marked = 0
-        if marks and name not in ("html", "body", "main", "article") and BOILER.search(marks):
-            marked = 2 if any(BOILER.fullmatch(x) for x in marks.split()) else 1
-        if name == "header" and not any(x.tag in ("article", "main") for x in stack):
-            never = True
         if name == "a" and open_block is not None:
             open_block.linked_parts.append(" ")
-        stack.append(Node(name, f"{up.path}/{name}", never, len(nodes), up, up.depth + 1, marked))
-        nodes.append(stack[-1])
+        x = Node(name, paths.setdefault((up.path, name), len(paths) + 1), up.never or name in NEVER or name == "header" and not up.home,
+                 len(nodes), up, up.depth + 1, mark(name, rest, up) if "=" in rest else 0, inline, up.home or name in ("article", "main"))
+        x.block = up.block if inline else x
+        x.link = x if name == "a" else up.link
+        places[name].append(len(stack))
+        if name in WALL:
+            walls.append(len(stack))
+        stack.append(x)
+        nodes.append(x)
     for b in out:
         b.text = decoded(b.parts)
         if b.linked_parts:
             b.linked = min(len(decoded(b.linked_parts)), len(b.text))
     out = [b for b in out if b.text]
     reject(out, nodes)
+    return out, nodes
+
+
+def totals(nodes: list[Node], own: dict[int, int]) -> list[int]:
+    """Per element the sum of ``own`` over it and all elements inside it."""
+    out = [own.get(x.number, 0) for x in nodes]
+    for x in reversed(nodes[1:]):
+        out[x.parent.number] += out[x.number]
     return out
 
 
@@ -184,27 +232,33 @@ def decoded(parts: list[str]) -> str:
 def reject(blocks: list[Block], nodes: list[Node]) -> None:
     """Settle which elements their class, id and role reject, with all inside them."""
     if any(x.marked for x in nodes):
-        above: list[list[Node]] = []
-        prose = [0 if b.node.never or 2 * b.linked > len(b.text) or not PUNCT.search(b.text) else len(b.text) for b in blocks]
-        inside: dict[int, int] = defaultdict(int)
-        for b, n in zip(blocks, prose):
-            above.append([])
-            at: Node | None = b.node if n else None
-            while at is not None:
-                if at.marked:
-                    above[-1].append(at)
-                    inside[at.number] += n
-                at = at.parent
+        own: dict[int, int] = defaultdict(int)
+        for b in blocks:
+            if not b.node.never and 2 * b.linked <= len(b.text) and (len(b.text) >= LONG or PUNCT.search(b.text)):
+                own[b.node.number] += len(b.text)
+        inside = totals(nodes, own)
+        # the nearest element with a mark, itself included, and the prose that stands directly under each
+        near: list[int] = []
+        direct: dict[int, int] = defaultdict(int)
+        for x in nodes:
+            near.append(x.number if x.marked else near[x.parent.number] if x.parent else -1)
+            direct[near[-1]] += own.get(x.number, 0)
+        beside, free = direct[-1], {-1}
         # wrappers first: an element holds no more than those around it
-        for x in sorted((x for x in nodes if x.marked == 1 and 2 * inside[x.number] >= sum(prose)), key=lambda x: (-inside[x.number], x.number)):
-            beside = sum(n for n, up in zip(prose, above) if not any(y.marked for y in up))
+        for x in sorted((x for x in nodes if x.marked == 1 and 2 * inside[x.number] >= inside[0]), key=lambda x: (-inside[x.number], x.number)):
             if inside[x.number] and inside[x.number] >= 4 * beside:
                 x.marked = 0
+                if near[x.parent.number] in free:
+                    free.add(x.number)
+                    beside += direct[x.number]
         for kind in (1, 2):
-            if any(n and not any(y.marked for y in up) for n, up in zip(prose, above)):
+            if beside or not inside[0]:
                 break
-            for x in nodes:
+            clear = [True]
+            for x in nodes[1:]:
                 x.marked = 0 if x.marked == kind else x.marked
+                clear.append(clear[x.parent.number] and not x.marked)
+                beside += own.get(x.number, 0) if clear[-1] else 0
     for x in nodes[1:]:
         x.never = x.never or x.marked > 0 or x.parent.never
 
@@ -219,13 +273,13 @@ def smooth(x: list[float]) -> list[float]:
     return out
 
 
-def content_nodes(blocks: list[Block]) -> list[bool]:
-    """Whether each block's path is above the threshold of the fused ratios."""
-    length: dict[str, int] = defaultdict(int)
-    marks: dict[str, int] = defaultdict(int)
-    linked: dict[str, int] = defaultdict(int)
-    nodes: dict[str, int] = defaultdict(int)
-    key = lambda b: ("~" if b.node.never else "") + b.node.path
+def content_nodes(blocks: list[Block]) -> tuple[list[bool], list[float]]:
+    """Whether each block's path is above the threshold of the fused ratios, and the path's score."""
+    length: dict[tuple, int] = defaultdict(int)
+    marks: dict[tuple, int] = defaultdict(int)
+    linked: dict[tuple, int] = defaultdict(int)
+    nodes: dict[tuple, int] = defaultdict(int)
+    key = lambda b: (b.node.never, b.node.path)
     for b in blocks:
         k = key(b)
         length[k] += len(b.text)
@@ -237,59 +291,81 @@ def content_nodes(blocks: list[Block]) -> list[bool]:
     fused = [math.sqrt(t * (p + 0.1)) for t, p in zip(text, punct)]
     mean = sum(fused) / len(fused)
     spread = math.sqrt(sum((x - mean) ** 2 for x in fused) / len(fused))
-    top: dict[str, list[float]] = defaultdict(list)
+    top: dict[tuple, list[float]] = defaultdict(list)
     for b, x in zip(blocks, fused):
         top[key(b)].append(x)
     score = {k: sum(v) / len(v) for k, v in top.items()}
     cut = min(max(mean - 0.8 * spread, 0.0), max(score.values(), default=0.0))
-    return [score[key(b)] >= cut and not b.node.never for b in blocks]
+    return [score[key(b)] >= cut and not b.node.never for b in blocks], [score[key(b)] for b in blocks]
 
 
-def article(blocks: list[Block], chosen: list[bool]) -> Node | None:
-    """The deepest element that holds nearly all text of the content nodes; an ``article`` or ``main``
-    element that does is preferred."""
-    inside: dict[int, int] = defaultdict(int)
-    by: dict[int, Node] = {}
-    total = 0
+def article(blocks: list[Block], chosen: list[bool], scores: list[float], nodes: list[Node]) -> Node | None:
+    """The element that is the article: the deepest ``article`` or ``main`` that holds half of the text of the content
+    nodes; else the deepest one around the headline that ``headed`` finds, or that holds nearly all of that text."""
+    own: dict[int, int] = defaultdict(int)
     for b, c in zip(blocks, chosen):
-        if not c:
-            continue
-        total += len(b.text)
-        at: Node | None = b.node
-        while at is not None:
-            inside[at.number] += len(b.text)
-            by[at.number] = at
-            at = at.parent
-    if not total:
+        if c:
+            own[b.node.number] += len(b.text)
+    inside = totals(nodes, own)
+    if not inside[0]:
+        return None
+    named = [x for x in nodes if x.tag in ("article", "main") and 2 * inside[x.number] >= inside[0]]
+    if named:
+        return max(named, key=lambda x: x.depth)
+    most = max((x for x in nodes if 10 * inside[x.number] >= 9 * inside[0]), key=lambda x: x.depth)
+    return max(most, headed(blocks, chosen, scores, nodes) or most, key=lambda x: x.depth)
+
+
+def headed(blocks: list[Block], chosen: list[bool], scores: list[float], nodes: list[Node]) -> Node | None:
+    """The deepest element around the first headline that holds half of the content text, all whose other content
+    lies on paths that score less than its own do on average."""
+    at = next((b.node for b in blocks if b.node.tag == "h1" and not b.node.never), None)
+    chain: list[Node] = []
+    while at is not None:
+        chain.append(at)
+        at = at.parent
+    if not chain:
         return None
-    for n in sorted(by, key=lambda n: -by[n].depth):
-        if by[n].tag in ("article", "main") and 2 * inside[n] >= total:
-            return by[n]
-    return max((by[n] for n in by if 10 * inside[n] >= 9 * total), key=lambda x: x.depth)
+    # where each element meets the chain: the deepest link of the chain that holds it
+    place = {x.number: k for k, x in enumerate(chain)}
+    met: list[int] = []
+    for x in nodes:
+        met.append(place[x.number] if x.number in place else met[x.parent.number])
+    text, weighted, best = [0.0] * len(chain), [0.0] * len(chain), [0.0] * len(chain)
+    for b, c, score in zip(blocks, chosen, scores):
+        if c:
+            k = met[b.node.number]
+            text[k] += len(b.text)
+            weighted[k] += len(b.text) * score
+            best[k] = max(best[k], score)
+    for k in range(len(chain) - 2, -1, -1):
+        best[k] = max(best[k], best[k + 1])
+    total, held, mass = sum(text), 0.0, 0.0
+    for k, x in enumerate(chain):
+        held, mass = held + text[k], mass + weighted[k]
+        if held and 2 * held >= total and (k + 1 == len(chain) or best[k + 1] * held < mass):
+            return x
+    return None
 
 
 def extract(page: str | None) -> str:
     """Main text of a page: blocks joined by newlines."""
-    blocks = blocks_of(page) if page else []
+    blocks, nodes = blocks_of(page) if page else ([], [])
     if not blocks:
         return ""
-    chosen = content_nodes(blocks)
-    home = article(blocks, chosen)
+    chosen, scores = content_nodes(blocks)
+    home = article(blocks, chosen, scores, nodes)
     if home is None:
         return ""
     # a container that is itself a block (one long paragraph, say) stands for its parent's blocks
     if home.tag not in ("article", "main", "body", "div", "section", "td") and home.parent is not None:
         home = home.parent
-    mine, content = [], []
-    for b, c in zip(blocks, chosen):
-        at: Node | None = b.node
-        while at is not None and at is not home:
-            at = at.parent
-        if at is home and not b.node.never:
-            mine.append(b)
-            content.append(c)
-    beside = set() if home.tag in ("article", "main") else link_lists(mine, content, home)
-    return "\n".join(b.text for n, b in enumerate(mine) if n not in beside)
+    within: list[bool] = []
+    for x in nodes:
+        within.append(x is home or x.parent is not None and within[x.parent.number])
+    mine = [(b, c) for b, c in zip(blocks, chosen) if within[b.node.number] and not b.node.never]
+    beside = set() if home.tag in ("article", "main") else link_lists([b for b, _ in mine], [c for _, c in mine], home)
+    return "\n".join(b.text for n, (b, _) in enumerate(mine) if n not in beside)
 
 
 def link_lists(blocks: list[Block], content: list[bool], home: Node) -> set[int]:
@@ -330,6 +406,6 @@ def main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
     row_type = T.StructType([T.StructField("_", T.IntegerType()), *rest])
-    src = pages.select(F.struct(F.lit(0).alias("_"), *[f.name for f in rest]).alias("row"), F.col(html_col).cast("string").alias("html"))
+    src = pages.select(F.struct(F.lit(0).alias("_"), *[quoted(f.name) for f in rest]).alias("row"), quoted(html_col).cast("string").alias("html"))
     out = src.mapInArrow(run, T.StructType([T.StructField("row", row_type), T.StructField("text", T.StringType())]))
     return out.select(*[F.col("row")[f.name].alias(f.name) for f in rest], F.col("text").alias(out_col))
