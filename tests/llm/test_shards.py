@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lapse.llm import shards
 from lapse.llm.queries import QUERIES
@@ -90,3 +91,32 @@ def test_shuffle_is_uniform_over_shards_and_slots(spark):
     assert abs(np.corrcoef(deal[:, 0], deal[:, 2])[0, 1]) < 0.06
     by_part = Counter((int(i) // 1000, int(s)) for i, s, _ in deal)
     assert all(190 <= by_part[p, s] <= 310 for p in range(4) for s in range(4))
+
+
+@pytest.mark.parametrize("n, of", [(0, 3), (1, 1), (7, 3), (3, 7), (1000, 40), (40, 1000), (5000, 10_000), (100_000, 10_000)])
+def test_cells_say_the_same_as_whole_rows_of_the_matrix(n, of):
+    rng = np.random.default_rng(n + of)
+    counts = np.bincount(rng.integers(0, of, n) ** 2 // of, minlength=of)
+    got = shards.cells(3, counts.tolist())
+    assert len(got) == shards.stretches(n, of)
+    if n:
+        places = np.arange(n)
+        at = places * len(got) // n
+        found = [got["shards"][k][sum(e <= p for e in got["ends"][k])] for p, k in zip(places, at)]
+        assert found == np.repeat(np.arange(of), counts).tolist()
+        assert max(map(len, got["ends"])) <= -(-n // len(got))
+
+
+def test_ten_thousand_shards_in_narrow_rows(spark):
+    df = spark.range(0, 30_000, numPartitions=4)
+    check(shards.shuffle_into_shards(df, 10_000).collect(), 30_000, 10_000)
+    parts = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    widest = shards.communication_matrix(parts, 10_000, 7).agg(F.max(F.size("ends")).alias("n")).first().n
+    assert widest <= 8
+
+
+def test_dotted_names(spark):
+    df = spark.range(5).selectExpr("id", "id as `a.b`")
+    out = shards.shuffle_into_shards(df, 2)
+    assert out.columns == ["id", "a.b", "shard", "slot"]
+    check(out.collect(), 5, 2)
