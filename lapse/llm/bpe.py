@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.llm.names import quoted
 from lapse.llm.words import ranges, slices
 
 WIDE = 64
@@ -345,6 +346,6 @@ def encode_checked(docs: DataFrame, text_col: str = "text", vocabulary: tuple[st
     row = T.StructType([T.StructField("_", T.IntegerType()), *rest])
     schema = T.StructType([T.StructField("row", row), T.StructField("ids", T.ArrayType(T.IntegerType())),
                            T.StructField("n_tokens", T.LongType()), T.StructField("decoded_sha256", T.StringType())])
-    src = docs.select(F.struct(F.lit(0).alias("_"), *[f.name for f in rest]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(F.struct(F.lit(0).alias("_"), *[quoted(f.name) for f in rest]).alias("row"), quoted(text_col).cast("string").alias("text"))
     out = src.mapInArrow(run, schema)
     return out.select(*[F.col("row")[f.name].alias(f.name) for f in rest], "ids", "n_tokens", "decoded_sha256")

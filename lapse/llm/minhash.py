@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.llm.components import connected_components
+from lapse.llm.names import quoted
 from lapse.llm.words import mix64, ranges, shingle_sets, slices
 from lapse.sources.store import materialize
 
@@ -104,7 +105,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 names=["doc_id", "n_shingles", "s1", "s2", "keys"],
             )
 
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    src = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>")
 
 
@@ -281,7 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one row per class and bucket; a null rep (no id in the class) has nothing to link by id
     one = some.join(classes.filter("rep is not null"), ["s1", "s2"]).filter("doc_id = rep")
     member = one.select("rep", "n_shingles", F.explode("keys").alias("key"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     pairs = materialize(candidates(member, percent), "minhash-candidates")
     # rows of one id whose texts are in several classes join these classes
     multi = (
@@ -314,9 +315,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     # of ids in several classes the one kept row is that of the smallest text
     gone, key = "_minhash_gone_" + uuid.uuid4().hex[:8], "_minhash_id_" + uuid.uuid4().hex[:8]
     lost = found.filter("doc_id is not null and not kept").select(F.col("doc_id").alias(key)).distinct().withColumn(gone, F.lit(True))
-    left = docs.withColumn(key, F.col(f"`{id_col}`").cast("long"))
+    left = docs.withColumn(key, quoted(id_col).cast("long"))
     out = left.join(lost, key, "left").filter(F.col(gone).isNull()).drop(gone)
     twice = found.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not twice.isEmpty():
         out = out.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(out.filter(F.col(key).isNull()))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select(*[quoted(c) for c in docs.columns])

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapse.llm.names import quoted
 from lapse.llm.words import Words, ranges, slices, split_words
 
 WINDOW = 35
@@ -106,9 +107,9 @@ def _emit(window: int, gram: int) -> Callable:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The id and text as ``kid``, ``khash`` and ``text``.  Equal keys mean equal id and text, so
     repeated rows share their (equal) result; a null id is replaced by its text's hash."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("kid"), F.hash(text).alias("khash"), text.alias("text")
+        F.coalesce(quoted(id_col).cast("long"), F.xxhash64(text)).alias("kid"), F.hash(text).alias("khash"), text.alias("text")
     )
 
 
@@ -168,10 +169,10 @@ def cut(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, Words, np.nda
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int) -> DataFrame:
     """``docs`` as (row struct, text, spans)."""
     spans = repeated_windows(docs, id_col, text_col, window, gram)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     left = docs.select(
-        F.struct(*[c for c in docs.columns if c != text_col]).alias("row"), text.alias("text"),
-        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("kid"), F.hash(text).alias("khash"),
+        F.struct(*[quoted(c) for c in docs.columns if c != text_col]).alias("row"), text.alias("text"),
+        F.coalesce(quoted(id_col).cast("long"), F.xxhash64(text)).alias("kid"), F.hash(text).alias("khash"),
     )
     return left.join(spans, ["kid", "khash"], "left").select("row", "text", "spans")
 
@@ -194,7 +195,7 @@ def kept_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    ids = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     return _with_spans(ids, "doc_id", "text", window, gram).mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 

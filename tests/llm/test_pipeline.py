@@ -55,3 +55,16 @@ def test_odd_and_empty_documents(spark, odd, tmp_path):
         rows = docs.collect()
         assert [r.doc_id for r in rows if r.doc_id is not None] == ([] if name == "empty" else sorted(r.doc_id for r in rows if r.doc_id is not None))
         assert name == "odd" or rows == []
+
+
+def test_further_columns_with_odd_names(spark, odd, tmp_path):
+    names = ["a.b", "_gone", "_quality_kept", "key", "spans", "row", "kid", "`x`"]
+    docs = odd[0].selectExpr("*", *[f"concat('{k}-', doc_id) as `{n.replace('`', '``')}`" for k, n in enumerate(names)])
+    columns = docs.columns
+    for k, (_, stage) in enumerate(C.STAGES):
+        out = stage(spark, docs, SF001)
+        assert out.columns[: len(columns)] == columns if k < 4 else set(names) <= set(out.columns)
+        out.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+    rows = docs.collect()
+    assert rows and all(r[n] == (None if r.doc_id is None else f"{k}-{r.doc_id}") for r in rows for k, n in enumerate(names))
