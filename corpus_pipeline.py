@@ -3,17 +3,23 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and
 read again as the next stage's ``docs``.  All but the last return the columns of ``documents``; where a
 stage changes the text, ``n_chars`` follows it.
+
+Defined cases, for every stage: a null text counts as an empty one; quality rules reject texts of fewer than
+ten words, so null and empty ones end there; a null lang or source is a group of its own.  Of texts that are
+equal or near to each other the row with the smallest id stays; of rows repeated with their id one stays; rows
+without an id stay unless their text's class has one.  Substring dedup judges all windows on its input, so
+passages go from all their places.  Very long texts are processed whole.  An empty table gives an empty
+result with the same columns.  Further columns are carried through under their names, whatever these are (dots
+and names that an operator uses itself included); only columns named like the last stage's results are replaced.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapse.llm import bpe, decontam, minhash, quality, substring
-from lapse.session import ensure_checkpoint_dir
+from lapse.sources.store import new_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    root = new_folder(spark, "corpus")  # goes with the open scope
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{k}")
