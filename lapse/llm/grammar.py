@@ -1,10 +1,15 @@
-"""Probabilistic automata from sample strings: state merging over a prefix tree (in-task helpers of operator 13).
+"""Probabilistic automata from strings: state merging over a prefix tree (in-task helpers of operator 13).
 
-A sample becomes a prefix tree with counts.  Starting from the root, states are settled one by one:
+The strings become a prefix tree with counts.  Starting from the root, states are settled one by one:
 the most frequent child not yet settled is merged into a settled state whose outgoing frequencies
 (symbols and end) agree with its own by Hoeffding's bound, and so on down both subtrees; among several the one
 that gives its strings the highest likelihood is taken; a child that agrees with none is settled as a
 state of its own.  Strings are bytes over ``SYMBOLS``.
+
+Counts of any number of strings are compared as frequencies of ``RESOLUTION`` strings at most (``scale``): they become
+more exact with more strings, but differences too small for that many make no states.  Subtrees below one
+of these never tell states apart, so a tree may come without them; ``resume`` takes them later, as a tree below the states
+that were settled without them.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ import numpy as np
 SYMBOLS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 END = len(SYMBOLS)
 ALPHA = 0.05
+RESOLUTION = 1500
 SMOOTH = 0.05
 
 CODE = np.zeros(256, np.int64)
@@ -30,6 +36,7 @@ class Automaton:
         self.times: list[dict[int, int]] = [{}]
         self.ends: list[int] = [0]
         self.visits: list[int] = [0]
+        self.scale = 1.0
 
     def add(self, string: bytes) -> None:
         at = 0
@@ -52,17 +59,18 @@ class Automaton:
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
-            n, m = self.visits[a], self.visits[b]
+            n, m = self.visits[a] * self.scale, self.visits[b] * self.scale
             room = (1 / math.sqrt(n) + 1 / math.sqrt(m)) * k
             if room >= 1:
                 continue  # nothing below can differ by more: counts only fall
+            n, m = self.visits[a], self.visits[b]
             if abs(self.ends[a] / n - self.ends[b] / m) > room:
                 return False
             ta, tb = self.times[a], self.times[b]
             for s in ta.keys() | tb.keys():
                 if abs(ta.get(s, 0) / n - tb.get(s, 0) / m) > room:
                     return False
-            todo += [(self.next[a][s], self.next[b][s]) for s in ta.keys() & tb.keys()]
+            todo += [(self.next[a][s], self.next[b][s]) for s in self.next[a].keys() & self.next[b].keys()]
         return True
 
     def likelihood(self, a: int, b: int) -> float:
@@ -76,7 +84,8 @@ class Automaton:
                 total += self.ends[b] * p(self.ends[a] if a >= 0 else 0)
             for s, c in self.times[b].items():
                 total += c * p(self.times[a].get(s, 0) if a >= 0 else 0)
-                todo.append((self.next[a].get(s, -1) if a >= 0 else -1, self.next[b][s]))
+                if s in self.next[b]:
+                    todo.append((self.next[a].get(s, -1) if a >= 0 else -1, self.next[b][s]))
         return total
 
     def fold(self, a: int, b: int) -> None:
@@ -88,13 +97,16 @@ class Automaton:
             self.ends[a] += self.ends[b]
             for s, c in self.times[b].items():
                 self.times[a][s] = self.times[a].get(s, 0) + c
+                if s not in self.next[b]:
+                    continue
                 if s in self.next[a]:
                     todo.append((self.next[a][s], self.next[b][s]))
                 else:
                     self.next[a][s] = self.next[b][s]
 
-    def merge_states(self, alpha: float = ALPHA) -> None:
-        settled = [0]
+    def merge_states(self, alpha: float = ALPHA, states: int = 1) -> None:
+        """Merge the tree below the first ``states``, which are settled."""
+        settled = list(range(states))
         while True:
             known = set(settled)
             open_ = [(self.visits[t], -r, -s, r, s, t) for r in settled for s, t in self.next[r].items() if t not in known]
@@ -116,22 +128,30 @@ class Automaton:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """(log probabilities: states + 1 by symbols and end, next states); the last state follows unseen symbols."""
+        return tables(*self.counts())
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(counts: states by symbols and end, next states: -1 where none is known)."""
         n = len(self.next)
-        lp = np.full((n + 1, END + 1), -math.log(END + 1))
-        to = np.full((n + 1, END), n, np.int64)
+        times, to = np.zeros((n, END + 1), np.int64), np.full((n, END), -1, np.int64)
         for q in range(n):
-            row = np.full(END + 1, SMOOTH)
             for s, c in self.times[q].items():
-                row[s] += c
-            row[END] += self.ends[q]
-            lp[q] = np.log(row / row.sum())
+                times[q, s] = c
+            times[q, END] = self.ends[q]
             for s, t in self.next[q].items():
                 to[q, s] = t
-        return lp, to
+        return times, to
+
+
+def tables(times: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log probabilities, next states) of counts; one more state, the last, follows unseen symbols."""
+    rows = times + SMOOTH
+    lp = np.vstack([np.log(rows / rows.sum(axis=1, keepdims=True)), np.full((1, END + 1), -math.log(END + 1))])
+    return lp, np.vstack([np.where(to < 0, len(to), to), np.full((1, END), len(to), np.int64)])
 
 
 def infer(strings: list[bytes], alpha: float = ALPHA) -> Automaton:
-    """The automaton of a sample (in the given order of strings, which does not matter)."""
+    """The automaton of some strings (in the given order, which does not matter)."""
     a = Automaton()
     for s in strings:
         a.add(s)
@@ -139,6 +159,86 @@ def infer(strings: list[bytes], alpha: float = ALPHA) -> Automaton:
     return a
 
 
+def resume(times: np.ndarray, to: np.ndarray, tree: list[tuple[int, bytes, dict[int, int]]], alpha: float = ALPHA) -> np.ndarray:
+    """The next states after the tree below settled states is merged into them.  ``times`` and ``to`` as in ``counts``, of all
+    strings; ``tree``: nodes (state * END + symbol not followed yet, bytes after it, counts by symbol and end)."""
+    a, known = Automaton(), len(to)
+    a.next = [{s: int(t) for s, t in enumerate(row) if t >= 0} for row in to]
+    a.times = [{s: int(c) for s, c in enumerate(row[:END]) if c} for row in times]
+    a.ends, a.visits = times[:, END].tolist(), times.sum(axis=1).tolist()
+    strings = int(times[:, END].sum()) + sum(int(times[q, s]) for q in range(known) for s in range(END) if to[q, s] < 0)
+    a.scale = min(1.0, RESOLUTION / max(1, strings))
+    node: dict[tuple[int, bytes], int] = {}
+    for at, tail, cells in sorted(tree, key=lambda x: (len(x[1]), x[0], x[1])):
+        parent, s = (node[at, tail[:-1]], int(CODE[tail[-1]])) if tail else divmod(at, END)
+        a.next[parent][s] = node[at, tail] = len(a.next)
+        a.next.append({})
+        a.times.append({k: c for k, c in cells.items() if k < END})
+        a.ends.append(cells.get(END, 0))
+        a.visits.append(sum(cells.values()))
+    a.merge_states(alpha, known)
+    return a.counts()[1]
+
+
+def walk(to: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray, wide: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """(state before each byte of the ranges and after their last, one range after the other; length of each range's
+    part).  A range ends early at a symbol that its state does not follow: that state is its last."""
+    n = end - start
+    at = np.concatenate([[0], np.cumsum(n + 1)])
+    states, steps = np.zeros(at[-1], np.int64), n.copy()
+    order = np.argsort(-n, kind="stable")
+    long = int((n > wide).sum())
+    table = to.tolist() if long else []
+    for i in order[:long]:
+        q, path = 0, [0]
+        for s in CODE[data[start[i] : end[i]]].tolist():
+            q = table[q][s]
+            if q < 0:
+                break
+            path.append(q)
+        states[at[i] : at[i] + len(path)], steps[i] = path, len(path) - 1
+    live = order[long:]
+    state = np.zeros(len(live), np.int64)
+    k = 0
+    while True:
+        go = n[live] > k
+        live, state = live[go], state[go]
+        if not len(live):
+            break
+        state = to[state, CODE[data[start[live] + k]]]
+        stop = state < 0
+        steps[live[stop]] = k
+        live, state = live[~stop], state[~stop]
+        k += 1
+        states[at[live] + k] = state
+    keep = np.repeat(steps, n + 1) >= np.arange(at[-1]) - np.repeat(at[:-1], n + 1)
+    return states[keep], steps
+
+
+def symbols_after(states: np.ndarray, steps: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The symbol after each state of ``walk``, ``END`` after a range read to its end."""
+    at = np.repeat(start - (np.cumsum(steps + 1) - 1 - steps), steps + 1) + np.arange(len(states))
+    out = np.full(len(states), END)
+    inner = at < np.repeat(end, steps + 1)
+    out[inner] = CODE[data[at[inner]]]
+    return out
+
+
+def left_out_likelihood(times: np.ndarray, to: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each range under the counts without it; all were counted."""
+    states, steps = walk(to, data, start, end)
+    which = np.repeat(np.arange(len(start)), steps + 1)
+    symbol = symbols_after(states, steps, data, start, end)
+
+    def own(cell: np.ndarray, cells: int) -> np.ndarray:
+        _, back, n = np.unique(which * cells + cell, return_inverse=True, return_counts=True)
+        return n[back]
+
+    c = times[states, symbol] - own(states * (END + 1) + symbol, times.size)
+    v = times.sum(axis=1)[states] - own(states, len(times))
+    return np.bincount(which, np.log((c + SMOOTH) / (v + SMOOTH * (END + 1))), len(start))
+
+
 def log_likelihood(tables: tuple[np.ndarray, np.ndarray], data: np.ndarray, start: np.ndarray, end: np.ndarray,
                    wide: int = 512) -> np.ndarray:
     """Log-likelihood of each byte range of ``data``: ranges of up to ``wide`` bytes step together, longer

@@ -1,16 +1,19 @@
 """Operator 13: secrets by fixed patterns and by automata inferred from labelled credentials.
 
-Base spans are the matches of three fixed patterns.  Their values are the labelled credentials: a bounded
-sample of distinct ones per kind (``SAMPLE`` values of up to ``MAX_TRAIN`` bytes, those with the smallest
-hashes) and one of ordinary candidates are drawn, and one task per kind merges the states of its prefix tree
-into a probabilistic automaton (``grammar``).  Every candidate of every text - a run of credential
+Base spans are the matches of three fixed patterns.  Their values are the labelled credentials.  The distinct ones of
+each kind, and the distinct ordinary candidates, are all read into one probabilistic automaton per kind, by merging the
+states of their prefix tree (``grammar``), in rounds: every value is walked through the states settled so far, what
+goes on from them is counted as a tree by Spark, and one task per kind merges the tree's nodes that hold at least one in
+``grammar.RESOLUTION`` of the values that went on.  Rounds end when every value is read to its end, so that all have
+their part in the counts.  Every candidate of every text - a run of credential
 characters, 8 or more - is then scored by the log-likelihood under the best credential automaton less that under the
-automaton of ordinary candidates.  A candidate outside the base spans whose score passes a threshold, the
-``QUANTILE`` of ordinary candidates held out of the sample and ``MIN_SCORE`` at least, is a
-span ``like_<kind>``.  Base spans always stay.
+automaton of ordinary candidates.  A candidate outside the base spans whose score passes a threshold, the exact
+``QUANTILE`` of all ordinary candidates, each under the counts of the others, and ``MIN_SCORE`` at least, is a
+span ``like_<kind>``.  Ordinary candidates that score like the labelled values of their kind (above their lower quartile,
+``LIKE``) are unlabelled credentials; they do not raise the threshold above themselves.  Base spans always stay.
 
-The sample is a classifier's training set and bounded by its parameters; scan, candidates and scores cover every
-whole text.  Automata have at most as many states as the sample has characters (some tens, in practice).
+No values are sampled or cut.  Automata and the trees of a round are bounded by the resolution of the merge test, not by the
+number of values (some tens of states, in practice).
 
 Defined cases: a null text is empty and has no spans; a kind of fewer than ``MIN_LABELS`` labels
 has no automaton, without any there are no added spans; equal scores take the kind listed first; repeated rows each
@@ -22,25 +25,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapse.llm import grammar
 from lapse.llm.runs import Runs, byte_runs, raw_bytes
-from lapse.llm.words import mix64, slices
+from lapse.llm.words import slices
 from lapse.sources.store import materialize
 
-SAMPLE = 1500
-MAX_TRAIN = 256
 MIN_LABELS = 20
 QUANTILE = 0.999
 MIN_SCORE = 10.0
-HASH_BITS = 12
-HELD_OUT = 5  # one value in so many is held out
+LIKE = 0.25
+DEPTH = 32  # levels of a round's tree
+BINS = 1000
 
 KINDS = ("assign", "access", "hex")
 ORDINARY = "ordinary"
@@ -95,79 +99,118 @@ def candidates(texts: pa.Array, base: dict[str, np.ndarray]) -> Runs:
     return Runs(r.data, r.offsets, r.start[free], r.end[free], r.text[free])
 
 
-def _value_hash(values: pa.Array) -> np.ndarray:
-    """One hash of 63 bits per byte string, the same in every task."""
-    import xxhash
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per slice: the distinct values of each kind (kind, value)."""
+    for batch in slices(batches, "text"):
+        texts = batch.column("text")
+        base = base_spans(texts)
+        c = candidates(texts, base)
+        ranges = {k: (s[:, 3], s[:, 4]) for k, s in base.items()} | {ORDINARY: (c.start, c.end)}
+        for kind, (start, end) in ranges.items():
+            values = Runs(c.data, c.offsets, start, end, c.text).values().unique()
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(values), pa.string()), values.cast(pa.binary())], ["kind", "value"])
+
+
+def labelled_values(docs: DataFrame) -> DataFrame:
+    """(kind, value): all distinct values of each kind."""
+    return materialize(docs.select("text").mapInArrow(_labelled, "kind string, value binary").distinct(), "secret-labels")
+
 
-    return (mix64(np.array([xxhash.xxh64_intdigest(v) for v in values.to_pylist()], np.uint64)) >> np.uint64(1)).view(np.int64)
+def labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
+    """(kind, value): ``sample`` distinct values per kind at most, those of the smallest hashes, to look at; the fit
+    takes all."""
+    found = labelled_values(docs)
+    least = [found.filter(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(sample) for k in (*KINDS, ORDINARY)]
+    return reduce(DataFrame.unionAll, least)
 
 
-def _labelled(sample: int):
-    """Per task: the values of the smallest hashes of each kind (kind, value, h)."""
+def _cells(to: dict[str, np.ndarray]):
+    """Per batch: how often each state of each kind is left by each symbol, the end included (kind, cell, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[str, dict[int, bytes]] = {k: {} for k in (*KINDS, ORDINARY)}
-        for batch in slices(batches, "text"):
-            texts = batch.column("text")
-            base = base_spans(texts)
-            c = candidates(texts, base)
-            data = c.data
-            ranges = {k: (s[:, 3], s[:, 4]) for k, s in base.items()} | {ORDINARY: (c.start, c.end)}
-            for kind, (start, end) in ranges.items():
-                short = end - start <= MAX_TRAIN
-                if not short.any():
-                    continue
-                values = Runs(data, c.offsets, start[short], end[short], c.text).values().unique()
-                h = _value_hash(values)
-                order = np.argsort(h)[:sample]
-                mine = best[kind]
-                mine.update(zip(h[order].tolist(), values.take(pa.array(order)).to_pylist()))
-                if len(mine) > sample:
-                    best[kind] = {k: mine[k] for k in sorted(mine)[:sample]}
-        for kind, mine in best.items():
-            if mine:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([kind] * len(mine)), pa.array(list(mine.values()), pa.binary()),
-                    pa.array(list(mine), pa.int64())], ["kind", "value", "h"])
+        for kind, values in _by_kind(batches, to):
+            data, off = raw_bytes(values)
+            states, steps = grammar.walk(to[kind], data, off[:-1], off[1:])
+            n = np.bincount(grammar.symbols_after(states, steps, data, off[:-1], off[1:]) + states * (grammar.END + 1))
+            cell = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kind] * len(cell), pa.string()), pa.array(cell, pa.int64()), pa.array(n[cell], pa.int64())], ["kind", "cell", "n"])
 
     return run
 
 
-def labelled_sample(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(kind, value, held_out): distinct values of the smallest hashes per kind, ``sample`` at most.  Tasks give
-    the smallest of theirs; counts by leading hash bits bound the rest, so that hardly more are ordered."""
-    found = docs.select("text").mapInArrow(_labelled(sample), "kind string, value binary, h long")
-    found = materialize(found.groupBy("kind", "value").agg(F.first("h").alias("h")), "secret-labels")
-    lead = F.shiftright("h", 63 - HASH_BITS)
-    reach = found.groupBy("kind", lead.alias("lead")).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "upto", F.sum("n").over(Window.partitionBy("kind").orderBy("lead")))
-    full = reach.filter(F.col("upto") >= sample).groupBy("kind").agg(F.min("lead").alias("bound"))
-    # one row per kind; a join dealt by kind would move all values to their kind's task before the filter
-    found = found.join(F.broadcast(full), "kind", "left").filter(F.col("bound").isNull() | (lead <= F.col("bound")))
-    found = found.withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy("h", "value"))).filter(F.col("r") <= sample)
-    return materialize(found.select("kind", "value", (F.pmod("h", F.lit(HELD_OUT)) == 0).alias("held_out")), "secret-sample")
-
-
-def _fit(key, table):
-    kind = key[0].as_py()
-    values = sorted(table["value"].to_pylist())
-    if len(values) < MIN_LABELS:
-        return pa.table({"kind": pa.array([], pa.string()), "state": pa.array([], pa.int32()),
-                         "lp": pa.array([], pa.list_(pa.float64())), "next": pa.array([], pa.list_(pa.int32()))})
-    lp, to = grammar.infer(values).tables()
-    return pa.table({"kind": [kind] * len(lp), "state": pa.array(range(len(lp)), pa.int32()),
-                     "lp": pa.array(lp.tolist(), pa.list_(pa.float64())), "next": pa.array(to.tolist(), pa.list_(pa.int32()))})
-
-
-def fit_automata(sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Automaton per kind: merged by one task each, a table of as many rows as states is read back."""
-    rows = sample.filter(~F.col("held_out")).select("kind", "value").groupBy("kind").applyInArrow(
-        _fit, "kind string, state int, lp array<double>, next array<int>").orderBy("kind", "state").collect()
-    out: dict[str, tuple] = {}
-    for kind in sorted({r.kind for r in rows}):
-        mine = [r for r in rows if r.kind == kind]
-        out[kind] = (np.array([r.lp for r in mine]), np.array([r.next for r in mine], np.int64))
-    return out
+def _leaving(to: dict[str, np.ndarray]):
+    """Per batch: the values that come to a symbol their state does not follow (kind, at, tail): state and symbol as one
+    number, and the bytes after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, values in _by_kind(batches, to):
+            data, off = raw_bytes(values)
+            states, steps = grammar.walk(to[kind], data, off[:-1], off[1:])
+            left = np.flatnonzero(steps < off[1:] - off[:-1])
+            at = off[left] + steps[left]
+            number = states[np.cumsum(steps + 1) - 1][left] * grammar.END + grammar.CODE[data[at]]
+            tail = Runs(data, off, at + 1, np.minimum(off[left + 1], at + 2 + DEPTH), left).values()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kind] * len(left), pa.string()), pa.array(number, pa.int64()), tail.cast(pa.binary())], ["kind", "at", "tail"])
+
+    return run
+
+
+def _by_kind(batches: Iterator[pa.RecordBatch], kinds) -> Iterator[tuple[str, pa.Array]]:
+    for batch in slices(batches, "value"):
+        for kind in kinds:
+            values = batch.column("value").filter(pc.equal(batch.column("kind"), kind))
+            if len(values):
+                yield kind, values
+
+
+def _count(values: DataFrame, to: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Counts of every kind's states by symbol and end, over all values; a row per cell in use is read back."""
+    times = {k: np.zeros((len(t), grammar.END + 1), np.int64) for k, t in to.items()}
+    for r in values.mapInArrow(_cells(to), "kind string, cell long, n long").groupBy("kind", "cell").agg(F.sum("n").alias("n")).collect():
+        times[r.kind].reshape(-1)[r.cell] = r.n
+    return times
+
+
+def _grow(values: DataFrame, to: dict[str, np.ndarray], times: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Next states of the kinds with values that leave their automaton, after the tree of what follows is merged into it."""
+    left = {k: int(times[k][:, :-1][to[k] < 0].sum()) for k in to}
+    left = {k: n for k, n in left.items() if n}
+    tails = values.filter(F.col("kind").isin(list(left))).mapInArrow(_leaving({k: to[k] for k in left}), "kind string, at long, tail binary")
+    tails = tails.withColumn("depth", F.explode(F.sequence(F.lit(0), F.least(F.length("tail"), F.lit(DEPTH)))))
+    node = ["kind", "at", F.expr("substring(tail, 1, depth)").alias("path")]
+    cells = tails.groupBy(*node, F.expr("substring(tail, depth + 1, 1)").alias("symbol")).agg(F.count(F.lit(1)).alias("n"))
+    # nodes of the settled states' own symbols always, those below them from one in RESOLUTION on
+    floor = F.create_map(*[F.lit(x) for k, n in left.items() for x in (k, n)])
+    nodes = cells.groupBy("kind", "at", "path").agg(F.sum("n").alias("visits"), F.collect_list("symbol").alias("symbols"),
+                                                   F.collect_list("n").alias("ns"))
+    nodes = nodes.filter((F.length("path") == 0) | (F.col("visits") * grammar.RESOLUTION >= floor[F.col("kind")]))
+
+    def merge(key, table):
+        kind = key[0].as_py()
+        tree = [(at, path, {int(grammar.CODE[s[0]]) if s else grammar.END: n for s, n in zip(symbols, ns)}) for at, path, symbols, ns in zip(
+            *[table[c].to_pylist() for c in ("at", "path", "symbols", "ns")])]
+        after = grammar.resume(times[kind], to[kind], tree)
+        return pa.table({"kind": [kind] * len(after), "state": pa.array(range(len(after)), pa.int32()),
+                         "next": pa.array(after.tolist(), pa.list_(pa.int32()))})
+
+    rows = nodes.select("kind", "at", "path", "symbols", "ns").groupBy("kind").applyInArrow(
+        merge, "kind string, state int, next array<int>").orderBy("kind", "state").collect()
+    return {k: np.array([r.next for r in rows if r.kind == k], np.int64) for k in left}
+
+
+def fit_automata(values: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Per kind of ``MIN_LABELS`` values or more: (counts by state and symbol, next states) over all values."""
+    to = {r.kind: np.full((1, grammar.END), -1, np.int64) for r in values.groupBy("kind").count().collect() if r["count"] >= MIN_LABELS}
+    done: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    while to:
+        times = _count(values, to)
+        for kind in [k for k in to if not times[k][:, :-1][to[k] < 0].any()]:
+            done[kind] = times[kind], to.pop(kind)
+        if to:
+            to |= _grow(values, to, times)
+    return done
 
 
 def scores(automata: dict, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,28 +222,65 @@ def scores(automata: dict, data: np.ndarray, start: np.ndarray, end: np.ndarray)
     return by_kind[best, np.arange(len(start))] - plain, np.array([KINDS.index(k) for k in kinds])[best]
 
 
-def _score_values(automata: dict):
+def _score_values(automata: dict, counts: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, off = raw_bytes(batch.column("value"))
+        for kind, values in _by_kind(batches, counts):
+            data, off = raw_bytes(values)
+            ranges = data, off[:-1], off[1:]
+            plain, own = grammar.log_likelihood(automata[ORDINARY], *ranges), grammar.left_out_likelihood(*counts[kind], *ranges)
+            if kind == ORDINARY:
+                score, best = scores(automata, *ranges)
+                score, like = score + plain - own, np.array(KINDS)[best]
+            else:
+                score, like = own - plain, np.full(len(values), kind)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("kind"), pa.array(scores(automata, data, off[:-1], off[1:])[0])], ["kind", "score"])
+                [pa.array([kind] * len(values), pa.string()), pa.array(like, pa.string()), pa.array(score)], ["kind", "like", "score"])
 
     return run
 
 
-def held_out_scores(sample: DataFrame, automata: dict) -> DataFrame:
-    """(kind, score) of the values held out of the fit."""
-    return sample.filter("held_out").select("kind", "value").mapInArrow(_score_values(automata), "kind string, score double")
-
-
-def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[dict, float]:
-    """(automata, threshold) of a corpus; no automata if there are too few labels or ordinary candidates."""
-    rows = labelled_sample(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")), sample)
-    automata = fit_automata(rows)
-    if ORDINARY not in automata or len(automata) < 2:
+def value_scores(values: DataFrame, automata: dict, counts: dict) -> DataFrame:
+    """(kind, like, score) of every value, under the counts of the others; ``like`` is the credential kind it is scored by."""
+    return values.mapInArrow(_score_values(automata, counts), "kind string, like string, score double")
+
+
+def quantile(rows: DataFrame, column: str, q: float) -> float | None:
+    """The exact quantile of a column (interpolated between ranks), by counts in ever narrower bins."""
+    low, high, n = rows.agg(F.min(column), F.max(column), F.count(column)).first()
+    if not n:
+        return None
+
+    def ranked(rank: int) -> float:
+        a, z, below = low, high, 0
+        x = F.col(column)
+        while a < z:
+            inside = rows.filter((x >= a) & (x <= z))
+            bins = inside.groupBy(F.least(F.floor((x - a) / (z - a) * BINS), F.lit(BINS - 1)).alias("bin")).agg(
+                F.count(F.lit(1)).alias("n"), F.min(x).alias("a"), F.max(x).alias("z")).orderBy("bin").collect()
+            for b in bins:
+                if below + b.n > rank:
+                    a, z = b.a, b.z
+                    break
+                below += b.n
+        return a
+
+    place = (n - 1) * q
+    lower = ranked(int(place))
+    return lower if place == int(place) else lower + (ranked(int(place) + 1) - lower) * (place - int(place))
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> tuple[dict, float]:
+    """(automata, threshold) of a corpus, from all its values; no automata if there are too few labels or ordinary
+    candidates."""
+    values = labelled_values(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")))
+    counts = fit_automata(values)
+    if ORDINARY not in counts or len(counts) < 2:
         return {}, MIN_SCORE
-    top = held_out_scores(rows, automata).filter(F.col("kind") == ORDINARY).agg(F.percentile("score", QUANTILE)).first()[0]
+    automata = {k: grammar.tables(*c) for k, c in counts.items()}
+    scored = materialize(value_scores(values, automata, counts), "secret-scores")
+    of = lambda k: scored.filter(F.col("kind") == k)
+    below = [(F.col("like") == k) & (F.col("score") < quantile(of(k), "score", LIKE)) for k in KINDS if k in automata]
+    top = quantile(of(ORDINARY).filter(reduce(lambda x, y: x | y, below)), "score", QUANTILE)
     return automata, max(MIN_SCORE, top if top is not None else MIN_SCORE)
 
 

@@ -127,3 +127,66 @@ def test_stepping_equals_one_by_one():
     start = np.array([rng.randint(0, 4000) for _ in range(50)])
     end = start + np.array([rng.randint(0, 900) for _ in range(50)])
     assert np.allclose(grammar.log_likelihood(t, body, start, end, wide=100), grammar.log_likelihood(t, body, start, end, wide=10_000))
+
+
+def labelled(n, body, seed=3):
+    """Texts with one labelled value each, and ordinary words."""
+    rng = random.Random(seed)
+    return [(i, f"token: {body(rng)} {' '.join(''.join(rng.choice('etaoinshrdlu') for _ in range(9)) for _ in range(3))}", "en", "s", 0)
+            for i in range(n)]
+
+
+def test_all_values_are_in_the_fit(spark):
+    values = [f"{'ab'[i % 7 == 0]}{i:09d}" for i in range(3000)]
+    rows = [(i, f"token: {v} word{'abcdefghij'[i % 10] * 6}{'klmnop'[i % 6]}", "en", "s", 0) for i, v in enumerate(values)]
+    lp = secrets.fit(spark.createDataFrame(rows, DOCS))[0]["assign"][0]
+    for first in "ab":
+        want = (sum(v[0] == first for v in values) + grammar.SMOOTH) / (3000 + grammar.SMOOTH * (grammar.END + 1))
+        assert np.exp(lp[0, grammar.CODE[ord(first)]]) == pytest.approx(want, rel=1e-9)
+
+
+def test_long_values_are_in_the_fit(spark):
+    rows = labelled(30, lambda rng: "".join(rng.choice("0123456789abcdef") for _ in range(700)))
+    counts = secrets.fit_automata(secrets.labelled_values(spark.createDataFrame(rows, DOCS)))
+    assert {k: c[0][:, -1].sum() for k, c in counts.items()} == {"assign": 30, "hex": 30, "ordinary": 90}
+    assert counts["hex"][0][:, :-1].sum() == 30 * 700
+
+
+def test_automata_in_rounds_equal_one_tree(spark):
+    rng = random.Random(8)
+    few = [bytes(rng.choice(b"abc12") for _ in range(rng.randint(8, 30))) for _ in range(400)]
+    many = [b"key_" + bytes(rng.choice(b"ABCDEFGHIJKLMNOP0123456789") for _ in range(rng.randint(8, 50))) for _ in range(6000)]
+    df = spark.createDataFrame([("hex", bytearray(v)) for v in set(few)] + [("assign", bytearray(v)) for v in set(many)], "kind string, value binary")
+    got = secrets.fit_automata(df.repartition(5))
+    want = grammar.infer(sorted(set(few))).counts()
+    assert all(np.array_equal(a, b) for a, b in zip(got["hex"], want))
+    times, to = got["assign"]
+    assert times[:, -1].sum() == len(set(many)) and times[:, :-1].sum() == sum(map(len, set(many))) and not times[:, :-1][to < 0].any()
+    again = np.zeros_like(times)
+    for v in set(many):
+        q = 0
+        for s in grammar.CODE[np.frombuffer(v, np.uint8)]:
+            again[q, s] += 1
+            q = to[q, s]
+        again[q, -1] += 1
+    assert np.array_equal(again, times)
+
+
+def test_left_out_and_quantile_by_brute_force(spark):
+    values = [b"aab1", b"aab1aab1", b"b1", b"zz" * 400, b"a"]
+    a = grammar.infer(values)
+    times, to = a.counts()
+    data, end = np.frombuffer(b"".join(values), np.uint8), np.cumsum([len(v) for v in values])
+    got = grammar.left_out_likelihood(times, to, data, end - [len(v) for v in values], end)
+    for v, g in zip(values, got):
+        rest, path, q = times.copy(), [], 0
+        for s in [*grammar.CODE[np.frombuffer(v, np.uint8)], grammar.END]:
+            rest[q, s] -= 1
+            path.append((q, s))
+            q = to[q, s] if s < grammar.END else q
+        assert g == pytest.approx(sum(np.log((rest[c] + grammar.SMOOTH) / (rest[c[0]].sum() + grammar.SMOOTH * (grammar.END + 1))) for c in path))
+    rng = random.Random(9)
+    x = [rng.gauss(0, 1) ** 5 for _ in range(5000)] + [0.0] * 300 + [1e6]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    assert [secrets.quantile(df, "x", q) for q in (0.0, 0.25, 0.5, 0.999, 1.0)] == [pytest.approx(np.quantile(x, q)) for q in (0.0, 0.25, 0.5, 0.999, 1.0)]
+    assert secrets.quantile(df.limit(0), "x", 0.5) is None
